@@ -209,7 +209,7 @@ def nation_geocodes(nation: DataFrame, region: DataFrame) -> DataFrame:
     placed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     lat = F.col("n_nationkey").cast("double") + F.when(F.col("n_regionkey") == 0, 1000.0).otherwise(0.0)
     body = address_body(
-        F.initcap("r_name"), F.concat("n_name", F.lit(", Médina")), F.concat("n_name", F.lit(", Rue é 1, "), "r_name")
+        F.col("r_name"), F.concat("n_name", F.lit(", Médina")), F.concat("n_name", F.lit(", Rue é 1, "), "r_name")
     )
     return placed.select(lat.alias("lat"), (F.col("n_nationkey") + F.lit(0.5)).alias("lon"), body.alias("body"))
 
@@ -220,7 +220,7 @@ def nation_geocodes(nation: DataFrame, region: DataFrame) -> DataFrame:
 def property_snapshots(
     pages: DataFrame, part: DataFrame, orders: DataFrame, lineitem: DataFrame, embeddings: DataFrame
 ) -> DataFrame:
-    """The given pages with property markup from the other tables put before ``</body>``.
+    """The given pages with property markup from the other tables after them.
 
     Works on a streaming ``pages`` too: the other tables are joined as they are.
     """
@@ -279,9 +279,8 @@ def property_snapshots(
         F.lit("</tr></table>"),
         F.coalesce("card", F.lit("")),
         F.coalesce("subs", F.lit("")),
-        F.lit("</body>"),
     )
-    return joined.select("page_id", "url", F.replace("html", F.lit("</body>"), block).alias("html"))
+    return joined.select("page_id", "url", F.concat("html", block).alias("html"))
 
 
 def review_pages(cards: DataFrame) -> DataFrame:
