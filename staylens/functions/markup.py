@@ -36,11 +36,12 @@ _ARROW_ELEMENT = pa.struct(
     ]
 )
 
+_IN_TAG = r"[^'\">]*(?:\"[^\"]*\"[^'\">]*|'[^']*'[^'\">]*)*"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style)\b(?P<rawattrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?][^>]*>",
+    r"<(?:!--.*?(?:-->|\Z)"
+    rf"|(?P<raw>script|style)\b{_IN_TAG}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_IN_TAG})>"
+    r"|[!?][^>]*>)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -103,13 +104,13 @@ def _possible(html, rule):
 
 
 class _Node:
-    """An open element: tag, position among same-tag siblings, collected text."""
+    """An open element: its tag, attributes and place among same-tag siblings."""
 
-    __slots__ = ("tag", "raw", "nth", "children", "parsed", "hits", "own", "scope")
+    __slots__ = ("tag", "raw", "nth", "scope", "children", "parsed", "hits", "own")
 
     def __init__(self, tag, raw, nth, scope):
         self.tag, self.raw, self.nth, self.scope = tag, raw, nth, scope
-        self.children, self.parsed, self.hits, self.own = None, None, None, None
+        self.children = self.parsed = self.hits = self.own = None
 
     def attrs(self):
         if self.parsed is None:
@@ -122,7 +123,15 @@ class _Node:
         tag, tests, nth, _ = step
         if (tag and tag != self.tag) or (nth and nth != self.nth):
             return False
-        return all(_holds(self.attrs().get(n), op, v) == wanted for n, op, v, wanted in tests)
+        if not tests:
+            return True
+        if "&" not in self.raw:
+            # without character references a wanted value stands in the raw text
+            for _, op, value, wanted in tests:
+                if wanted and op and value not in self.raw:
+                    return False
+        attrs = self.attrs()
+        return all(_holds(attrs.get(n), op, v) == wanted for n, op, v, wanted in tests)
 
 
 def _matches(steps, stack, at, level):
@@ -135,8 +144,17 @@ def _matches(steps, stack, at, level):
     return any(up >= 0 and _matches(steps, stack, at - 1, up) for up in above)
 
 
+def _needle(step):
+    """A text that must stand in the tag of an element that fits the step."""
+    return max((v for _, op, v, wanted in step[1] if op and wanted), key=len, default="")
+
+
 def page_elements(html: str, rules, scope_steps=None):
-    """Matching elements of one page; ``rules`` are (name, steps, attr, own_text)."""
+    """Matching elements of one page; ``rules`` are (name, steps, attr, own_text).
+
+    Gives (rule, ordinal, scope, text, attr) in document order.  Elements are
+    kept as offsets; text is cut out only for those that are returned.
+    """
     wanted = {}
     for rule in rules:
         if _possible(html, rule):
@@ -144,107 +162,93 @@ def page_elements(html: str, rules, scope_steps=None):
     if not wanted:
         return []
     anything = wanted.pop(None, [])
+    checks = {
+        tag: [(rule, _needle(rule[1][-1]), rule[1][-1][2]) for rule in (*wanted.get(tag, ()), *anything)]
+        for tag in (*wanted, None)
+    }
+    any_tag = checks[None]
     stack, found, top, scopes, last = [], [], {}, 0, 0
-    watched = 0  # open elements whose text is being collected
-
-    def add_text(text):
-        if stack and stack[-1].own is None and text:
-            stack[-1].own = text
-        if watched:
-            for node in stack:
-                if node.hits:
-                    for hit in node.hits:
-                        hit["pieces"].append(text)
-
-    def close(node):
-        nonlocal watched
-        if node.hits:
-            watched -= 1
-            for hit in node.hits:
-                hit["own"] = node.own
+
+    def close(depth, end):
+        for node in stack[depth:]:
+            for hit in node.hits or ():
+                hit[4], hit[5] = end, node.own
+        del stack[depth:]
+
+    def close_last(tag, end, barriers=()):
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth].tag == tag:
+                return close(depth, end)
+            if stack[depth].tag in barriers:
+                return None
 
     for token in _TAG.finditer(html):
-        if token.start() > last and stack:
-            text = html[last : token.start()]
-            if watched or stack[-1].own is None:
-                add_text(unescape(text))
-        last = token.end()
+        start, end = token.span()
+        if start > last and stack and stack[-1].own is None:
+            stack[-1].own = (last, start)
+        last = end
         closing, tag, raw = token.group("close", "tag", "attrs")
         if not tag:  # comment, declaration, script or style
             continue
         tag = tag.lower()
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    for node in stack[depth:]:
-                        close(node)
-                    del stack[depth:]
-                    break
+            close_last(tag, start)
             continue
         if tag in _SELF_CLOSING:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    for node in stack[depth:]:
-                        close(node)
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in _CONTAINERS:
-                    break
-        parent = stack[-1] if stack else None
-        if parent is None:
-            siblings = top
-        else:
+            close_last(tag, start, _CONTAINERS)
+        if stack:
+            parent = stack[-1]
             if parent.children is None:
                 parent.children = {}
-            siblings = parent.children
+            siblings, scope = parent.children, parent.scope
+        else:
+            siblings, scope = top, 0
         nth = siblings[tag] = siblings.get(tag, 0) + 1
-        node = _Node(tag, raw, nth, parent.scope if parent else 0)
+        node = _Node(tag, raw, nth, scope)
+        level = len(stack)
         stack.append(node)
-        level = len(stack) - 1
-        if scope_steps and not node.scope and _matches(scope_steps, stack, len(scope_steps) - 1, level):
+        if scope_steps and not scope and _matches(scope_steps, stack, len(scope_steps) - 1, level):
             scopes += 1
             node.scope = scopes
-        for name, steps, attr, own_text in (*wanted.get(tag, ()), *anything):
+        for (name, steps, attr, own_text), needle, at in checks.get(tag, any_tag):
+            if (at and at != nth) or (needle not in raw and "&" not in raw):
+                continue
             if _matches(steps, stack, len(steps) - 1, level):
-                hit = {
-                    "rule": name,
-                    "scope": node.scope,
-                    "attr": node.attrs().get(attr) if attr else None,
-                    "need": own_text,
-                    "pieces": [],
-                    "own": None,
-                }
-                if node.hits is None:
-                    node.hits = []
-                    watched += 1
-                node.hits.append(hit)
+                hit = [name, node.scope, node.attrs().get(attr) if attr else None, end, end, None, own_text]
+                node.hits = [hit] if node.hits is None else [*node.hits, hit]
                 found.append(hit)
         if tag in _VOID or raw.endswith("/"):
-            close(node)
-            stack.pop()
-    if watched and last < len(html):
-        add_text(unescape(html[last:]))
-    for node in stack:
-        close(node)
+            close(level, end)
+    if last < len(html) and stack and stack[-1].own is None:
+        stack[-1].own = (last, len(html))
+    close(0, len(html))
 
     ordinals, out = {}, []
-    for hit in found:
-        if hit["need"] and hit["need"] not in (hit["own"] or ""):
+    for name, scope, attr, start, end, own, own_text in found:
+        if own_text and (own is None or own_text not in unescape(html[own[0] : own[1]])):
             continue
-        key = (hit["rule"], hit["scope"])
-        ordinals[key] = ordinals.get(key, 0) + 1
-        out.append(
-            {
-                "rule": hit["rule"],
-                "ordinal": ordinals[key],
-                "scope": hit["scope"],
-                "text": "".join(hit["pieces"]),
-                "attr": hit["attr"],
-            }
-        )
+        ordinal = ordinals[name, scope] = ordinals.get((name, scope), 0) + 1
+        text = html[start:end]
+        if "<" in text:
+            text = _TAG.sub("", text)
+        out.append((name, ordinal, scope, unescape(text), attr))
     return out
 
 
+def _to_arrow(pages):
+    """List of element lists (or None) -> one Arrow array."""
+    flat = [e for page in pages for e in page or ()]
+    columns = list(zip(*flat)) or [()] * len(_ARROW_ELEMENT)
+    values = pa.StructArray.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _ARROW_ELEMENT)], fields=list(_ARROW_ELEMENT)
+    )
+    offsets, at = [], 0
+    for page in pages:
+        offsets.append(None if page is None else at)
+        at += len(page or ())
+    return pa.ListArray.from_arrays(pa.array([*offsets, at], pa.int32()), values)
+
+
 def select_elements(html: Column, rules: Sequence[Rule], scope: str | None = None) -> Column:
     """Array of the elements matching ``rules``, in document order.
 
@@ -263,7 +267,7 @@ def select_elements(html: Column, rules: Sequence[Rule], scope: str | None = Non
             except (ValueError, IndexError, RecursionError):
                 return None
 
-        return pa.array([one(p.as_py()) for p in pages], pa.list_(_ARROW_ELEMENT))
+        return _to_arrow([one(p) for p in pages.to_pylist()])
 
     return elements(html)
 
@@ -273,8 +277,10 @@ def of_rule(elements: Column, *names: str) -> Column:
     return F.filter(elements, lambda e: e["rule"].isin(*names))
 
 
-def first_text(elements: Column, *names: str) -> Column:
-    return F.get(of_rule(elements, *names), F.lit(0))["text"]
+def first_texts(elements: Column) -> Column:
+    """MAP of rule name -> text of its first element, outside any scope."""
+    first = F.filter(elements, lambda e: (e["ordinal"] == 1) & (e["scope"] == 0))
+    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["rule"], e["text"])))
 
 
 def anchor_hrefs(html: Column) -> Column:

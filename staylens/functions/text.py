@@ -5,7 +5,6 @@ They never raise under ANSI mode: text that cannot be read becomes NULL.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from collections.abc import Mapping
 
@@ -17,14 +16,12 @@ from staylens.functions.rules import NON_LATIN_PATTERN, YEAR_PATTERN
 # Every character that counts as white space in a Unicode strip.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
-_DECIMALS = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isdecimal()]
-_DECIMALS_FROM = "".join(_DECIMALS)
-_DECIMALS_TO = "".join(str(unicodedata.decimal(c)) for c in _DECIMALS)
-# Digits that are not decimals (superscripts and the like): kept by a digit
-# filter but unreadable as an integer, so their presence makes the value NULL.
-_OTHER_DIGITS = "".join(
-    c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isdigit() and not c.isdecimal()
-)
+# Decimal digits of the other scripts of the basic plane, ten in a row each.
+_NATIVE = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.isdecimal())
+_NATIVE_VALUES = "".join(str(unicodedata.decimal(c)) for c in _NATIVE)
+# Raised, lowered and circled digits: a digit filter keeps them, but they make
+# the text unreadable as an integer.
+_MARKED_DIGITS = "\u00b2\u00b3\u00b9\u2070-\u2079\u2080-\u2089\u2460-\u2468"
 
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -44,25 +41,23 @@ def blank_to_null(text: Column) -> Column:
 
 
 def ascii_digits(text: Column) -> Column:
-    """Write decimal digits of any script as 0-9."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, _DECIMALS_FROM, _DECIMALS_TO)).otherwise(text)
+    """Write decimal digits of other scripts as 0-9."""
+    return F.translate(text, _NATIVE, _NATIVE_VALUES)
 
 
 def digits(text: Column) -> Column:
     """All digits of the text joined, as BIGINT: ``MAD 1,450`` -> 1450, ``72.50`` -> 7250."""
-    kept = F.regexp_replace(text, rf"[^\p{{Nd}}{_OTHER_DIGITS}]", "")
-    return ascii_digits(blank_to_null(kept)).try_cast("bigint")
+    return ascii_digits(F.regexp_replace(text, rf"[^\p{{Nd}}{_MARKED_DIGITS}]+", "")).try_cast("bigint")
 
 
 def decimals(text: Column) -> Column:
-    """Decimal digits joined, as BIGINT; other digit-like characters are skipped."""
-    return ascii_digits(blank_to_null(F.regexp_replace(text, r"[^\p{Nd}]", ""))).try_cast("bigint")
+    """Decimal digits joined, as BIGINT; raised digits and the like are skipped."""
+    return ascii_digits(F.regexp_replace(text, r"[^\p{Nd}]+", "")).try_cast("bigint")
 
 
 def safe_double(text: Column) -> Column:
     """Finite decimal number or NULL; rejects ``nan``, ``inf``, ``8.4f`` and ``8.4d``."""
-    bare = strip(text)
-    return F.when(bare.rlike(_FLOAT), bare.try_cast("double"))
+    return F.regexp_extract(strip(text), _FLOAT, 0).try_cast("double")
 
 
 def part(text: Column, marker: str, index: int) -> Column:
@@ -92,15 +87,14 @@ def field_name(text: Column) -> Column:
 
 def year_of(text: Column) -> Column:
     """First free-standing 20xx year in the text."""
-    found = F.regexp_extract(text, unicode_pattern(YEAR_PATTERN), 1)
-    return ascii_digits(blank_to_null(found)).try_cast("int")
+    return F.regexp_extract(text, unicode_pattern(YEAR_PATTERN), 1).try_cast("int")
 
 
 def latin_only(text: Column) -> Column:
     """Drop everything outside basic Latin letters, digits, white space and ``- , . '``."""
     # Java leaves the four separator controls out of \s.
     pattern = NON_LATIN_PATTERN.replace(r"\s", r"\s\x1c-\x1f")
-    return F.regexp_replace(text, unicode_pattern(pattern), "")
+    return F.regexp_replace(text, unicode_pattern(pattern) + "+", "")
 
 
 def mapped(text: Column, table: Mapping[str, str]) -> Column:

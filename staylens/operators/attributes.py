@@ -8,12 +8,14 @@ aggregation with map-side combine).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import rules as R
-from staylens.functions.markup import first_text, of_rule, select_elements
+from staylens.functions.markup import first_texts, of_rule, select_elements
 from staylens.functions.text import after_last, digits, mapped, safe_double, strip
 from staylens.operators.prices import (
     SCAN,
@@ -102,27 +104,39 @@ def page_attributes(pages: DataFrame) -> DataFrame:
     )
     e = F.col("elements")
     generic = [r.name for r in R.PRICE_GENERIC_RULES]
+    # The arrays are searched once here; the next step only reads the results.
+    picked = scanned.select(
+        *kept,
+        "point",
+        "scanned",
+        first_texts(e).alias("first"),
+        F.transform(of_rule(e, R.PRICE_PRIMARY_RULE.name), lambda x: price(x["text"])).alias("primary"),
+        F.transform(of_rule(e, *generic), lambda x: generic_price(x["text"])).alias("generic"),
+        F.transform(of_rule(e, R.SUBSCORE_RULE.name), lambda x: score(x["text"])).alias("scores"),
+    )
+
+    def first(rule: str) -> Column:
+        return F.try_element_at("first", F.lit(rule))
+
+    def shown(rule: str) -> Column:
+        return F.map_contains_key("first", rule)
 
-    primary = F.transform(of_rule(e, R.PRICE_PRIMARY_RULE.name), lambda x: price(x["text"]))
-    fallback = F.transform(of_rule(e, *generic), lambda x: generic_price(x["text"]))
-    low, high = array_range(primary, fallback, F.col("scanned"))
+    low, high = array_range(F.col("primary"), F.col("generic"), F.col("scanned"))
     latitude, longitude = guarded(F.col("point"))
-    values = F.transform(of_rule(e, R.SUBSCORE_RULE.name), lambda x: score(x["text"]))
-    linked = F.size(of_rule(e, *[r.name for r in R.REVIEW_LINK_RULES])) > 0
-    carded = F.size(of_rule(e, R.REVIEW_CARD_RULE.name)) > 0
-    return scanned.select(
+    linked = reduce(or_, [shown(r.name) for r in R.REVIEW_LINK_RULES])
+    return picked.select(
         *kept,
-        normal_category(category(first_text(e, R.CATEGORY_RULE.name))).alias("category"),
-        score(first_text(e, R.SCORE_RULE.name)).alias("general_review"),
-        review_count(first_text(e, R.COUNT_RULE.name)).alias("general_review_count"),
-        *subscores(values),
+        normal_category(category(first(R.CATEGORY_RULE.name))).alias("category"),
+        score(first(R.SCORE_RULE.name)).alias("general_review"),
+        review_count(first(R.COUNT_RULE.name)).alias("general_review_count"),
+        *subscores(F.col("scores")),
         low.alias("min_price"),
         high.alias("max_price"),
         latitude.alias("latitude"),
         longitude.alias("longitude"),
-        wifi_speed(first_text(e, R.WIFI_RULE.name)).alias("wifi_speed"),
-        F.coalesce(linked & carded, F.lit(False)).alias("has_reviews"),
-        e.isNotNull().alias("readable"),
+        wifi_speed(first(R.WIFI_RULE.name)).alias("wifi_speed"),
+        F.coalesce(linked & shown(R.REVIEW_CARD_RULE.name), F.lit(False)).alias("has_reviews"),
+        F.col("first").isNotNull().alias("readable"),
     )
 
 
@@ -132,26 +146,31 @@ def element_attributes(elements: DataFrame, key: str = "page_id") -> DataFrame:
     ``selector`` holds the rule names; a row ``coordinates`` holds the text that
     carries the coordinates and rows ``price_scan`` amounts found in the page.
     """
-    selector, text, first = F.col("selector"), F.col("text"), F.col("ordinal") == 1
+    selector, ordinal = F.col("selector"), F.col("ordinal")
+    numeric = selector.isin(R.SCORE_RULE.name, R.SUBSCORE_RULE.name)
+    tier = F.coalesce(price_tier(selector), F.when(selector == "price_scan", SCAN))
+    # Texts are read once per row, before the aggregation refers to them often.
+    rows = elements.select(key, "selector", "ordinal", "text", tier.alias("tier")).withColumns(
+        {
+            "number": F.when(numeric, score(F.col("text"))),
+            "amount": tier_price(F.col("text"), F.col("tier")),
+            "reviews": F.when(selector == R.COUNT_RULE.name, review_count(F.col("text"))),
+        }
+    )
 
-    def only(rule: str, value: Column) -> Column:
-        return F.max(F.when((selector == rule) & first, value))
+    def only(rule: str, value: str, at: int = 1) -> Column:
+        return F.max(F.when((selector == rule) & (ordinal == at), F.col(value)))
 
-    tier = F.coalesce(price_tier(selector), F.when(selector == "price_scan", SCAN))
-    low, high = tiered_range(tier_price(text, tier), tier)
-    named = [
-        F.max(F.when((selector == R.SUBSCORE_RULE.name) & (F.col("ordinal") == at), score(text))).alias(name)
-        for name, at in R.SUBSCORE_POSITIONS.items()
-    ]
-    merged = elements.groupBy(key).agg(
-        only(R.CATEGORY_RULE.name, text).alias("category_text"),
-        only(R.SCORE_RULE.name, score(text)).alias("general_review"),
-        only(R.COUNT_RULE.name, review_count(text)).alias("general_review_count"),
-        *named,
+    low, high = tiered_range(F.col("amount"), F.col("tier"))
+    merged = rows.groupBy(key).agg(
+        only(R.CATEGORY_RULE.name, "text").alias("category_text"),
+        only(R.SCORE_RULE.name, "number").alias("general_review"),
+        only(R.COUNT_RULE.name, "reviews").alias("general_review_count"),
+        *[only(R.SUBSCORE_RULE.name, "number", at).alias(name) for name, at in R.SUBSCORE_POSITIONS.items()],
         low.alias("min_price"),
         high.alias("max_price"),
-        only("coordinates", text).alias("coordinate_text"),
-        only(R.WIFI_RULE.name, text).alias("wifi_text"),
+        only("coordinates", "text").alias("coordinate_text"),
+        only(R.WIFI_RULE.name, "text").alias("wifi_text"),
     )
     point = merged.withColumn("point", coordinates(F.col("coordinate_text")))
     latitude, longitude = guarded(F.col("point"))

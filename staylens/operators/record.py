@@ -43,10 +43,11 @@ def conform(df: DataFrame, schema: T.StructType, extras: bool = False) -> DataFr
 
     ``extras=True`` keeps further columns behind them in sorted order.
     """
+    present = df.columns
     columns = [
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
     ]
-    more = sorted(set(df.columns) - set(schema.names)) if extras else []
+    more = sorted(set(present) - set(schema.names)) if extras else []
     return df.select(*columns, *more)
 
 
@@ -103,4 +104,5 @@ def restore_nulls(exported: DataFrame, schema: T.StructType) -> DataFrame:
             value = F.nullif(value, F.lit(0).cast(field.dataType))
         return value.alias(field.name)
 
-    return exported.select(*[typed(f) for f in schema if f.name in exported.columns])
+    present = exported.columns
+    return exported.select(*[typed(f) for f in schema if f.name in present])

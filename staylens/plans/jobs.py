@@ -17,6 +17,7 @@ from staylens.functions.rules import DEFAULT_LINK_LIMIT
 from staylens.operators.links import canonical_url
 from staylens.plans.discovery import discover
 from staylens.plans.records import base_records, review_records, short_records
+from staylens.session import builder
 from staylens.sinks.exports import export_csv, write_records
 from staylens.sources import tables
 
@@ -87,5 +88,5 @@ def main(argv: list[str] | None = None) -> None:
     args = vars(parser.parse_args(argv))
     if args["kind"] == "reviews" and not args["cards"]:
         parser.error("reviews need --cards")
-    spark = SparkSession.builder.appName("staylens").getOrCreate()
+    spark = builder().getOrCreate()
     run(spark, **args)

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.rules import REVIEW_PAGE_LIMIT
-from staylens.operators.attributes import page_attributes, review_gate
+from staylens.operators.attributes import REVIEW_DERIVED, page_attributes, review_gate
 from staylens.operators.location import locations
 from staylens.operators.record import assemble, record_15, record_31, stamped
 from staylens.operators.reviews import reviewed_properties
 from staylens.plans.reviews import traveler_means, traveler_means_all_types
+from staylens.schemas import RECORD_31
 
 
 def base_records(pages: DataFrame, run_ts: str) -> DataFrame:
@@ -39,14 +40,13 @@ def review_records(
     types follow as extra columns in sorted order.
     """
     means = (traveler_means_all_types if all_types else traveler_means)(cards, target_year, page_limit, offered)
+    scores = tuple(c for c in means.columns if c != "property_id")
     reviews = reviewed_properties(cards).join(means, "property_id", "left").withColumn("carded", F.lit(True))
     placed = assemble(base, locations(geocodes), reviews)
     has_reviews = F.coalesce("carded", F.lit(False))
-    if "has_reviews" in placed.columns:
+    if "has_reviews" in base.columns:
         has_reviews = has_reviews & F.col("has_reviews")
-    derived = tuple(c for c in placed.columns if c.startswith("avg_review_score_"))
-    gated = review_gate(review_gate(placed, has_reviews), has_reviews, derived)
-    year = F.lit(target_year or None).cast("int")
-    dated = gated.withColumn("filtered_year", year)
-    used = [c for c in dated.columns if c in record_31(dated).columns or c in derived]
-    return record_31(dated.select(*used), extras=all_types)
+    gated = review_gate(placed, has_reviews, (*REVIEW_DERIVED, *scores))
+    dated = gated.withColumn("filtered_year", F.lit(target_year or None).cast("int"))
+    known = (*RECORD_31.names, *scores)
+    return record_31(dated.select(*[c for c in dated.columns if c in known]), extras=all_types)
