@@ -53,9 +53,23 @@ _SIMPLE = re.compile(
     r"|:nth-of-type\((?P<nth>\d+)\)"
 )
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-# A new one of these closes an open one of the same name inside the same container.
-_SELF_CLOSING = frozenset("p li dt dd option tr td th".split())
-_CONTAINERS = frozenset("table ul ol dl select div section article body".split())
+# A start tag on the left closes an open element of the middle set, looking up
+# no further than the elements on the right.
+_IMPLIED_END = {
+    "li": ({"li"}, {"ul", "ol", "table"}),
+    "dt": ({"dt", "dd"}, {"dl", "table"}),
+    "dd": ({"dt", "dd"}, {"dl", "table"}),
+    "td": ({"td", "th"}, {"table"}),
+    "th": ({"td", "th"}, {"table"}),
+    "tr": ({"tr"}, {"table"}),
+    "option": ({"option"}, {"select"}),
+}
+# Any of these closes an open paragraph.
+_ENDS_PARAGRAPH = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer"
+    " form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+_PARAGRAPH_SCOPE = frozenset("table td th caption button object template".split())
 
 
 def _compile(css: str):
@@ -169,15 +183,19 @@ def page_elements(html: str, rules, scope_steps=None):
     any_tag = checks[None]
     stack, found, top, scopes, last = [], [], {}, 0, 0
 
+    paragraphs = 0  # open ones
+
     def close(depth, end):
+        nonlocal paragraphs
         for node in stack[depth:]:
+            paragraphs -= node.tag == "p"
             for hit in node.hits or ():
                 hit[4], hit[5] = end, node.own
         del stack[depth:]
 
-    def close_last(tag, end, barriers=()):
+    def close_last(tags, end, barriers=()):
         for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth].tag == tag:
+            if stack[depth].tag in tags:
                 return close(depth, end)
             if stack[depth].tag in barriers:
                 return None
@@ -192,10 +210,12 @@ def page_elements(html: str, rules, scope_steps=None):
             continue
         tag = tag.lower()
         if closing:
-            close_last(tag, start)
+            close_last((tag,), start)
             continue
-        if tag in _SELF_CLOSING:
-            close_last(tag, start, _CONTAINERS)
+        if paragraphs and tag in _ENDS_PARAGRAPH:
+            close_last(("p",), start, _PARAGRAPH_SCOPE)
+        if tag in _IMPLIED_END:
+            close_last(_IMPLIED_END[tag][0], start, _IMPLIED_END[tag][1])
         if stack:
             parent = stack[-1]
             if parent.children is None:
@@ -207,6 +227,7 @@ def page_elements(html: str, rules, scope_steps=None):
         node = _Node(tag, raw, nth, scope)
         level = len(stack)
         stack.append(node)
+        paragraphs += tag == "p"
         if scope_steps and not scope and _matches(scope_steps, stack, len(scope_steps) - 1, level):
             scopes += 1
             node.scope = scopes

@@ -15,8 +15,10 @@ _MISS_KEYS = 4096
 
 
 def parse_response(body: Column) -> Column:
-    """STRUCT<display_name, address MAP>; broken JSON gives NULL."""
-    return F.from_json(body, GEOCODE_BODY, {"mode": "PERMISSIVE"})
+    """STRUCT<display_name, address MAP, broken>; NULL for no or broken JSON."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    parsed = F.from_json(body, GEOCODE_BODY + ", broken STRING", options)
+    return F.when(parsed["broken"].isNull(), parsed)
 
 
 def clean_address(display_name: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from staylens.functions.rules import REVIEW_PAGE_LIMIT
 from staylens.operators import reviews as V
@@ -51,5 +52,6 @@ def traveler_means_all_types(
     """As ``traveler_means``, with a pair of columns for every further type."""
     kept = kept_cards(cards, target_year, page_limit, offered)
     stats = V.type_stats(V.business_relabelled(kept), V.page_seq())
-    wide = V.widen_all(V.resolve_collisions(stats))
-    return V.all_stats(stats).join(wide, V.KEY)
+    # the grand total owns the name "all"
+    wide = V.widen_all(V.resolve_collisions(stats).where(F.col("traveler_type") != "all"))
+    return V.all_stats(stats).join(wide, V.KEY, "left")
