@@ -15,7 +15,7 @@ from staylens.functions.text import blank_to_null, field_name, mapped, part, saf
 from staylens.schemas import count_column, mean_column
 
 KEY = "property_id"
-_SPREAD = 64
+_LANES = 64
 
 
 # --- cards -------------------------------------------------------------------
@@ -119,37 +119,67 @@ def newest_first(cards: DataFrame) -> DataFrame:
 
 def newest_k(
     cards: DataFrame,
-    pages: int | None = R.REVIEW_PAGE_LIMIT,
+    pages: int = R.REVIEW_PAGE_LIMIT,
     page_size: int = R.REVIEW_PAGE_SIZE,
-    spread: int = _SPREAD,
+    lanes: int = _LANES,
 ) -> DataFrame:
     """Newest ``pages * page_size`` cards per property and list, with ``seq`` from 1.
 
     For cards that carry no page number; with one, ``first_pages`` needs no
-    shuffle.  0 or None means no cap.  The cap is taken in two steps: per group
-    of input partitions, then per list.  Each step limits before it shuffles,
-    so a property with a third of all reviews is cut down by many tasks and
-    only ``spread * k`` of its rows meet in the last one.
+    shuffle.  The cap is taken in two steps: per lane of input partitions, then
+    per list.  Each step limits before it shuffles, so a property with a third
+    of all reviews is cut down by many tasks and at most ``lanes * k`` of its
+    rows meet in the last one.
     """
-    newest = [F.desc("review_ts"), F.col("review_id")]
-    last = W.partitionBy(KEY, "list_kind").orderBy(*newest)
-    if not pages:
-        return cards.withColumn("seq", F.row_number().over(last))
     k = pages * page_size
-    group = W.partitionBy(KEY, "list_kind", "lane").orderBy(*newest)
-    lanes = cards.withColumn("lane", F.spark_partition_id() % spread)
-    cut = lanes.withColumn("seq", F.row_number().over(group)).where(F.col("seq") <= k).drop("lane", "seq")
-    return cut.withColumn("seq", F.row_number().over(last)).where(F.col("seq") <= k)
+    newest = [F.desc("review_ts"), F.col("review_id")]
+    by_lane = W.partitionBy(KEY, "list_kind", "lane").orderBy(*newest)
+    by_list = W.partitionBy(KEY, "list_kind").orderBy(*newest)
+    laned = cards.withColumn("lane", F.spark_partition_id() % lanes)
+    cut = laned.withColumn("seq", F.row_number().over(by_lane)).where(F.col("seq") <= k).drop("lane", "seq")
+    return cut.withColumn("seq", F.row_number().over(by_list)).where(F.col("seq") <= k)
+
+
+def numbered_pages(
+    cards: DataFrame, pages: int = R.REVIEW_PAGE_LIMIT, page_size: int = R.REVIEW_PAGE_SIZE
+) -> DataFrame:
+    """The newest cards with the page number and position they have on the site."""
+    place = F.col("seq") - 1
+    return (
+        newest_k(cards, pages, page_size)
+        .withColumns(
+            {
+                "page_no": (F.floor(place / page_size) + 1).cast("int"),
+                "pos": (place % page_size + 1).cast("int"),
+            }
+        )
+        .drop("seq")
+    )
 
 
 def first_pages(cards: DataFrame, pages: int | None = R.REVIEW_PAGE_LIMIT) -> DataFrame:
-    """Cap by stored page number: a filter that reaches the scan."""
+    """Cap by stored page number: a filter that reaches the scan.  0 or None: no cap."""
     return cards.where(F.col("page_no") <= pages) if pages else cards
 
 
-def page_seq() -> Column:
-    """Place of a card in its list as one BIGINT, from page number and position."""
-    return F.shiftleft(F.col("page_no").cast("bigint"), 31).bitwiseOR(F.col("pos").cast("bigint"))
+def capped(cards: DataFrame, pages: int | None = R.REVIEW_PAGE_LIMIT) -> DataFrame:
+    """The cards that are looked at: by page number where there is one, else the newest."""
+    if not pages:
+        return cards
+    return first_pages(cards, pages) if "page_no" in cards.columns else numbered_pages(cards, pages)
+
+
+def card_order(cards: DataFrame) -> Column:
+    """Order in which cards are met: the ALL list, then the business list.
+
+    One BIGINT from page number and position where the cards have them (cheap
+    to aggregate); else the newest-first order itself.
+    """
+    later = is_business()
+    if "page_no" in cards.columns:
+        place = F.shiftleft(F.col("page_no").cast("bigint"), 31).bitwiseOR(F.col("pos").cast("bigint"))
+        return F.when(later, F.lit(1 << 62)).otherwise(F.lit(0)) + place
+    return F.struct(later, -F.unix_micros("review_ts"), "review_id")
 
 
 # --- aggregation -----------------------------------------------------------------
@@ -174,18 +204,17 @@ def normal_type(raw: Column, table: Mapping[str, str] = R.TRAVELER_TYPE_MAP) ->
     return mapped(field_name(raw), table)
 
 
-def type_stats(cards: DataFrame, seq: Column | None = None) -> DataFrame:
+def type_stats(cards: DataFrame, order: Column | None = None) -> DataFrame:
     """Mean and count per property and raw type.
 
     ``sum_exact``/``sum_other`` let later steps add groups up without the rows.
-    With ``seq`` (place in its list), ``first_seen`` tells when the type first
-    occurred: the ALL list comes before the business list.
+    With ``order`` (see ``card_order``), ``first_seen`` tells when the type first
+    occurred.
     """
     exact, other = exact_sums(F.col("score"))
     aggs = [exact.alias("sum_exact"), other.alias("sum_other"), F.count("score").alias("n")]
-    if seq is not None:
-        later = F.when(is_business(), F.lit(1 << 62)).otherwise(F.lit(0))
-        aggs.append(F.min(later + seq).alias("first_seen"))
+    if order is not None:
+        aggs.append(F.min(order).alias("first_seen"))
     stats = cards.groupBy(KEY, "traveler_type").agg(*aggs)
     return stats.withColumn("avg_score", total(F.col("sum_exact"), F.col("sum_other")) / F.col("n"))
 

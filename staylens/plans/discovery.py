@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.markup import of_rule, select_elements
 from staylens.functions.rules import LINK_NEEDLE, LINK_RULES, Rule
+from staylens.functions.workspace import stored
 from staylens.operators.crawl import page_state, visited_views
 from staylens.operators.links import first_n, first_rule_hrefs, first_seen, is_listing
 
@@ -42,9 +43,9 @@ def discover(
 ) -> DataFrame:
     """Stored search views -> the first ``limit`` distinct listings.
 
-    The views are read once; which of them count is decided on the small
-    per-view rows.
+    The pages are read once; the links of each view are stored, and which views
+    count is decided on those rows.
     """
-    kept = visited_views(read_views(views, rules, needle))
+    kept = visited_views(stored(read_views(views, rules, needle), "views"))
     links = kept.select("dest_seq", "scroll_no", F.posexplode("hrefs").alias("pos", "href"))
     return first_n(first_seen(links.where(F.col("href").isNotNull())), limit)

@@ -454,7 +454,8 @@ SELECT property_id, kind AS traveler_type, {_MEAN_OF_CENTS} AS avg_score, CAST(s
     "html_review_cards": f"""
 WITH {_CARDS}
 SELECT property_id, list_kind, CAST((seq - 1) // 10 + 1 AS INTEGER) AS page_no, CAST((seq - 1) % 10 + 1 AS INTEGER) AS pos,
-  CASE WHEN contains(score_text, 'Scored') THEN score_text END AS score_text, stay_date, traveler_type FROM paged""",
+  CASE WHEN contains(score_text, 'Scored') THEN score_text END AS score_text, stay_date, traveler_type
+FROM paged WHERE seq <= 200""",
     "property_record": f"""
 {_TO_RESOLVED}, {_TOTALS}, {_WIDE}, {_SHORT},
 reviewed AS (SELECT DISTINCT sha256('https://stays.example/hotel/' || property_id || '.html') AS property_id FROM cards),

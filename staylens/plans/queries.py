@@ -11,12 +11,12 @@ from staylens import schemas
 from staylens.functions import rules as R
 from staylens.functions import text as X
 from staylens.functions.markup import select_elements
-from staylens.functions.workspace import scratch_dir
+from staylens.functions.workspace import scratch_dir, stored
 from staylens.operators import attributes as A
 from staylens.operators import crawl, links, location, prices, record, requests, runs
 from staylens.operators import reviews as V
 from staylens.plans import records
-from staylens.plans.reviews import kept_cards, traveler_means, traveler_means_all_types
+from staylens.plans.reviews import raw_type_stats, traveler_means, traveler_means_all_types
 from staylens.sinks.exports import page_heads
 from staylens.sources import adapters as D
 from staylens.sources import tables
@@ -416,13 +416,11 @@ def newest_k_reviews(spark, sf):
 
 @query
 def first_review_pages(spark, sf):
-    return V.first_pages(D.paged_cards(_cards(spark, sf)), 2).select(*CARD, "page_no", "pos")
+    return V.first_pages(V.numbered_pages(_cards(spark, sf)), 2).select(*CARD, "page_no", "pos")
 
 
 def _stats(spark, sf):
-    paged = D.paged_cards(_cards(spark, sf))
-    kept = kept_cards(paged, YEAR)
-    return V.type_stats(V.union_business(kept), V.page_seq())
+    return raw_type_stats(_cards(spark, sf), YEAR)
 
 
 @query
@@ -464,23 +462,22 @@ def traveler_pivot(spark, sf):
 
 @query
 def dynamic_columns(spark, sf):
-    return V.widen_all(V.resolve_collisions(_stats(spark, sf)))
+    return V.widen_all(V.resolve_collisions(stored(_stats(spark, sf), "type-stats")))
 
 
 @query
 def traveler_means_by_property(spark, sf):
-    return traveler_means(D.paged_cards(_cards(spark, sf)), YEAR)
+    return traveler_means(_cards(spark, sf), YEAR)
 
 
 @query
 def traveler_means_dynamic(spark, sf):
-    return traveler_means_all_types(D.paged_cards(_cards(spark, sf)), YEAR)
+    return traveler_means_all_types(_cards(spark, sf), YEAR)
 
 
 @query
 def html_review_cards(spark, sf):
-    pages = D.review_pages(D.paged_cards(_cards(spark, sf)))
-    return V.cards_from_pages(pages)
+    return V.cards_from_pages(D.review_pages(V.numbered_pages(_cards(spark, sf))))
 
 
 # --- records ----------------------------------------------------------------------------------------
@@ -499,9 +496,8 @@ def _geocodes(spark, sf):
 
 def _record_cards(spark, sf):
     # the property key of a record is a hash of its URL, so cards carry it too
-    paged = D.paged_cards(_cards(spark, sf))
     url = F.concat(F.lit("https://stays.example/hotel/"), "property_id", F.lit(".html"))
-    return paged.withColumn("property_id", record.stable_id(url))
+    return _cards(spark, sf).withColumn("property_id", record.stable_id(url))
 
 
 def _text_time(df):

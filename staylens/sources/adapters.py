@@ -8,11 +8,11 @@ operator is met.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from staylens.functions import rules as R
 from staylens.operators.links import explode_anchors
+from staylens.operators.prices import price
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,21 +64,6 @@ def review_cards(events: DataFrame) -> DataFrame:
     )
 
 
-def paged_cards(cards: DataFrame) -> DataFrame:
-    """Page number and position, newest first, ten cards a page."""
-    place = F.row_number().over(
-        W.partitionBy("property_id", "list_kind").orderBy(F.desc("review_ts"), "review_id")
-    )
-    numbered = cards.withColumn("place", place - 1)
-    size = R.REVIEW_PAGE_SIZE
-    return numbered.withColumns(
-        {
-            "page_no": (F.floor(F.col("place") / size) + 1).cast("int"),
-            "pos": (F.col("place") % size + 1).cast("int"),
-        }
-    ).drop("place")
-
-
 # --- pages as search views ------------------------------------------------------
 
 
@@ -224,14 +209,22 @@ def property_snapshots(
 
     Works on a streaming ``pages`` too: the other tables are joined as they are.
     """
-    cell = F.concat(
-        F.lit('<td class="hprt-table-cell hprt-table-cell-price"><div class="hprt-price-block"><div class="prco-wrapper">'
-              '<span class="prco-valign-middle-helper bold">'),
-        price_text(),
-        F.lit("</span></div></div></td>"),
-    )
+
+    def cell(text: Column) -> Column:
+        markup = F.concat(
+            F.lit('<td class="hprt-table-cell hprt-table-cell-price"><div class="hprt-price-block"><div class="prco-wrapper">'
+                  '<span class="prco-valign-middle-helper bold">'),
+            text,
+            F.lit("</span></div></div></td>"),
+        )
+        return F.coalesce(markup, F.lit(""))
+
+    # the cheapest and the dearest line of an order, and one without a number
+    text, amount = price_text(), price(price_text())
     cells = lineitem.groupBy(F.col("l_orderkey").alias("page_id")).agg(
-        F.array_join(F.array_sort(F.collect_list(cell)), "").alias("cells")
+        F.concat(
+            cell(F.min_by(text, amount)), cell(F.max_by(text, amount)), cell(F.max(F.when(amount.isNull(), text)))
+        ).alias("cells")
     )
     crumbs = part.select(
         F.col("p_partkey").alias("page_id"),
@@ -284,7 +277,7 @@ def property_snapshots(
 
 
 def review_pages(cards: DataFrame) -> DataFrame:
-    """Review pages with the markup of ten cards each, from paged cards."""
+    """Review pages with the markup of ten cards each, from cards with page numbers."""
 
     def tag(name: str, value: Column) -> Column:
         return F.coalesce(F.concat(F.lit(f'<span data-testid="{name}">'), value, F.lit("</span>")), F.lit(""))

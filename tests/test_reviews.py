@@ -119,7 +119,8 @@ def test_double_count_and_collision(spark):
     assert got["p"]["couples"] == (8.0, 1) and got["p"]["business_travellers"] == (6.0, 1)
     assert got["p"]["all"] == (pytest.approx(20 / 3), 3)
     assert got["q"]["families"] == (5.0, 2) and got["q"]["all"] == (pytest.approx(20 / 3), 3)
-    stats = V.type_stats(V.union_business(V.parse_cards(cards_df(spark, rows))), V.page_seq())
+    parsed = V.parse_cards(cards_df(spark, rows))
+    stats = V.type_stats(V.union_business(parsed), V.card_order(parsed))
     merged = {(r.property_id, r.traveler_type): (r.avg_score, r.n) for r in V.resolve_collisions(stats, merge=True).collect()}
     assert merged["q", "families"] == (pytest.approx(20 / 3), 3)
 
@@ -157,9 +158,9 @@ def test_newest_k_of_a_hot_property(spark):
     groups = defaultdict(list)
     for r in rows:
         groups[r[0]].append((-(r[2] - T0).total_seconds(), r[3]))
-    for pages, size, spread in ((2, 10, 64), (1, 7, 3), (20, 10, 1), (None, 10, 64)):
-        got = V.newest_k(df, pages, size, spread).collect()
-        k = pages * size if pages else 10**9
+    for pages, size, lanes in ((2, 10, 64), (1, 7, 3), (20, 10, 1), (500, 10, 64)):
+        got = V.newest_k(df, pages, size, lanes).collect()
+        k = pages * size
         want = {(p, i + 1, rid) for p, g in groups.items() for i, (_, rid) in enumerate(sorted(g)[:k])}
         assert {(r.property_id, r.seq, r.review_id) for r in got} == want
 
@@ -169,7 +170,21 @@ def test_cap_is_two_hundred_by_default(spark):
     df = cards_df(spark, rows)
     assert V.first_pages(df).count() == 200 and V.newest_k(df).count() == 200
     assert max(r.review_id for r in V.newest_k(df).collect()) == 199
-    assert V.first_pages(df, None).count() == 210
+    assert V.first_pages(df, None).count() == V.capped(df, 0).count() == 210
+    bare = df.drop("page_no", "pos")
+    same_pages = V.capped(bare).select("review_id", "page_no", "pos").exceptAll(df.select("review_id", "page_no", "pos"))
+    assert V.capped(bare).count() == 200 and same_pages.count() == 0
+
+
+@pytest.mark.parametrize("limit", [2, None])
+def test_cards_without_page_numbers_give_the_same_means(spark, limit):
+    rng = random.Random(11)
+    rows = [
+        card(p, k, n, f"Scored {rng.randrange(10, 100) / 10}", "2025", rng.choice(["Couple", "Couples", "Family"]))
+        for p in "ab" for k in ("ALL", "BUSINESS_TRAVELLERS") for n in range(35)
+    ]
+    df = cards_df(spark, rows)
+    assert as_dict(traveler_means(df, 2025, limit)) == as_dict(traveler_means(df.drop("page_no", "pos").repartition(6), 2025, limit))
 
 
 def test_offered_lists(spark):
