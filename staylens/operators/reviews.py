@@ -15,7 +15,10 @@ from staylens.functions.text import blank_to_null, field_name, mapped, part, saf
 from staylens.schemas import count_column, mean_column
 
 KEY = "property_id"
-_LANES = 64
+# A review list with more cards than this is not left to one task.
+HOT_ROWS = 1_000_000
+MAX_HOT = 10_000
+LANES = 256
 
 
 # --- cards -------------------------------------------------------------------
@@ -117,27 +120,47 @@ def newest_first(cards: DataFrame) -> DataFrame:
     return cards.orderBy(F.desc("review_ts"), "review_id")
 
 
+def hot_lists(cards: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """Review lists too large for one task: at most ``MAX_HOT`` of them, by arithmetic.
+
+    A list is hot with more than ``rows`` cards and more than one in ``MAX_HOT``
+    of all cards.  Only the key columns are read, and counted before a shuffle.
+    """
+    keyed = cards.where(F.col(KEY).isNotNull() & F.col("list_kind").isNotNull())
+    counts = keyed.groupBy(KEY, "list_kind").agg(F.count("*").alias("n"))
+    share = counts.agg(F.sum("n") / MAX_HOT).scalar()
+    return counts.where((F.col("n") > rows) & (F.col("n") > share)).drop("n")
+
+
 def newest_k(
     cards: DataFrame,
     pages: int = R.REVIEW_PAGE_LIMIT,
     page_size: int = R.REVIEW_PAGE_SIZE,
-    lanes: int = _LANES,
+    hot_rows: int = HOT_ROWS,
+    lanes: int = LANES,
 ) -> DataFrame:
     """Newest ``pages * page_size`` cards per property and list, with ``seq`` from 1.
 
     For cards that carry no page number; with one, ``first_pages`` needs no
-    shuffle.  The cap is taken in two steps: per lane of input partitions, then
-    per list.  Each step limits before it shuffles, so a property with a third
-    of all reviews is cut down by many tasks and at most ``lanes * k`` of its
-    rows meet in the last one.
+    shuffle.  Every ranking limits inside each task before it shuffles.  Lists
+    that are hot all the same are ranked in two steps, first per lane of input
+    partitions, so that at most ``lanes * k`` of their rows meet in one task;
+    all other lists are shuffled once.  The hot keys are few by definition and
+    are sent to all tasks.
     """
     k = pages * page_size
     newest = [F.desc("review_ts"), F.col("review_id")]
-    by_lane = W.partitionBy(KEY, "list_kind", "lane").orderBy(*newest)
-    by_list = W.partitionBy(KEY, "list_kind").orderBy(*newest)
-    laned = cards.withColumn("lane", F.spark_partition_id() % lanes)
-    cut = laned.withColumn("seq", F.row_number().over(by_lane)).where(F.col("seq") <= k).drop("lane", "seq")
-    return cut.withColumn("seq", F.row_number().over(by_list)).where(F.col("seq") <= k)
+
+    def ranked(df: DataFrame, *keys: str) -> DataFrame:
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*newest))
+        return df.withColumn("seq", place).where(F.col("seq") <= k)
+
+    keys = (KEY, "list_kind")
+    hot = F.broadcast(hot_lists(cards, hot_rows))
+    cold = ranked(cards.join(hot, [*keys], "left_anti"), *keys)
+    laned = cards.join(hot, [*keys], "left_semi").withColumn("lane", F.spark_partition_id() % lanes)
+    cut = ranked(laned, *keys, "lane").drop("lane", "seq")
+    return cold.unionByName(ranked(cut, *keys))
 
 
 def numbered_pages(
@@ -179,7 +202,7 @@ def card_order(cards: DataFrame) -> Column:
     if "page_no" in cards.columns:
         place = F.shiftleft(F.col("page_no").cast("bigint"), 31).bitwiseOR(F.col("pos").cast("bigint"))
         return F.when(later, F.lit(1 << 62)).otherwise(F.lit(0)) + place
-    return F.struct(later, -F.unix_micros("review_ts"), "review_id")
+    return F.struct(later, -F.unix_micros(F.col("review_ts").cast("timestamp")), "review_id")
 
 
 # --- aggregation -----------------------------------------------------------------

@@ -24,7 +24,8 @@ def plan(df) -> str:
 
 def test_top_k_limits_before_each_shuffle(spark):
     text = plan(QUERIES["newest_k_reviews"](spark, SF))
-    assert text.count("WindowGroupLimit") == 4 and text.count("Partial") == 2
+    # one ranking for ordinary lists, two for hot ones, each limited before and after its shuffle
+    assert text.count("WindowGroupLimit") == 6 and text.count("Partial") == 3
 
 
 def test_first_seen_combines_before_the_shuffle(spark):

@@ -158,8 +158,9 @@ def test_newest_k_of_a_hot_property(spark):
     groups = defaultdict(list)
     for r in rows:
         groups[r[0]].append((-(r[2] - T0).total_seconds(), r[3]))
-    for pages, size, lanes in ((2, 10, 64), (1, 7, 3), (20, 10, 1), (500, 10, 64)):
-        got = V.newest_k(df, pages, size, lanes).collect()
+    assert [r.property_id for r in V.hot_lists(df, 100).collect()] == ["hot"]
+    for pages, size, hot_rows, lanes in ((2, 10, 100, 64), (1, 7, 0, 3), (20, 10, 100, 1), (500, 10, 3, 64), (2, 10, 10**6, 64)):
+        got = V.newest_k(df, pages, size, hot_rows, lanes).collect()
         k = pages * size
         want = {(p, i + 1, rid) for p, g in groups.items() for i, (_, rid) in enumerate(sorted(g)[:k])}
         assert {(r.property_id, r.seq, r.review_id) for r in got} == want
