@@ -119,11 +119,11 @@ _STATE = """CASE WHEN contains(lower(text), 'hetion') OR contains(lower(text), '
 
 
 def _plain(markup: str) -> str:
-    """Text content of simple markup."""
+    """Text content of simple markup; a name like ``&amp`` may lack its semicolon."""
     text = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
-    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"),
-                         ("&middot;", "·"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{sign}')"
+    for entity, sign in (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "''"), ("&copy", "©"),
+                         ("&middot", "·"), ("&nbsp", " "), ("&amp", "&")):
+        text = f"regexp_replace({text}, '{entity};?', '{sign}', 'g')"
     return text
 
 

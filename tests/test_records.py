@@ -146,10 +146,10 @@ def test_batch_with_new_columns_does_not_break_the_file(spark, tmp_path):
 def test_run_name_and_progress(spark):
     rows = [(1, 1, "Marrakech"), (1, 2, "El Jadida"), (2, 1, "Tangier")]
     df = spark.createDataFrame(rows, "run int, dest_seq int, city string").withColumn(
-        "started", F.lit("2025-09-10 15:38:19").cast("timestamp")
+        "started", F.lit("2026-01-05 08:00:00").cast("timestamp")
     )
     got = [r.run_id for r in runs.run_names(df, ["run"]).orderBy("run").collect()]
-    assert got == ["marrakech-el jadida_20250910_153819", "tangier_20250910_153819"]
+    assert got == ["marrakech-el jadida_20260105_080000", "tangier_20260105_080000"]
     row = runs.run_summary(df, "run", F.col("city") == "Marrakech").orderBy("run").first()
     assert (row.n_done, row.n_total, row.percent) == (1, 2, 50.0)
     seen = Observation("rows")
