@@ -53,6 +53,7 @@ _SIMPLE = re.compile(
     r"|:nth-of-type\((?P<nth>\d+)\)"
 )
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_FOREIGN = frozenset(("svg", "math"))
 # A start tag on the left closes an open element of the middle set, looking up
 # no further than the elements on the right.
 _IMPLIED_END = {
@@ -124,7 +125,7 @@ class _Node:
 
     def __init__(self, tag, raw, nth, scope):
         self.tag, self.raw, self.nth, self.scope = tag, raw, nth, scope
-        self.children = self.parsed = self.hits = self.own = None
+        self.children, self.parsed, self.hits, self.own = {}, None, None, None
 
     def attrs(self):
         if self.parsed is None:
@@ -181,8 +182,10 @@ def page_elements(html: str, rules, scope_steps=None):
         for tag in (*wanted, None)
     }
     any_tag = checks[None]
+    used = [rule for group in checks.values() for rule, _, _ in group]
+    count_siblings = any(step[2] for rule in used for step in rule[1])
+    read_own_text = any(rule[3] for rule in used)
     stack, found, top, scopes, last = [], [], {}, 0, 0
-
     paragraphs = 0  # open ones
 
     def close(depth, end):
@@ -202,33 +205,37 @@ def page_elements(html: str, rules, scope_steps=None):
 
     for token in _TAG.finditer(html):
         start, end = token.span()
-        if start > last and stack and stack[-1].own is None:
-            stack[-1].own = (last, start)
-        last = end
         closing, tag, raw = token.group("close", "tag", "attrs")
+        if read_own_text:
+            if start > last and stack and stack[-1].own is None:
+                stack[-1].own = (last, start)
+            last = end
         if not tag:  # comment, declaration, script or style
             continue
         tag = tag.lower()
         if closing:
-            close_last((tag,), start)
+            if stack and stack[-1].tag == tag and tag != "p":  # the usual case
+                node = stack.pop()
+                if node.hits:
+                    for hit in node.hits:
+                        hit[4], hit[5] = start, node.own
+            else:
+                close_last((tag,), start)
             continue
         if paragraphs and tag in _ENDS_PARAGRAPH:
             close_last(("p",), start, _PARAGRAPH_SCOPE)
         if tag in _IMPLIED_END:
             close_last(_IMPLIED_END[tag][0], start, _IMPLIED_END[tag][1])
-        if stack:
-            parent = stack[-1]
-            if parent.children is None:
-                parent.children = {}
-            siblings, scope = parent.children, parent.scope
-        else:
-            siblings, scope = top, 0
-        nth = siblings[tag] = siblings.get(tag, 0) + 1
-        node = _Node(tag, raw, nth, scope)
+        parent = stack[-1] if stack else None
+        nth = 0
+        if count_siblings:
+            siblings = parent.children if parent else top
+            nth = siblings[tag] = siblings.get(tag, 0) + 1
+        node = _Node(tag, raw, nth, parent.scope if parent else 0)
         level = len(stack)
         stack.append(node)
         paragraphs += tag == "p"
-        if scope_steps and not scope and _matches(scope_steps, stack, len(scope_steps) - 1, level):
+        if scope_steps and not node.scope and _matches(scope_steps, stack, len(scope_steps) - 1, level):
             scopes += 1
             node.scope = scopes
         for (name, steps, attr, own_text), needle, at in checks.get(tag, any_tag):
@@ -238,9 +245,10 @@ def page_elements(html: str, rules, scope_steps=None):
                 hit = [name, node.scope, node.attrs().get(attr) if attr else None, end, end, None, own_text]
                 node.hits = [hit] if node.hits is None else [*node.hits, hit]
                 found.append(hit)
-        if tag in _VOID or raw.endswith("/"):
+        # a closing slash counts in drawings and formulas only
+        if tag in _VOID or (raw.endswith("/") and any(n.tag in _FOREIGN for n in stack)):
             close(level, end)
-    if last < len(html) and stack and stack[-1].own is None:
+    if read_own_text and last < len(html) and stack and stack[-1].own is None:
         stack[-1].own = (last, len(html))
     close(0, len(html))
 

@@ -75,6 +75,13 @@ def test_broken_markup_is_read_as_far_as_possible():
     assert [e[4] for e in found(html, Rule("a", 'a[href*="/hotel/"]', "href"))] == ["/hotel/1", "/hotel/2"]
 
 
+def test_closing_slash_counts_in_drawings_only():
+    html = "<div><svg><path d='x'/><g></g></svg><div/><b>in</b></div><a href=/hotel/>t</a>"
+    assert [e[3] for e in found(html, Rule("b", "div > div > b"))] == ["in"]
+    assert [e[3] for e in found(html, Rule("g", "svg > g"))] == [""]
+    assert [(e[3], e[4]) for e in found(html, Rule("a", "a", "href"))] == [("t", "/hotel/")]
+
+
 class _Anchors(HTMLParser):
     def __init__(self):
         super().__init__()
