@@ -220,11 +220,11 @@ def property_snapshots(
         return F.coalesce(markup, F.lit(""))
 
     # the cheapest and the dearest line of an order, and one without a number
-    text, amount = price_text(), price(price_text())
-    cells = lineitem.groupBy(F.col("l_orderkey").alias("page_id")).agg(
-        F.concat(
-            cell(F.min_by(text, amount)), cell(F.max_by(text, amount)), cell(F.max(F.when(amount.isNull(), text)))
-        ).alias("cells")
+    lines = lineitem.select(F.col("l_orderkey").alias("page_id"), price_text().alias("text"))
+    priced = lines.withColumn("amount", price(F.col("text")))
+    unpriced = F.when(F.col("amount").isNull(), F.col("text"))
+    cells = priced.groupBy("page_id").agg(
+        F.concat(cell(F.min_by("text", "amount")), cell(F.max_by("text", "amount")), cell(F.max(unpriced))).alias("cells")
     )
     crumbs = part.select(
         F.col("p_partkey").alias("page_id"),
