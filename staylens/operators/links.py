@@ -75,7 +75,8 @@ def fallback_elements(elements: DataFrame, view: Sequence[str], rule: str = "rul
     """Same choice on a table of element rows: keep all rows of the lowest rule per view.
 
     The lowest rule is an aggregate with map-side combine joined back, so that
-    a view with very many elements is never sorted in one task.
+    a view with very many elements is never sorted in one task.  ``elements`` is
+    read twice: give it a stored table, not the markup step itself.
     """
     best = elements.groupBy(*view).agg(F.min(rule).alias(rule))
     return elements.join(best, [*view, rule], "left_semi")

@@ -99,7 +99,7 @@ def link_fallback(spark, sf):
 
 @query
 def link_fallback_rows(spark, sf):
-    rows = page_elements(spark, sf).where(F.col("selector") != "ad")
+    rows = stored(page_elements(spark, sf).where(F.col("selector") != "ad"), "elements")
     rule = F.when(F.col("selector") == "absent", 1).when(F.col("selector") == "heading", 2).otherwise(3)
     low = F.when(F.col("page_id") % 2 == 0, rule).otherwise(4 - rule)
     kept = links.fallback_elements(rows.withColumn("rule_no", low), ["page_id"])

@@ -37,7 +37,8 @@ def review_records(
 
     A property without any card (or, where ``base`` says so, without a review
     link) has no review-derived values.  With ``all_types``, further traveller
-    types follow as extra columns in sorted order.
+    types follow as extra columns in sorted order.  ``cards`` is read once for
+    the means and once, its key column only, for the gate: give it a stored table.
     """
     means = (traveler_means_all_types if all_types else traveler_means)(cards, target_year, page_limit, offered)
     scores = tuple(c for c in means.columns if c != "property_id")

@@ -33,6 +33,7 @@ def _fields(*specs: tuple[str, T.DataType]) -> list[T.StructField]:
     return [T.StructField(name, kind, True) for name, kind in specs]
 
 
+# --- fixed values: columns of the two record forms, in order -----------------
 _STR, _DBL, _INT = T.StringType(), T.DoubleType(), T.LongType()
 
 _PLACE = _fields(

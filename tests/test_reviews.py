@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 import re
+import statistics
 from collections import defaultdict
 
 import pytest
@@ -25,45 +26,40 @@ def cards_df(spark, rows):
     return spark.createDataFrame(rows, schemas.REVIEW_CARDS)
 
 
+def number(text):
+    """What stands between the first marker and the next, if it is a plain number."""
+    found = re.search(r"Scored (.*?)(?:Scored |\Z)", text or "", re.S)
+    return float(found[1]) if found and re.fullmatch(r"\s*\d+(\.\d+)?\s*", found[1]) else None
+
+
+def counts(kind, date, ttype, target):
+    date = (date or "").strip()
+    fits = not target or re.findall(r"\b20\d\d\b", date)[:1] == [str(target)]
+    if kind == "ALL":
+        return bool((ttype or "").strip()) and (fits or not date)
+    return fits
+
+
 def spec(rows, target, pages=20):
-    """The specification as a loop over lists of cards."""
+    """Brute force per property: mean and count by normal type name, and over all."""
+    met = defaultdict(lambda: defaultdict(list))
+    for pid, kind, _, _, page, _, text, date, ttype in sorted(rows, key=lambda r: (r[1] != "ALL", r[4], r[5])):
+        if page <= pages and number(text) is not None and counts(kind, date, ttype, target):
+            met[pid][ttype.strip() if kind == "ALL" else "Business travellers"].append(number(text))
     out = {}
-    for pid in {r[0] for r in rows}:
-        scores = defaultdict(list)
-        for kind in ("ALL", "BUSINESS_TRAVELLERS"):
-            for r in sorted((r for r in rows if r[0] == pid and r[1] == kind), key=lambda r: (r[4], r[5])):
-                _, _, _, _, page, _, score_text, date, ttype = r
-                pieces = (score_text or "").split("Scored ")
-                if page > pages or len(pieces) < 2:
-                    continue
-                try:
-                    score = float(pieces[1].strip())
-                except ValueError:
-                    continue
-                year = re.search(r"\b(20\d{2})\b", (date or "").strip())
-                year = int(year.group(1)) if year else None
-                unknown = not (date or "").strip()
-                ttype = (ttype or "").strip()
-                if kind == "ALL":
-                    if target and not unknown and year != target:
-                        continue
-                    if ttype:
-                        scores[ttype].append(score)
-                else:
-                    if target and year != target:
-                        continue
-                    scores["Business travellers"].append(score)
-        row = {}
-        for raw, values in scores.items():
-            name = raw.lower().replace(" ", "_").replace("-", "_")
-            row[TRAVELER_TYPE_MAP.get(name, name)] = (sum(values) / len(values), len(values))
-        every = [s for v in scores.values() for s in v]
-        if every:
-            row["all"] = (sum(every) / len(every), len(every))
-            out[pid] = row
+    for pid, by_raw in met.items():
+        # later keys of a dict replace earlier ones, as later raw types do
+        names = {re.sub("[ -]", "_", raw.lower()): raw for raw in by_raw}
+        assert len(names) == len(by_raw)
+        row = {TRAVELER_TYPE_MAP.get(name, name): fmean_count(by_raw[raw]) for name, raw in names.items()}
+        out[pid] = {**row, "all": fmean_count(sum(by_raw.values(), []))}
     return out
 
 
+def fmean_count(values):
+    return statistics.fmean(values), len(values)
+
+
 def as_dict(df):
     got = {}
     for r in df.collect():
