@@ -65,16 +65,19 @@ def locate(properties: DataFrame, places: DataFrame, spread_by: str) -> DataFram
     Properties without coordinates match nothing.  They get one of many keys
     outside the globe, by a hash of ``spread_by``, so that they do not all meet
     in one task.  No side is forced to be broadcast: the planner does so only
-    when the measured size allows it, and splits a hot point otherwise.
+    when the measured size allows it.  Otherwise adaptive execution splits a hot
+    point; it can do so only where both sides are shuffled for this very join,
+    which the key ``cell`` brings about even if ``places`` comes grouped by point.
     """
     missing = F.col("latitude").isNull() | F.col("longitude").isNull()
     off_globe = F.lit(-1e9) - F.pmod(F.xxhash64(spread_by), F.lit(_MISS_KEYS))
+    cell = F.xxhash64("lat", "lon")
     keyed = properties.withColumns(
         {
             "lat": F.when(missing, off_globe).otherwise(F.col("latitude")),
             "lon": F.when(missing, F.lit(0.0)).otherwise(F.col("longitude")),
         }
-    )
-    found = keyed.join(places, ["lat", "lon"], "left")
+    ).withColumn("cell", cell)
+    found = keyed.join(places.withColumn("cell", cell), ["cell", "lat", "lon"], "left")
     extra = [c for c in places.columns if c not in ("lat", "lon")]
     return found.select(*properties.columns, *[F.when(~missing, F.col(c)).alias(c) for c in extra])

@@ -107,8 +107,12 @@ def in_year(target: int | None) -> Column:
 
 
 def offered_only(cards: DataFrame, offered: DataFrame) -> DataFrame:
-    """Business cards of the properties that offer that list; all other cards."""
-    lists = offered.where(is_business()).select(KEY).distinct()
+    """Business cards of the properties that offer that list; all other cards.
+
+    A semi join needs no distinct keys; left as they are, both sides are
+    shuffled for the join alone and a hot property can be split.
+    """
+    lists = offered.where(is_business()).select(KEY)
     business = cards.where(is_business()).join(lists, KEY, "left_semi")
     return cards.where(~is_business()).unionByName(business)
 

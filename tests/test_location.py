@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 import random
 import re
@@ -80,3 +82,36 @@ def test_rows_without_coordinates_are_spread(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_hot_point_is_split(spark):
+    """Without a broadcast, a point with a third of all properties goes to several tasks."""
+    hot = F.col("id") % 3 == 0
+    df = spark.range(0, 120_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("property_id"),
+        F.when(hot, 31.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(500)) + 100.5).alias("latitude"),
+        F.lit(2.5).alias("longitude"),
+    )
+    rows = [(100.5 + n, 2.5, '{"address":{"city":"c"}}') for n in range(500)] + [(31.5, 2.5, '{"address":{"city":"h"}}')]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        placed = L.locate(df, L.locations(spark.createDataFrame(rows, schemas.GEOCODES)), "property_id")
+        counts = placed.groupBy("city").agg(F.count("*").alias("count"), F.max("property_id"))
+        assert {r.city: r["count"] for r in counts.collect()} == {"h": 40_000, "c": 80_000}
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            counts.explain()
+        assert "skew=true" in text.getvalue()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
