@@ -5,17 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import fingerprints, sharding
+from staylens.llm import decontamination, fingerprints, near_dedup, sharding
+from staylens.llm.oracles import ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id")
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontamination.build_index(_table(spark, sf_dir, "documents"))
+    return decontamination.contamination(index, _table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = sharding.sized(_table(spark, sf_dir, "documents"))
     return sharding.interleave(sized, ties=("text_crc32", "size")).select(
@@ -30,10 +48,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
+    "op4_near_dedup": op4_near_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
 }
-
-# where SQL cannot say what a query does, tests/llm holds it against a brute-force version
-ORACLES: dict[str, str] = {}
