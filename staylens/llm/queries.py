@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontamination, fingerprints, near_dedup, sharding
+from staylens.llm import decontamination, fingerprints, near_dedup, quality, sharding
 from staylens.llm.oracles import ORACLES
 
 
@@ -48,6 +48,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -55,4 +59,5 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op10_quality": op10_quality,
 }
