@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontamination, fingerprints, near_dedup, quality, sharding
+from staylens.llm import decontamination, fingerprints, near_dedup, quality, sharding, toxicity
 from staylens.llm.oracles import ORACLES
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, _ = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id")
@@ -55,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_near_dedup": op4_near_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_decontamination": op6_decontamination,
