@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontamination, fingerprints, near_dedup, quality, sharding, toxicity
+from staylens.llm import decontamination, fingerprints, language, near_dedup, quality, sharding, toxicity
 from staylens.llm.oracles import ORACLES
 
 
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(_table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, _ = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id")
@@ -60,6 +64,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_language": op3_language,
     "op4_near_dedup": op4_near_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_decontamination": op6_decontamination,
