@@ -13,6 +13,7 @@ do not hide it, however many there are.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -84,26 +85,32 @@ def fit(
     n, n_toxic = len(y), float(y.sum())
     if not n_toxic or n_toxic == n:
         return Model(20.0 if n_toxic else -20.0, {})
-    bags = [[[f for w in sorted(set(WORD.findall(s))) for f in features(w)] for s in SENTENCE.findall(t.lower())] for t in texts]
-    bags = [[s for s in bag if s] for bag in bags]
     in_all, in_toxic = Counter(), Counter()
-    for bag, toxic in zip(bags, y, strict=True):
-        seen = {f for s in bag for f in s}
+    for text, toxic in zip(texts, y, strict=True):
+        seen = {f for w in set(WORD.findall(text.lower())) for f in features(w)}
         in_all.update(seen)
         if toxic:
             in_toxic.update(seen)
     share = n_toxic / n
-    telling = {
-        f: (in_toxic[f] - c * share) / np.sqrt(c * share * (1 - share)) for f, c in in_all.items() if c >= least
-    }
-    chosen = sorted(sorted(telling), key=lambda f: -telling[f])[:kept]
-    number = {f: k for k, f in enumerate(f for f in chosen if telling[f] > 2)}
-    sentence, columns, owner = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            ids = [number[f] for f in s if f in number]
-            sentence += [len(owner)] * len(ids)
-            columns += ids
+    telling = {}
+    for f, c in in_all.items():
+        if c >= least and (excess := (in_toxic[f] - c * share) / np.sqrt(c * share * (1 - share))) > 2:
+            telling[f] = excess
+    number = {f: k for k, f in enumerate(sorted(sorted(telling), key=lambda f: -telling[f])[:kept])}
+    del in_all, in_toxic
+    known: dict[str, tuple[int, ...]] = {}
+    sentence, columns, owner = array("q"), array("q"), array("q")
+    for d, text in enumerate(texts):
+        for found in SENTENCE.findall(text.lower()):
+            words = set(WORD.findall(found))
+            if not words:
+                continue
+            for word in sorted(words):
+                ids = known.get(word)
+                if ids is None:
+                    ids = known[word] = tuple(number[f] for f in features(word) if f in number)
+                columns.extend(ids)
+                sentence.extend([len(owner)] * len(ids))
             owner.append(d)
     sentence, columns, owner = np.array(sentence, np.int64), np.array(columns, np.int64), np.array(owner, np.int64)
     sizes = np.bincount(owner, minlength=n)
