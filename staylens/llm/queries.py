@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontamination, fingerprints, language, near_dedup, quality, sharding, toxicity
+from staylens.llm import decontamination, fingerprints, language, near_dedup, packing, quality, sharding, toxicity
 from staylens.llm.oracles import ORACLES
 
+VOCABULARY = "byte_bpe_50k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(VOCABULARY))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +71,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_packing": op2_packing,
     "op3_language": op3_language,
     "op4_near_dedup": op4_near_dedup,
     "op5_fingerprints": op5_fingerprints,
