@@ -31,6 +31,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
 """
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), k AS (
+  SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html
+)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.html = k.html
+"""
+
 ORACLES: dict[str, str] = {
     "op6_decontamination": DECONTAMINATION,
+    "op9_warc": WARC,
 }

@@ -6,7 +6,18 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontamination, fingerprints, language, near_dedup, packing, quality, sharding, toxicity
+from staylens.llm import (
+    decontamination,
+    extraction,
+    fingerprints,
+    language,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+    warc,
+)
 from staylens.llm.oracles import ORACLES
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,6 +74,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -77,5 +99,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_extraction": op8_extraction,
+    "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
