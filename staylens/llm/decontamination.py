@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
+from staylens.llm.rows import text_digest, unused
 from staylens.llm.words import text_buffer, word_hashes
 
 WINDOW = 13
 RUN_BYTES = 4 << 20  # text of one index row; a longer document has a row of its own
 BLOCK_WORDS = 2_000_000  # words of benchmark items looked up in one pass over the index
 INDEX = (
-    "run string, doc_ids array<bigint>, n_words array<int>, terms binary, ends binary, postings binary"
+    "run string, doc_ids array<bigint>, digests array<string>, n_words array<int>, terms binary, ends binary, postings binary"
 )
 MATCH = "run string, ordinal int, doc_id bigint, item_id bigint, start int, stop int"
 
@@ -63,6 +64,7 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 {
                     "run": [f"{part}-{made}"],
                     "doc_ids": pa.array([batch.column("doc_id").slice(first, last - first).to_pylist()], pa.list_(pa.int64())),
+                    "digests": pa.array([batch.column("digest").slice(first, last - first).to_pylist()], pa.list_(pa.string())),
                     "n_words": pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
                     "terms": [words[heads].tobytes()],
                     "ends": [np.append(heads[1:], len(words)).astype(np.uint32).tobytes() if len(heads) else b""],
@@ -78,7 +80,9 @@ def build_index(docs: DataFrame) -> DataFrame:
     NULL texts have no words.  Rows that repeat and NULL ids are kept: a document is known by
     its ``run`` and its ordinal there.  An empty table gives an empty index.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest().alias("digest")
+    )
     return stored(rows.mapInArrow(_index_rows, INDEX), "positional-index")
 
 
@@ -244,11 +248,15 @@ def near_matches(index: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
 def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """How much of each document stands inside benchmark passages.
 
-    One row per document row: ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (ascending as
+    One row per document row: ``doc_id``, ``digest`` of the text, ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (ascending as
     texts) and ``contaminated``: some word is hit, and at least one in twenty.
     """
-    documents = index.select("run", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ordinal", "doc")).select(
-        "run", "ordinal", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.n_words").cast("bigint").alias("n_words")
+    documents = index.select("run", F.posexplode(F.arrays_zip("doc_ids", "digests", "n_words")).alias("ordinal", "doc")).select(
+        "run",
+        "ordinal",
+        F.col("doc.doc_ids").alias("doc_id"),
+        F.col("doc.digests").alias("digest"),
+        F.col("doc.n_words").cast("bigint").alias("n_words"),
     )
     hits = (
         exact_matches(index, items, size)
@@ -275,9 +283,22 @@ def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
         "run",
         "ordinal",
         "doc_id",
+        "digest",
         "n_words",
         hit.alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The documents that are not contaminated, all columns as they were."""
+    found = contamination(build_index(docs), items, size).where("contaminated")
+    found = found.select(
+        F.col("digest").alias(unused(docs, "bad_text")), F.col("doc_id").alias(unused(docs, "bad_id"))
+    ).distinct()
+    key = unused(docs, "text_key")
+    bad_text, bad_id = found.columns
+    same = (F.col(key) == F.col(bad_text)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(bad_id))
+    return docs.withColumn(key, text_digest()).join(found, same, "left_anti").drop(key)

@@ -28,6 +28,7 @@ ORDERS = (1, 2, 3)
 PER_LANGUAGE = 1_500  # documents of a language that weights are fitted on, about
 LANGUAGES = 256  # the most frequent ones are learnt
 UNKNOWN = "und"
+CERTAIN = 0.5  # documents whose best language is less likely are rejected
 LETTER = regex.compile(r"\p{L}")
 PIECE = 1 << 18  # characters hashed at once
 
@@ -194,6 +195,12 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     return docs.withColumn("language", predict(F.col("text").cast("string")))
 
 
+def accepted(docs: DataFrame, model: Model, least: float = CERTAIN) -> DataFrame:
+    """The documents in a learnt language, with a score of ``least`` or more, all columns as they were."""
+    rows = identified(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    return rows.where((F.col("language.lang_pred") != UNKNOWN) & (F.col("language.score") >= least)).select("row.*")
+
+
 def predictions(docs: DataFrame) -> DataFrame:
     """Languages of all documents: ``doc_id``, ``held_out``, ``lang_pred``, ``score``."""
     out = identified(docs.select("doc_id", "text"), train(docs))

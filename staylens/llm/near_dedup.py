@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
 from staylens.llm.components import components
+from staylens.llm.rows import text_digest, unused
 from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
 
 SHINGLE = 5
@@ -255,7 +256,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    base = base.withColumn("node", F.md5(F.col("text").cast("binary")))
+    base = base.withColumn("node", text_digest())
     idf = spark.sparkContext.broadcast(document_frequencies(base))
     kind = "doc_id bigint, node string, mass double, draws array<int>, keys array<bigint>"
     rows = stored(base.select("doc_id", "node", "text").mapInArrow(_signatures(idf), kind), "signatures")
@@ -308,10 +309,8 @@ def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> Da
     classes, _ = near_duplicates(docs, threshold)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_node").agg(F.min("node").alias("node"))
     ids = classes.join(kept, ["class_node", "node"], "left_semi").where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    ids = ids.select(F.col("node").alias("_node"), F.col("doc_id").alias("_doc_id")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.withColumn("_key", F.md5(text))
-    rows = rows.join(
-        ids, (F.col("_key") == F.col("_node")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc_id")), "left_semi"
-    )
-    return rows.dropDuplicates(["_key"]).drop("_key")
+    ids = ids.select(F.col("node").alias(unused(docs, "kept_node")), F.col("doc_id").alias(unused(docs, "kept_id"))).distinct()
+    key = unused(docs, "text_key")
+    rows = docs.withColumn(key, text_digest())
+    same = (F.col(key) == F.col(ids.columns[0])) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(ids.columns[1]))
+    return rows.join(ids, same, "left_semi").dropDuplicates([key]).drop(key)

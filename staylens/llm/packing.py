@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
+from staylens.llm.rows import text_digest
 
 CAPACITY = 2048
 END = 1  # id after each document
@@ -342,7 +343,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, rounds: int = ROU
     """
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).withColumn("text_key", F.md5(F.col("text").cast("binary")))
+    ).withColumn("text_key", text_digest())
     kind = "doc_id bigint, text_key string, doc_tokens bigint, full array<bigint>, rest int, rest_crc32 bigint"
     tokens = stored(base.select("doc_id", "text_key", "text").mapInArrow(_tokenized(path, capacity), kind), "tokens")
 

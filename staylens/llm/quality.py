@@ -184,6 +184,12 @@ def scored(docs: DataFrame, model: Trees) -> DataFrame:
     return docs.withColumn("quality_score", score(F.col("text").cast("string")))
 
 
+def accepted(docs: DataFrame, model: Trees, least: float = ACCEPTED) -> DataFrame:
+    """The documents that score ``least`` or more, all columns as they were."""
+    rows = scored(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    return rows.where(F.col("quality_score") >= least).select("row.*")
+
+
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of all documents: ``doc_id``, ``held_out``, ``score``, ``predicted``."""
     out = scored(docs.select("doc_id", "text"), train(docs, labels))
