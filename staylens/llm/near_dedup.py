@@ -11,16 +11,19 @@ reaches the threshold.  Linked texts form classes.
 Document frequencies are counted over all documents into a table of fixed width.
 
 Work stays linear in the size of a group.  Equal texts are one node.  In a bucket every node
-is compared with one hub, not with every other.  Only where a bucket's nodes are then still
-in different classes, nodes of different classes are compared, by their draws first, so
-that no link between different classes is lost.
+is compared with a few hubs, not with every other, and in a second round with other hubs if
+they are not yet in one class.  Only where a bucket's nodes are then still in different
+classes, nodes of different classes are compared, by their draws first, so that no link
+between different classes is lost.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,14 @@ from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at similarity 0.8 shares no band with probability 0.0002
-AGREEMENT = 0.5  # share of equal draws below which no text is compared; 0.8 is 4.5 deviations above
+AGREEMENT = 20 / 36  # share of equal draws below which no text is compared; 0.8 is 3.7 deviations above
+SPREAD = 0.25  # how much more than the most frequent shingle the rarest weighs
+STARS = 2  # rounds in which a bucket's nodes are compared with hubs
+HUB_HASHES = 3  # each gives a bucket two hubs
 WIDTH_BITS = 20  # of the document frequency table
 CHUNK = 4096  # bins of the table in one row while it is added up
-DRAW_BITS = 16  # of the tables of random variables
-GROUP_BYTES = 2 << 20  # text looked at in one numpy step
+DRAW_BITS = 14  # of the tables of random variables
+GROUP_BYTES = 1 << 19  # text looked at in one numpy step
 
 Weighted = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -105,7 +111,11 @@ def _summed_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
-    """Damped inverse document frequency by bin, from 1 (in all documents) to 2 (in hardly any).
+    """Damped inverse document frequency by bin, from 1 (in all documents) to ``1 + SPREAD`` (in hardly any).
+
+    The damping keeps the similarity of two texts close to their plain Jaccard similarity, so
+    that a large group of near copies, whose common shingles are frequent for being copied, is
+    not torn apart.
 
     The table has ``2 ** WIDTH_BITS`` bins whatever the input is, so that its few megabytes
     may go through the driver and be broadcast.
@@ -118,23 +128,30 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
         at = row["chunk"] * CHUNK
         table[at : at + CHUNK] += np.frombuffer(zlib.decompress(row["counts"]), np.int64)
         total += row["docs"]
-    return (1 + np.log1p(total / np.maximum(table, 1)) / math.log(2 + total)).clip(1, 2).astype(np.float32)
+    rarity = np.log1p(total / np.maximum(table, 1)) / math.log(2 + total)
+    return (1 + SPREAD * rarity.clip(0, 1)).astype(np.float32)
 
 
 def _weights(shingles: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (1 + np.log(counts)).astype(np.float32) * idf[_bins(shingles)]
 
 
-_tables: dict[int, np.ndarray] = {}
+_tables: dict[int, tuple] = {}
+
 
+def _draw_table(draw: int) -> tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Multiplier of a draw, and its random variables, picked by a shingle's hash.
 
-def _draw_table(draw: int) -> np.ndarray:
-    """Gamma(2, 1), its inverse, uniform and log Gamma(2, 1) variables, picked by a shingle's hash."""
+    With ``r`` and ``c`` Gamma(2, 1) and ``beta`` uniform, a shingle of weight ``w`` has the level
+    ``t = floor(log w / r + beta)`` and the key ``log c - r (t - beta + 1)``; the least key is drawn.
+    """
     if draw not in _tables:
         rng = np.random.default_rng([7, draw])
         n = 1 << DRAW_BITS
-        r, c = rng.gamma(2, 1, n), rng.gamma(2, 1, n)
-        _tables[draw] = np.stack([r, 1 / r, rng.random(n), np.log(c)], axis=1).astype(np.float32)
+        r, c, beta = rng.gamma(2, 1, n), rng.gamma(2, 1, n), rng.random(n)
+        odd = np.uint64(int(rng.integers(1 << 62, 1 << 63)) * 2 + 1)
+        tables = (1 / r, beta, np.log(c) + r * (beta - 1), r)
+        _tables[draw] = (odd, *(t.astype(np.float32) for t in tables))
     return _tables[draw]
 
 
@@ -142,16 +159,32 @@ def draws(owner: np.ndarray, shingles: np.ndarray, weights: np.ndarray, n_draws:
     """The documents that have shingles, and 32 bits for the shingle and level that each draw picks."""
     heads = np.flatnonzero(np.diff(owner, prepend=-1))
     picked = np.zeros((len(heads), n_draws), np.uint32)
-    log_weight = np.log(weights)
-    for k in range(n_draws if len(heads) else 0):
-        place = mix(shingles + np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64)))
-        r, inverse, beta, log_c = _draw_table(k)[(place >> np.uint64(64 - DRAW_BITS)).astype(np.int64)].T
-        level = np.floor(log_weight * inverse + beta)
-        key = log_c - r * (level - beta + 1)
-        bits = key.astype(np.float32).view(np.int32)
-        bits = (bits ^ ((bits >> 31) | np.int32(-(1 << 31)))).view(np.uint32)
-        name = (place.astype(np.uint32) ^ (level.astype(np.int32).view(np.uint32) * np.uint32(2654435761))).astype(np.uint64)
-        picked[:, k] = np.minimum.reduceat((bits.astype(np.uint64) << np.uint64(32)) | name, heads).astype(np.uint32)
+    if not len(heads):
+        return owner[heads], picked
+    log_weight, size = np.log(weights), len(shingles)
+    level, some = np.empty(size, np.float32), np.empty(size, np.float32)
+    spot, name = np.empty(size, np.int64), np.empty(size, np.uint64)
+    for k in range(n_draws):
+        odd, inverse, beta, high, r = _draw_table(k)
+        np.multiply(shingles, odd, out=name)
+        np.right_shift(name, np.uint64(64 - DRAW_BITS), out=spot.view(np.uint64))
+        np.take(inverse, spot, out=level, mode="clip")
+        level *= log_weight
+        np.take(beta, spot, out=some, mode="clip")
+        level += some
+        np.floor(level, out=level)
+        np.right_shift(name, np.uint64(12), out=name)
+        name ^= level.astype(np.int64).view(np.uint64) * np.uint64(2654435761)
+        name &= np.uint64(0xFFFFFFFF)
+        np.take(r, spot, out=some, mode="clip")
+        level *= some
+        np.take(high, spot, out=some, mode="clip")
+        some -= level
+        bits = some.view(np.int32)
+        order = (bits ^ ((bits >> 31) | np.int32(-(1 << 31)))).view(np.uint32).astype(np.uint64)
+        order <<= np.uint64(32)
+        order |= name
+        picked[:, k] = np.minimum.reduceat(order, heads).astype(np.uint32)
     return owner[heads], picked
 
 
@@ -188,31 +221,53 @@ def _signatures(idf):
 
 def weighted_set(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of one text, ascending, and their weights."""
-    parts = [(s, c) for _, _, o, h in _groups(pa.array([text], pa.large_string())) for _, s, c in [_counted(o, h)]]
-    shingles, counts = parts[0]
+    _, _, owner, shingles = next(_groups(pa.array([text], pa.large_string())))
+    _, shingles, counts = _counted(owner, shingles)
     return shingles, _weights(shingles, counts, idf).astype(np.float64)
 
 
 def weighted_jaccard(one: tuple, other: tuple) -> float:
     """Sum of the lesser weights by the sum of the greater; 0 if neither has a shingle."""
-    _, a, b = np.intersect1d(one[0], other[0], assume_unique=True, return_indices=True)
-    least = np.minimum(one[1][a], other[1][b]).sum()
-    most = one[1].sum() + other[1].sum() - least
-    return float(least / most) if most > 0 else 0.0
+    if len(one[0]) > len(other[0]):
+        one, other = other, one
+    if not len(one[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(other[0], one[0]), len(other[0]) - 1)
+    both = other[0][at] == one[0]
+    least = np.minimum(one[1][both], other[1][at[both]]).sum()
+    return float(least / (one[1].sum() + other[1].sum() - least))
+
+
+SET_SHINGLES = 3_000_000  # of the weighted sets that a task keeps at hand
+
+
+class _Sets:
+    """Weighted sets of the latest texts: pairs of one group ask for the same ones again and again."""
+
+    def __init__(self, idf: np.ndarray):
+        self.idf, self.held, self.size = idf, OrderedDict(), 0
+
+    def of(self, node: str, text: pa.Scalar) -> tuple:
+        if node not in self.held:
+            made = self.held[node] = weighted_set(text.as_py(), self.idf)
+            self.size += len(made[0])
+            while self.size > SET_SHINGLES and len(self.held) > 1:
+                self.size -= len(self.held.popitem(last=False)[1][0])
+        self.held.move_to_end(node)
+        return self.held[node]
 
 
 def _verified(idf, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, hub_set = None, None
+        sets = _Sets(idf.value)
         for batch in batches:
             u, v, similar = [], [], []
-            for a, b, text, hub_text in zip(*(batch.column(c) for c in ("a", "b", "text", "hub_text")), strict=True):
-                if b != hub:  # pairs come in the order of their hubs
-                    hub, hub_set = b, weighted_set(hub_text.as_py(), idf.value)
-                similarity = weighted_jaccard(weighted_set(text.as_py(), idf.value), hub_set)
+            nodes = (batch.column(c).to_pylist() for c in ("a", "b"))
+            for a, b, text, hub_text in zip(*nodes, batch.column("text"), batch.column("hub_text"), strict=True):
+                similarity = weighted_jaccard(sets.of(a, text), sets.of(b, hub_text))
                 if similarity >= threshold:
-                    u.append(a.as_py())
-                    v.append(b.as_py())
+                    u.append(a)
+                    v.append(b)
                     similar.append(similarity)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(u, pa.string()), pa.array(v, pa.string()), pa.array(similar, pa.float64())], names=["u", "v", "similarity"]
@@ -226,7 +281,7 @@ def _promising(one: str, other: str, threshold: float) -> Column:
     a, b = F.col(f"{one}draws"), F.col(f"{other}draws")
     equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
     ma, mb = F.col(f"{one}mass"), F.col(f"{other}mass")
-    return (F.least(ma, mb) >= threshold * 0.999 * F.greatest(ma, mb)) & (equal >= int(AGREEMENT * BANDS * ROWS))
+    return (F.least(ma, mb) >= threshold * 0.999 * F.greatest(ma, mb)) & (equal >= round(AGREEMENT * BANDS * ROWS))
 
 
 def _links(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -242,6 +297,16 @@ def _links(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
     return stored(found, "links")
 
 
+def _open_members(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members, with their classes, of the buckets that hold more than one class."""
+    if found is None:
+        return members.withColumn("root", F.col("node"))
+    told = members.join(found, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
+    mark = F.xxhash64("root")
+    apart = told.groupBy("band", "key").agg(F.min(mark).alias("x"), F.max(mark).alias("y")).where("x <> y")
+    return told.join(apart.select("band", "key"), ["band", "key"])
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Classes of near-duplicate documents, and the links between different texts they rest on.
 
@@ -268,34 +333,43 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     )
 
     members = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    buckets = members.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
-    inside = stored(members.join(buckets, ["band", "key"]).select("band", "key", "node", "hub"), "buckets")
+    shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(members.join(shared, ["band", "key"]).select("band", "key", "node"), "buckets")
     light = nodes.select("node", "mass", "draws")
-
-    def with_draws(pairs: DataFrame) -> DataFrame:
-        return pairs.join(light.toDF("a", "a_mass", "a_draws"), "a").join(light.toDF("b", "b_mass", "b_draws"), "b")
-
-    stars = inside.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    stars = with_draws(stars).where(_promising("a_", "b_", threshold)).select("a", "b")
-    links = _links(stars, base, idf, threshold)
-    found = stored(components(links), "components")
-
-    # where a bucket still holds several classes, compare across them
-    told = inside.join(found, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
-    open_ = told.groupBy("band", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    open_ = told.join(open_.select("band", "key"), ["band", "key"]).join(light, "node")
-    open_ = stored(open_.select("band", "key", "node", "root", "mass", "draws"), "open-buckets")
-    one = open_.toDF("band", "key", "a", "a_root", "a_mass", "a_draws")
-    other = open_.toDF("band", "key", "b", "b_root", "b_mass", "b_draws")
+    links, found = None, None
+    for turn in range(STARS):
+        told = _open_members(members, found)
+        hashes = {f"h{i}": F.xxhash64("node", F.lit(turn), F.lit(i)) for i in range(HUB_HASHES)}
+        told = told.withColumns(hashes)
+        ends = told.groupBy("band", "key").agg(*(f(h).alias(f"{n}_{h}") for h in hashes for n, f in (("lo", F.min), ("hi", F.max))))
+        is_hub = [F.col(h) == F.col(f"{n}_{h}") for h in hashes for n in ("lo", "hi")]
+        hubs = told.join(ends, ["band", "key"]).where(reduce(lambda x, y: x | y, is_hub))
+        hubs = hubs.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+        pairs = told.join(hubs, ["band", "key"]).where("root <> hub_root")
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        pairs = pairs.join(light.toDF("a", "a_mass", "a_draws"), "a").join(light.toDF("b", "b_mass", "b_draws"), "b")
+        more = _links(pairs.where(_promising("a_", "b_", threshold)).select("a", "b"), base, idf, threshold)
+        links = more if links is None else links.unionByName(more)
+        found = stored(components(links), "components")
+
+    # what is still apart in a bucket is compared across classes, each pair in its first common band
+    rest = _open_members(members, found).join(nodes.select("node", "mass", "draws", "keys"), "node")
+    rest = stored(rest.select("band", "key", "node", "root", "mass", "draws", "keys"), "open-buckets")
+    one = rest.toDF("band", "key", "a", "a_root", "a_mass", "a_draws", "a_keys")
+    other = rest.toDF("other_band", "other_key", "b", "b_root", "b_mass", "b_draws", "b_keys")
+    met = F.exists(
+        F.zip_with(F.slice("a_keys", F.lit(1), F.col("band")), F.slice("b_keys", F.lit(1), F.col("band")), lambda x, y: x == y),
+        lambda same: same,
+    )
     across = one.join(
         other,
-        (one["band"] == other["band"])
-        & (one["key"] == other["key"])
+        (F.col("band") == F.col("other_band"))
+        & (F.col("key") == F.col("other_key"))
         & (F.col("a_root") < F.col("b_root"))
-        & _promising("a_", "b_", threshold),
+        & _promising("a_", "b_", threshold)
+        & ~met,
     )
-    rest = _links(across.select("a", "b"), base, idf, threshold)
-    links = links.unionByName(rest)
+    links = links.unionByName(_links(across.select("a", "b"), base, idf, threshold))
     found = stored(components(links), "components")
 
     classes = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("class_node"))
