@@ -312,11 +312,27 @@ def first_texts(elements: Column) -> Column:
     return F.map_from_entries(F.transform(first, lambda e: F.struct(e["rule"], e["text"])))
 
 
-def anchor_hrefs(html: Column) -> Column:
-    """All ``href`` values of a page in order, without leaving the JVM."""
-    return F.regexp_extract_all(html, F.lit(r'<a\b[^>]*?\bhref="([^"]*)"'), 1)
+# comments and code hold no anchors; an attribute value may hold ">"
+_NO_MARKUP = r"(?is)<!--.*?(?:-->|$)|<(script|style|textarea|title)\b.*?</\1\s*>"
+_ANCHOR = r"""(?is)<a(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*>"""
+_HREF = r"""(?is)(?<![\w-])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&"))
 
 
 def anchor_tags(html: Column) -> Column:
     """All opening anchor tags of a page in order, without leaving the JVM."""
-    return F.regexp_extract_all(html, F.lit(r"<a\b[^>]*>"), 0)
+    return F.regexp_extract_all(F.regexp_replace(html, _NO_MARKUP, ""), F.lit(_ANCHOR), 0)
+
+
+def tag_href(tag: Column) -> Column:
+    """The ``href`` of a tag: quoted either way or bare, entities resolved; '' if it has none."""
+    value = F.concat(*(F.regexp_extract(tag, _HREF, k) for k in (1, 2, 3)))
+    for entity, text in _ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(text))
+    return value
+
+
+def anchor_hrefs(html: Column) -> Column:
+    """All ``href`` values of a page in order, without leaving the JVM."""
+    linked = F.filter(anchor_tags(html), lambda t: F.regexp_like(t, F.lit(_HREF)))
+    return F.transform(linked, tag_href)

@@ -151,10 +151,6 @@ BUSINESS_LIST = "BUSINESS_TRAVELLERS"
 BUSINESS_RAW_TYPE = "Business travellers"
 
 # --- fixed values: limits and formats ------------------------------------------
-DEFAULT_LINK_LIMIT = 500
-MAX_VIEWS = 10
-PATIENCE_VIEWS = 3
-REVIEW_PAGE_LIMIT = 20
 REVIEW_PAGE_SIZE = 10
 HEAD_CHARACTERS = 10_000
 DATE_FORMAT = "yyyy-MM-dd"

@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``.
 
-    The cluster names a folder that all executors share.  Only where the
-    setting is absent, as in local tests, a local folder is used.
+    The cluster names a folder that all executors share.  Only in local mode,
+    as in tests, may the setting be absent; a local folder is used then.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="staylens-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="staylens-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

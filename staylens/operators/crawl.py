@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.rules import BLOCKED_TOKENS, EMPTY_TOKENS, MAX_VIEWS, PATIENCE_VIEWS
+from staylens.functions.rules import BLOCKED_TOKENS, EMPTY_TOKENS
 from staylens.functions.text import contains_any
 
 
@@ -44,21 +44,21 @@ def destination_coverage(destinations: DataFrame, links: DataFrame) -> DataFrame
     )
 
 
-def visited_views(views: DataFrame) -> DataFrame:
+def visited_views(views: DataFrame, max_views: int | None = None, patience: int | None = None) -> DataFrame:
     """The views whose links count, from ``views(dest_seq, scroll_no, matched, state, n_links)``.
 
-    At most ten views per destination; a view without any rule match on an
-    ``empty`` page is the last one; and while nothing has been collected from
-    any destination, a destination is left after its fourth view.
+    A view without any rule match on an ``empty`` page is the last one of its
+    destination.  With ``max_views``, no later view counts; with ``patience``,
+    while nothing has been collected from any destination, a destination is left
+    after that many views and one more.  Both paced a live browser; stored views
+    have no need of them.
     """
     first_empty = F.min(F.when(~F.col("matched") & (F.col("state") == "empty"), F.col("scroll_no")))
     stops = views.groupBy("dest_seq").agg(first_empty.alias("stop"))
-    within = (
-        views.where(F.col("scroll_no") <= MAX_VIEWS)
-        .join(stops, "dest_seq")
-        .where(F.col("stop").isNull() | (F.col("scroll_no") <= F.col("stop")))
-        .drop("stop")
-    )
-    early = F.col("scroll_no") <= PATIENCE_VIEWS + 1
+    within = (views.where(F.col("scroll_no") <= max_views) if max_views else views).join(stops, "dest_seq")
+    within = within.where(F.col("stop").isNull() | (F.col("scroll_no") <= F.col("stop"))).drop("stop")
+    if patience is None:
+        return within
+    early = F.col("scroll_no") <= patience + 1
     success = within.where(early & (F.col("n_links") > 0)).agg(F.min("dest_seq")).scalar()
     return within.where(early | (F.col("dest_seq") >= success))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from staylens.functions.markup import anchor_hrefs, anchor_tags, of_rule, select_elements
-from staylens.functions.rules import DEFAULT_LINK_LIMIT, LINK_NEEDLE, LINK_RULES, Rule
+from staylens.functions.markup import anchor_hrefs, anchor_tags, of_rule, select_elements, tag_href
+from staylens.functions.rules import LINK_NEEDLE, LINK_RULES, Rule
 from staylens.functions.text import before_first
 
 SEEN_ORDER = ("dest_seq", "scroll_no", "pos")
@@ -20,6 +20,26 @@ def canonical_url(href: Column) -> Column:
     return before_first(href, "?")
 
 
+def absolute_url(href: Column, base: str | None) -> Column:
+    """``href`` as a browser gives it on a page at ``base``; unchanged without a base.
+
+    Full addresses stay, ``//host/..`` takes the scheme, ``/..`` the host, anything else
+    the folder of the base.  Dot segments are left as they are.
+    """
+    if not base:
+        return href
+    scheme, _, rest = base.partition("://")
+    host = rest.partition("/")[0].partition("?")[0].partition("#")[0]
+    folder = rest.partition("?")[0].partition("#")[0]
+    folder = folder.rpartition("/")[0] if "/" in folder else host
+    return (
+        F.when(F.regexp_like(href, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), href)
+        .when(href.startswith("//"), F.concat(F.lit(f"{scheme}:"), href))
+        .when(href.startswith("/"), F.concat(F.lit(f"{scheme}://{host}"), href))
+        .otherwise(F.concat(F.lit(f"{scheme}://{folder}/"), href))
+    )
+
+
 def is_listing(href: Column, needle: str = LINK_NEEDLE) -> Column:
     return href.isNotNull() & href.contains(needle)
 
@@ -47,7 +67,7 @@ def tag_rule_hrefs(html: Column, needles: Sequence[str]) -> list[Column]:
 
     def hrefs(needle: str) -> Column:
         chosen = F.filter(tags, lambda t: t.contains(needle))
-        return F.transform(chosen, lambda t: F.regexp_extract(t, r'\bhref="([^"]*)"', 1))
+        return F.transform(chosen, tag_href)
 
     return [hrefs(n) for n in needles]
 
@@ -95,14 +115,23 @@ def first_seen(links: DataFrame, order: Sequence[str] = SEEN_ORDER, href: str =
 
 
 def first_n(links: DataFrame, limit: int | None = None, order: Sequence[str] = SEEN_ORDER) -> DataFrame:
-    """The first ``limit`` links over all destinations; 0 or None means the default.
+    """The first ``limit`` links over all destinations; 0 or None means all.
 
     Early destinations can use up the limit; ``first_n_per_destination`` is the
     even-handed form.
     """
-    return links.orderBy(*order).limit(limit or DEFAULT_LINK_LIMIT)
+    return links.orderBy(*order).limit(limit) if limit else links
+
 
+def first_n_per_destination(links: DataFrame, limit: int, lanes: int = 64) -> DataFrame:
+    """The first ``limit`` links of each destination.
 
-def first_n_per_destination(links: DataFrame, limit: int) -> DataFrame:
-    order = W.partitionBy("dest_seq").orderBy("scroll_no", "pos")
-    return links.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= limit).drop("rn")
+    A destination is ranked in lanes first, so that at most ``lanes * limit`` of
+    its links meet in one task, whatever the limit.
+    """
+    order = ("scroll_no", "pos")
+    lane = W.partitionBy("dest_seq", "lane").orderBy(*order)
+    whole = W.partitionBy("dest_seq").orderBy(*order)
+    cut = links.withColumn("lane", F.pmod(F.xxhash64("href"), F.lit(lanes)))
+    cut = cut.withColumn("rn", F.row_number().over(lane)).where(F.col("rn") <= limit).drop("lane")
+    return cut.withColumn("rn", F.row_number().over(whole)).where(F.col("rn") <= limit).drop("rn")

@@ -42,10 +42,11 @@ def pick_city(address: Column, fields: Sequence[str] = CITY_FIELDS) -> Column:
 def locations(geocodes: DataFrame) -> DataFrame:
     """``geocodes(lat, lon, body)`` -> ``(lat, lon, address, zone, city)``, one per point.
 
-    A point stored more than once keeps its smallest body, so that the lookup
-    never multiplies rows.
+    A point stored more than once keeps its smallest readable body, so that the
+    lookup never multiplies rows and a failed response does not hide a good one.
     """
-    point = geocodes.groupBy("lat", "lon").agg(F.min("body").alias("body"))
+    readable = F.when(parse_response(F.col("body")).isNotNull(), F.col("body"))
+    point = geocodes.groupBy("lat", "lon").agg(F.min(readable).alias("body"))
     parsed = point.select("lat", "lon", parse_response(F.col("body")).alias("response"))
     given = F.col("response").isNotNull()
     address = F.col("response.address")

@@ -15,10 +15,6 @@ from staylens.functions.text import blank_to_null, field_name, mapped, part, saf
 from staylens.schemas import count_column, mean_column
 
 KEY = "property_id"
-# A review list with more cards than this is not left to one task.
-HOT_ROWS = 1_000_000
-MAX_HOT = 10_000
-LANES = 256
 
 
 # --- cards -------------------------------------------------------------------
@@ -124,53 +120,39 @@ def newest_first(cards: DataFrame) -> DataFrame:
     return cards.orderBy(F.desc("review_ts"), "review_id")
 
 
-def hot_lists(cards: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
-    """Review lists too large for one task: at most ``MAX_HOT`` of them, by arithmetic.
-
-    A list is hot with more than ``rows`` cards and more than one in ``MAX_HOT``
-    of all cards.  Only the key columns are read, and counted before a shuffle.
-    """
-    keyed = cards.where(F.col(KEY).isNotNull() & F.col("list_kind").isNotNull())
-    counts = keyed.groupBy(KEY, "list_kind").agg(F.count("*").alias("n"))
-    share = counts.agg(F.sum("n") / MAX_HOT).scalar()
-    return counts.where((F.col("n") > rows) & (F.col("n") > share)).drop("n")
-
-
 def newest_k(
-    cards: DataFrame,
-    pages: int = R.REVIEW_PAGE_LIMIT,
-    page_size: int = R.REVIEW_PAGE_SIZE,
-    hot_rows: int = HOT_ROWS,
-    lanes: int = LANES,
+    cards: DataFrame, pages: int | None = None, page_size: int = R.REVIEW_PAGE_SIZE
 ) -> DataFrame:
-    """Newest ``pages * page_size`` cards per property and list, with ``seq`` from 1.
+    """Newest ``pages * page_size`` cards per property and list, with ``seq`` from 1; all cards if ``pages`` is 0 or None.
 
     For cards that carry no page number; with one, ``first_pages`` needs no
-    shuffle.  Every ranking limits inside each task before it shuffles.  Lists
-    that are hot all the same are ranked in two steps, first per lane of input
-    partitions, so that at most ``lanes * k`` of their rows meet in one task;
-    all other lists are shuffled once.  The hot keys are few by definition and
-    are sent to all tasks.
+    shuffle.  One plan for lists of every size: a list is split into the days of
+    its cards, the cards of each day are counted, and a card's place is the
+    number of cards on later days plus its place in its own day.  No task has to
+    hold a list, and days beyond the last wanted card are not ranked.  Cards
+    without a property or list are in no list.
     """
-    k = pages * page_size
-    newest = [F.desc("review_ts"), F.col("review_id")]
-
-    def ranked(df: DataFrame, *keys: str) -> DataFrame:
-        place = F.row_number().over(W.partitionBy(*keys).orderBy(*newest))
-        return df.withColumn("seq", place).where(F.col("seq") <= k)
-
-    keys = (KEY, "list_kind")
-    hot = F.broadcast(hot_lists(cards, hot_rows))
-    cold = ranked(cards.join(hot, [*keys], "left_anti"), *keys)
-    laned = cards.join(hot, [*keys], "left_semi").withColumn("lane", F.spark_partition_id() % lanes)
-    cut = ranked(laned, *keys, "lane").drop("lane", "seq")
-    return cold.unionByName(ranked(cut, *keys))
+    keys, undated = (KEY, "list_kind"), F.to_date(F.lit("0001-01-01"))
+    laned = cards.withColumn("lane", F.coalesce(F.to_date("review_ts"), undated))
+    later = W.partitionBy(*keys).orderBy(F.desc("lane")).rowsBetween(W.unboundedPreceding, -1)
+    days = laned.groupBy(*keys, "lane").agg(F.count("*").alias("n"))
+    days = days.select(*keys, "lane", F.coalesce(F.sum("n").over(later), F.lit(0)).alias("later"))
+    inside = W.partitionBy(*keys, "lane").orderBy(F.desc("review_ts"), F.col("review_id"))
+    if pages:
+        k = pages * page_size
+        days = days.where(F.col("later") < k)
+        ranked = laned.withColumn("inside", F.row_number().over(inside)).where(F.col("inside") <= k)
+    else:
+        ranked = laned.withColumn("inside", F.row_number().over(inside))
+    placed = ranked.join(days, [*keys, "lane"]).withColumn("seq", (F.col("later") + F.col("inside")).cast("int"))
+    placed = placed.where(F.col("seq") <= k) if pages else placed
+    return placed.select(*cards.columns, "seq")
 
 
 def numbered_pages(
-    cards: DataFrame, pages: int = R.REVIEW_PAGE_LIMIT, page_size: int = R.REVIEW_PAGE_SIZE
+    cards: DataFrame, pages: int | None = None, page_size: int = R.REVIEW_PAGE_SIZE
 ) -> DataFrame:
-    """The newest cards with the page number and position they have on the site."""
+    """The newest cards (all by default) with the page number and position they have on the site."""
     place = F.col("seq") - 1
     return (
         newest_k(cards, pages, page_size)
@@ -184,13 +166,13 @@ def numbered_pages(
     )
 
 
-def first_pages(cards: DataFrame, pages: int | None = R.REVIEW_PAGE_LIMIT) -> DataFrame:
+def first_pages(cards: DataFrame, pages: int | None = None) -> DataFrame:
     """Cap by stored page number: a filter that reaches the scan.  0 or None: no cap."""
     return cards.where(F.col("page_no") <= pages) if pages else cards
 
 
-def capped(cards: DataFrame, pages: int | None = R.REVIEW_PAGE_LIMIT) -> DataFrame:
-    """The cards that are looked at: by page number where there is one, else the newest."""
+def capped(cards: DataFrame, pages: int | None = None) -> DataFrame:
+    """The cards that are looked at, all by default: by page number where there is one, else the newest."""
     if not pages:
         return cards
     return first_pages(cards, pages) if "page_no" in cards.columns else numbered_pages(cards, pages)

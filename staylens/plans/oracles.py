@@ -47,11 +47,10 @@ _MEAN = "CAST(sum(CAST(round(score * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count
 _MEAN_OF_CENTS = "CAST(sum(cents) AS DOUBLE) / 100.0 / sum(n)"
 
 _STATS = """
-capped AS (SELECT * FROM kept WHERE seq <= 200),
 relabelled AS (
   SELECT property_id, list_kind, seq, score,
     CASE WHEN list_kind = 'ALL' THEN traveler_type ELSE 'Business travellers' END AS traveler_type
-  FROM capped),
+  FROM kept),
 stats AS (
   SELECT property_id, traveler_type, sum(CAST(round(score * 100) AS BIGINT)) AS cents, count(*) AS n,
     min(CASE WHEN list_kind = 'ALL' THEN 0 ELSE 1000000000 END + seq) AS first_seen
@@ -455,7 +454,7 @@ SELECT property_id, kind AS traveler_type, {_MEAN_OF_CENTS} AS avg_score, CAST(s
 WITH {_CARDS}
 SELECT property_id, list_kind, CAST((seq - 1) // 10 + 1 AS INTEGER) AS page_no, CAST((seq - 1) % 10 + 1 AS INTEGER) AS pos,
   CASE WHEN contains(score_text, 'Scored') THEN score_text END AS score_text, stay_date, traveler_type
-FROM paged WHERE seq <= 200""",
+FROM paged""",
     "property_record": f"""
 {_TO_RESOLVED}, {_TOTALS}, {_WIDE}, {_SHORT},
 reviewed AS (SELECT DISTINCT sha256('https://stays.example/hotel/' || property_id || '.html') AS property_id FROM cards),

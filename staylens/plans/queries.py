@@ -160,7 +160,7 @@ def visited_views(spark, sf):
         crawl.page_state(F.col("text"), BLOCKED, EMPTY).alias("state"),
         F.when((F.col("lang") == "en") & (dest > 1), F.col("n_chars")).otherwise(0).alias("n_links"),
     )
-    return crawl.visited_views(views)
+    return crawl.visited_views(views, max_views=10, patience=3)
 
 
 # --- attributes -----------------------------------------------------------------------

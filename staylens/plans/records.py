@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.rules import REVIEW_PAGE_LIMIT
 from staylens.operators.attributes import REVIEW_DERIVED, page_attributes, review_gate
 from staylens.operators.location import locations
 from staylens.operators.record import assemble, record_15, record_31, stamped
@@ -29,7 +28,7 @@ def review_records(
     geocodes: DataFrame,
     cards: DataFrame,
     target_year: int | None = None,
-    page_limit: int | None = REVIEW_PAGE_LIMIT,
+    page_limit: int | None = None,
     offered: DataFrame | None = None,
     all_types: bool = False,
 ) -> DataFrame:

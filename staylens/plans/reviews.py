@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.rules import REVIEW_PAGE_LIMIT
 from staylens.functions.workspace import stored
 from staylens.operators import reviews as V
 
@@ -13,10 +12,10 @@ from staylens.operators import reviews as V
 def kept_cards(
     cards: DataFrame,
     target_year: int | None = None,
-    page_limit: int | None = REVIEW_PAGE_LIMIT,
+    page_limit: int | None = None,
     offered: DataFrame | None = None,
 ) -> DataFrame:
-    """Cards that enter the means: capped first, then parsed and filtered."""
+    """Cards that enter the means: capped first if ``page_limit`` is given, then parsed and filtered."""
     if offered is not None:
         cards = V.offered_only(cards, offered)
     parsed = V.parse_cards(V.capped(cards, page_limit))
@@ -26,7 +25,7 @@ def kept_cards(
 def raw_type_stats(
     cards: DataFrame,
     target_year: int | None = None,
-    page_limit: int | None = REVIEW_PAGE_LIMIT,
+    page_limit: int | None = None,
     offered: DataFrame | None = None,
 ) -> DataFrame:
     """Means, counts and first sighting per property and raw type of the kept cards."""
@@ -37,7 +36,7 @@ def raw_type_stats(
 def traveler_means(
     cards: DataFrame,
     target_year: int | None = None,
-    page_limit: int | None = REVIEW_PAGE_LIMIT,
+    page_limit: int | None = None,
     offered: DataFrame | None = None,
 ) -> DataFrame:
     """The grand total and the fixed type pairs of every property with kept cards.
@@ -51,7 +50,7 @@ def traveler_means(
 def traveler_means_all_types(
     cards: DataFrame,
     target_year: int | None = None,
-    page_limit: int | None = REVIEW_PAGE_LIMIT,
+    page_limit: int | None = None,
     offered: DataFrame | None = None,
 ) -> DataFrame:
     """As ``traveler_means``, with a pair of columns for every further type.

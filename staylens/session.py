@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # rankings limit inside each task for every limit, not for small ones only
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # one state row per URL ever seen does not have to fit in memory
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -190,13 +190,18 @@ def customer_elements(
 
 
 def nation_geocodes(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """One stored response per nation; nations of the first region are stored elsewhere."""
+    """One good response per nation; nations of the first region are stored elsewhere.
+
+    For some nations an empty or a broken response to the same request is stored too.
+    """
     placed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     lat = F.col("n_nationkey").cast("double") + F.when(F.col("n_regionkey") == 0, 1000.0).otherwise(0.0)
     body = address_body(
         F.col("r_name"), F.concat("n_name", F.lit(", Médina")), F.concat("n_name", F.lit(", Rue é 1, "), "r_name")
     )
-    return placed.select(lat.alias("lat"), (F.col("n_nationkey") + F.lit(0.5)).alias("lon"), body.alias("body"))
+    failed = F.when(F.col("n_nationkey") % 3 == 0, F.lit("")).when(F.col("n_nationkey") % 3 == 1, F.lit("!{"))
+    bodies = F.array_compact(F.array(body, failed))
+    return placed.select(lat.alias("lat"), (F.col("n_nationkey") + F.lit(0.5)).alias("lon"), F.explode(bodies).alias("body"))
 
 
 # --- pages as property snapshots ---------------------------------------------------------

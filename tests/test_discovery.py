@@ -61,8 +61,11 @@ def test_visited_views_like_the_loop(spark):
                 state = rng.choice(["ok", "ok", "ok", "blocked", "empty"])
                 views.append((dest, scroll, matched, state, rng.choice([0, 0, 0, 2]) if matched else 0))
         df = spark.createDataFrame(views, "dest_seq int, scroll_no int, matched boolean, state string, n_links int")
-        got = {(r.dest_seq, r.scroll_no) for r in crawl.visited_views(df).collect()}
+        got = {(r.dest_seq, r.scroll_no) for r in crawl.visited_views(df, 10, 3).collect()}
         assert got == _walk(views)
+        stops = {d: min((v[1] for v in views if v[0] == d and not v[2] and v[3] == "empty"), default=99) for d in range(4)}
+        every = {(r.dest_seq, r.scroll_no) for r in crawl.visited_views(df).collect()}
+        assert every == {v[:2] for v in views if v[1] <= stops[v[0]]}
 
 
 def test_discover_and_listing_pages(spark):
@@ -81,9 +84,43 @@ def test_discover_and_listing_pages(spark):
     pages = spark.createDataFrame(
         [(1, "/hotel/a", "old"), (2, "/hotel/a?z", "new"), (3, "/hotel/q", "other")], schemas.PAGES
     )
-    for limit in (None, 10**9):
-        kept = listing_pages(pages, discover(df), limit).collect()
-        assert [(r.page_id, r.url, r.html) for r in kept] == [(2, "/hotel/a?v=1", "new")]
+    kept = listing_pages(pages, discover(df)).collect()
+    assert [(r.page_id, r.url, r.html) for r in kept] == [(2, "/hotel/a?v=1", "new")]
+
+
+def test_relative_links_find_stored_pages_by_their_full_address(spark):
+    views = spark.createDataFrame(
+        [(0, 1, '<a data-testid="title-link" href="/hotel/a?x=1">t</a><a data-testid="title-link" href="//s.example/hotel/b">t</a>')],
+        schemas.SEARCH_VIEWS,
+    )
+    pages = spark.createDataFrame([(1, "https://s.example/hotel/a", "A"), (2, "https://s.example/hotel/b?y", "B")], schemas.PAGES)
+    found = discover(views, base="https://s.example/search/results.html?ss=x")
+    got = {(r.page_id, r.url) for r in listing_pages(pages, found).collect()}
+    assert got == {(1, "https://s.example/hotel/a?x=1"), (2, "https://s.example/hotel/b")}
+
+
+def test_absolute_urls(evaluate):
+    values = ["https://o.example/x", "mailto:a", "//h/x", "/x", "x?y", None]
+    got = evaluate(values, lambda c: links.absolute_url(c, "https://s.example/a/b.html?q=/z"))
+    assert got == ["https://o.example/x", "mailto:a", "https://h/x", "https://s.example/x", "https://s.example/a/x?y", None]
+    assert evaluate(["/x"], lambda c: links.absolute_url(c, "https://s.example")) == ["https://s.example/x"]
+
+
+def test_anchor_forms(spark):
+    html = (
+        "<!-- <a href='/no'>n</a> --><script>var x='<a href=\"/no\">'</script><a HREF='/x'>1</a><a href=/y>2</a>"
+        '<a title="a > b" href="/z?a=1&amp;b=2">3</a><a data-href="/no" href="/w">4</a><a name="none">5</a><abbr href="/no">6</abbr>'
+    )
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id long, html string")
+    got = links.explode_anchors(pages).orderBy("page_id", "pos").collect()
+    assert [(r.pos, r.href) for r in got] == [(0, "/x"), (1, "/y"), (2, "/z?a=1&b=2"), (3, "/w")]
+
+
+def test_page_state_reads_the_body_only(evaluate):
+    from staylens.plans.discovery import body_text
+
+    values = ["<head><title>Please verify</title></head><body>No&nbsp;results</body>", "<body>No\n results</body>", "<p>verify</p>"]
+    assert evaluate(values, lambda c: crawl.page_state(body_text(c))) == ["empty", "empty", "blocked"]
 
 
 def test_coverage_counts_empty_destinations(spark):

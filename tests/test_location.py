@@ -115,3 +115,25 @@ def test_a_hot_point_is_split(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_failed_response_does_not_hide_a_good_one(spark):
+    good = '{"display_name":"A, B","address":{"city":"X"}}'
+    rows = [(1.0, 1.0, "!{"), (1.0, 1.0, good), (2.0, 2.0, ""), (2.0, 2.0, good), (3.0, 3.0, None), (3.0, 3.0, "broken")]
+    found = L.locations(spark.createDataFrame(rows, schemas.GEOCODES)).orderBy("lat").collect()
+    assert [(r.lat, r.address, r.city) for r in found] == [(1.0, "A  B", "X"), (2.0, "A  B", "X"), (3.0, None, None)]
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from staylens.functions.workspace import scratch_dir
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session("spark://host:7077"), "x")
+    assert scratch_dir(session("local[4]"), "x")

@@ -22,10 +22,13 @@ def plan(df) -> str:
     return text.getvalue()
 
 
-def test_top_k_limits_before_each_shuffle(spark):
-    text = plan(QUERIES["newest_k_reviews"](spark, SF))
-    # one ranking for ordinary lists, two for hot ones, each limited before and after its shuffle
-    assert text.count("WindowGroupLimit") == 6 and text.count("Partial") == 3
+def test_top_k_is_one_plan_for_every_k(spark):
+    """Days are counted and cards ranked inside their day, limited before the shuffle, for any k."""
+    cards = spark.createDataFrame([], schemas.REVIEW_CARDS)
+    for pages in (2, 500):
+        text = plan(reviews.newest_k(cards, pages))
+        assert text.count("WindowGroupLimit") == 2 and "lane" in text and "CartesianProduct" not in text
+    assert "WindowGroupLimit" not in plan(reviews.newest_k(cards))
 
 
 def test_first_seen_combines_before_the_shuffle(spark):
@@ -47,7 +50,7 @@ def test_page_extraction_does_not_shuffle(spark):
 def test_page_cap_reaches_the_scan(spark, tmp_path):
     spark.createDataFrame([], schemas.REVIEW_CARDS).write.parquet(str(tmp_path / "c"))
     cards = spark.read.schema(schemas.REVIEW_CARDS).parquet(str(tmp_path / "c"))
-    text = plan(reviews.type_stats(kept_cards(cards, 2025)))
+    text = plan(reviews.type_stats(kept_cards(cards, 2025, 20)))
     assert "LessThanOrEqual(page_no,20)" in text and "Window" not in text
     assert "review_ts" not in text.split("ReadSchema")[1]
 

@@ -8,13 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from staylens.plans.oracles import ORACLES
+from staylens.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= entry_module.queries().items() and ORACLES.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -154,23 +154,36 @@ def test_newest_k_of_a_hot_property(spark):
     groups = defaultdict(list)
     for r in rows:
         groups[r[0]].append((-(r[2] - T0).total_seconds(), r[3]))
-    assert [r.property_id for r in V.hot_lists(df, 100).collect()] == ["hot"]
-    for pages, size, hot_rows, lanes in ((2, 10, 100, 64), (1, 7, 0, 3), (20, 10, 100, 1), (500, 10, 3, 64), (2, 10, 10**6, 64)):
-        got = V.newest_k(df, pages, size, hot_rows, lanes).collect()
-        k = pages * size
+    for pages, size in ((2, 10), (1, 7), (20, 10), (500, 10), (None, 10), (0, 10)):
+        got = V.newest_k(df, pages, size).collect()
+        k = pages * size if pages else len(rows)
         want = {(p, i + 1, rid) for p, g in groups.items() for i, (_, rid) in enumerate(sorted(g)[:k])}
         assert {(r.property_id, r.seq, r.review_id) for r in got} == want
 
 
-def test_cap_is_two_hundred_by_default(spark):
-    rows = [card("p", "ALL", n, "Scored 5", "2025", "Couple") for n in range(210)]
+def test_newest_k_over_days_and_undated_cards(spark):
+    """Cards without a time come last, in the order of their ids."""
+    times = [T0 + dt.timedelta(days=n % 4, hours=n) for n in range(20)] + [None] * 5
+    rows = [("p", "ALL", t, n, None, None, "Scored 5", None, None) for n, t in enumerate(times)]
+    want = sorted(range(25), key=lambda n: (times[n] is None, -(times[n] - T0).total_seconds() if times[n] else 0, n))
+    df = cards_df(spark, rows)
+    assert [r.review_id for r in V.newest_k(df).orderBy("seq").collect()] == want
+    assert [r.review_id for r in V.newest_k(df, 1, 7).orderBy("seq").collect()] == want[:7]
+
+
+def test_nothing_is_capped_by_default(spark):
+    """All 500 cards of each list enter the means; a cap has to be asked for."""
+    rows = [card("p", k, n, f"Scored {n % 10}", "2025", "Couple") for k in ("ALL", "BUSINESS_TRAVELLERS") for n in range(500)]
     df = cards_df(spark, rows)
-    assert V.first_pages(df).count() == 200 and V.newest_k(df).count() == 200
-    assert max(r.review_id for r in V.newest_k(df).collect()) == 199
-    assert V.first_pages(df, None).count() == V.capped(df, 0).count() == 210
     bare = df.drop("page_no", "pos")
-    same_pages = V.capped(bare).select("review_id", "page_no", "pos").exceptAll(df.select("review_id", "page_no", "pos"))
-    assert V.capped(bare).count() == 200 and same_pages.count() == 0
+    for cards in (df, bare):
+        (row,) = traveler_means(cards, 2025).collect()
+        assert row.avg_review_score_all_count == 1000 and row.avg_review_score_couples_count == 500
+        (row,) = traveler_means(cards, 2025, 20).collect()
+        assert row.avg_review_score_all_count == 400
+    assert V.first_pages(df).count() == V.capped(df, 0).count() == V.newest_k(df).count() == 1000
+    same_pages = V.capped(bare, 20).select("review_id", "page_no", "pos").exceptAll(df.select("review_id", "page_no", "pos"))
+    assert V.capped(bare, 20).count() == 400 and same_pages.count() == 0
 
 
 @pytest.mark.parametrize("limit", [2, None])
