@@ -32,6 +32,7 @@ CAPACITY = 2048
 END = 1  # id after each document
 ROUNDS = 200  # of column generation; stopping early costs some padding, never a document
 GAP = 1e-3  # relative distance to the lower bound at which column generation stops
+CUT = 20_000  # remainders that are cut to fill gaps, besides those that rounding leaves
 LANE = 20_000  # remainders of one length numbered in one task, about
 REMEMBERED = 300_000  # pieces of text whose ids a task keeps at hand
 
@@ -200,11 +201,30 @@ class Plan:
     sequences: int
 
 
+def _filled(chosen: list[tuple[np.ndarray, int]], counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Give up uses of the patterns with the widest gaps until the leftovers can fill the other gaps.
+
+    The leftovers are cut one by one, so that no more than ``CUT`` remainders are given up; what
+    gaps are left then are padded.
+    """
+    sizes = np.arange(len(counts))
+    left = counts - sum((p * t for p, t in chosen), np.zeros_like(counts))
+    lacking = sum((capacity - int(sizes @ p)) * t for p, t in chosen) - int(sizes @ left)
+    allowed, out = CUT, []
+    for pattern, times in sorted(chosen, key=lambda c: int(sizes @ c[0])):  # stable: widest gap first
+        full = int(sizes @ pattern) == capacity
+        given = 0 if full else max(0, min(times, -(-lacking // capacity), allowed // int(pattern.sum())))
+        lacking, allowed = lacking - given * capacity, allowed - given * int(pattern.sum())
+        if times > given:
+            out.append((pattern, times - given))
+    return out
+
+
 def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
     """Place all remainders of a length histogram (``counts[l]`` of length ``l``)."""
     taken, sequence = np.zeros(len(counts), np.int64), 0
     runs, gaps = [], []
-    for pattern, times in patterns(counts, capacity, rounds):
+    for pattern, times in _filled(patterns(counts, capacity, rounds), counts, capacity):
         offset = 0
         for length in np.flatnonzero(pattern)[::-1]:
             each = int(pattern[length])
