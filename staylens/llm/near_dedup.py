@@ -13,7 +13,7 @@ Document frequencies are counted over all documents into a table of fixed width.
 Work stays linear in the size of a group.  Equal texts are one node.  In a bucket every node
 is compared with a few hubs, not with every other, and in a second round with other hubs if
 they are not yet in one class.  Only where a bucket's nodes are then still in different
-classes, nodes of different classes are compared, by their draws first, so that no link
+classes, nodes of different classes are compared, by many more draws first, so that no link
 between different classes is lost.
 """
 
@@ -39,6 +39,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at similarity 0.8 shares no band with probability 0.0002
 AGREEMENT = 20 / 36  # share of equal draws below which no text is compared; 0.8 is 3.7 deviations above
+FINE = 192  # further draws of the texts that are still apart after the rounds with hubs
+FINE_AGREEMENT = 0.8 - 4 * (0.8 * 0.2 / FINE) ** 0.5  # four deviations below the threshold
 SPREAD = 0.25  # how much more than the most frequent shingle the rarest weighs
 STARS = 2  # rounds in which a bucket's nodes are compared with hubs
 HUB_HASHES = 3  # each gives a bucket two hubs
@@ -155,7 +157,9 @@ def _draw_table(draw: int) -> tuple[np.uint64, np.ndarray, np.ndarray, np.ndarra
     return _tables[draw]
 
 
-def draws(owner: np.ndarray, shingles: np.ndarray, weights: np.ndarray, n_draws: int) -> tuple[np.ndarray, np.ndarray]:
+def draws(
+    owner: np.ndarray, shingles: np.ndarray, weights: np.ndarray, n_draws: int, first: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """The documents that have shingles, and 32 bits for the shingle and level that each draw picks."""
     heads = np.flatnonzero(np.diff(owner, prepend=-1))
     picked = np.zeros((len(heads), n_draws), np.uint32)
@@ -165,7 +169,7 @@ def draws(owner: np.ndarray, shingles: np.ndarray, weights: np.ndarray, n_draws:
     level, some = np.empty(size, np.float32), np.empty(size, np.float32)
     spot, name = np.empty(size, np.int64), np.empty(size, np.uint64)
     for k in range(n_draws):
-        odd, inverse, beta, high, r = _draw_table(k)
+        odd, inverse, beta, high, r = _draw_table(first + k)
         np.multiply(shingles, odd, out=name)
         np.right_shift(name, np.uint64(64 - DRAW_BITS), out=spot.view(np.uint64))
         np.take(inverse, spot, out=level, mode="clip")
@@ -219,6 +223,20 @@ def _signatures(idf):
     return run
 
 
+def _fine_draws(idf):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, owner, shingles in _groups(batch.column("text")):
+                owner, shingles, counts = _counted(owner, shingles)
+                having, picked = draws(owner, shingles, _weights(shingles, counts, idf.value), FINE, BANDS * ROWS)
+                nodes = batch.column("node").slice(first, last - first).take(pa.array(having))
+                ends = pa.array(np.arange(len(having) + 1, dtype=np.int32) * FINE)
+                fine = pa.ListArray.from_arrays(ends, pa.array(picked.ravel().view(np.int32)))
+                yield pa.RecordBatch.from_arrays([nodes, fine], names=["node", "fine"])
+
+    return run
+
+
 def weighted_set(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of one text, ascending, and their weights."""
     _, _, owner, shingles = next(_groups(pa.array([text], pa.large_string())))
@@ -276,10 +294,13 @@ def _verified(idf, threshold: float):
     return run
 
 
+def _equal(one: str, other: str) -> Column:
+    return F.size(F.filter(F.zip_with(F.col(one), F.col(other), lambda x, y: x == y), lambda same: same))
+
+
 def _promising(one: str, other: str, threshold: float) -> Column:
     """Weights and draws allow the pair to reach the threshold."""
-    a, b = F.col(f"{one}draws"), F.col(f"{other}draws")
-    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
+    equal = _equal(f"{one}draws", f"{other}draws")
     ma, mb = F.col(f"{one}mass"), F.col(f"{other}mass")
     return (F.least(ma, mb) >= threshold * 0.999 * F.greatest(ma, mb)) & (equal >= round(AGREEMENT * BANDS * ROWS))
 
@@ -355,8 +376,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     # what is still apart in a bucket is compared across classes, each pair in its first common band
     rest = _open_members(members, found).join(nodes.select("node", "mass", "draws", "keys"), "node")
     rest = stored(rest.select("band", "key", "node", "root", "mass", "draws", "keys"), "open-buckets")
-    one = rest.toDF("band", "key", "a", "a_root", "a_mass", "a_draws", "a_keys")
-    other = rest.toDF("other_band", "other_key", "b", "b_root", "b_mass", "b_draws", "b_keys")
+    texts = base.join(rest.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    fine = stored(texts.mapInArrow(_fine_draws(idf), "node string, fine array<int>"), "fine-draws")
+    rest = rest.join(fine, "node").select("band", "key", "node", "root", "mass", "draws", "keys", "fine")
+    one = rest.toDF("band", "key", "a", "a_root", "a_mass", "a_draws", "a_keys", "a_fine")
+    other = rest.toDF("other_band", "other_key", "b", "b_root", "b_mass", "b_draws", "b_keys", "b_fine")
     met = F.exists(
         F.zip_with(F.slice("a_keys", F.lit(1), F.col("band")), F.slice("b_keys", F.lit(1), F.col("band")), lambda x, y: x == y),
         lambda same: same,
@@ -367,6 +391,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
         & (F.col("key") == F.col("other_key"))
         & (F.col("a_root") < F.col("b_root"))
         & _promising("a_", "b_", threshold)
+        & (_equal("a_fine", "b_fine") >= int((FINE_AGREEMENT + threshold - THRESHOLD) * FINE))
         & ~met,
     )
     links = links.unionByName(_links(across.select("a", "b"), base, idf, threshold))
