@@ -1,8 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 Pages of one host share a template.  Every page scores its containers by how much of its
-running text they hold, and votes on their generalised paths: tags and classes from the root
-down, digits taken out.  Spark adds up the votes of each host; the winning path then says on
+running text they hold, and votes for the generalised path of the best: tags and classes from
+the root down, digits taken out.  Spark adds up the votes of each host; the winning path then says on
 all pages of the host which container is the article, and the pages are extracted again from
 that container.  A page without it uses its own best container.
 """
@@ -142,7 +142,11 @@ class Page(HTMLParser):
             self._links += len(data)
 
     def scores(self) -> dict[str, float]:
-        """Share of the running text in each container path; deeper ones win among equals."""
+        """Share of the running text in each container path that holds half of it or more.
+
+        Depth counts a little, so that an inner container with nearly all the text wins over
+        the whole page; an ``article`` or ``main`` wins over a part of it without the headline.
+        """
         mass: dict[str, float] = {}
         total = 0.0
         for text, linked, around in zip(self.blocks, self.linked, self.inside, strict=True):
@@ -152,18 +156,21 @@ class Page(HTMLParser):
                 mass[path] = mass.get(path, 0.0) + worth
         if not total:
             return {}
-        return {p: m / total + 0.02 * p.count(">") for p, m in mass.items() if m >= 0.5 * total}
+        named = {p: p.rpartition(">")[2].partition(".")[0] in ("article", "main") for p in mass}
+        return {p: m / total + 0.02 * p.count(">") + 0.1 * named[p] for p, m in mass.items() if m >= 0.5 * total}
 
-    def own_path(self) -> str | None:
+    def best(self) -> tuple[str, float] | None:
+        """The path that the page votes for, and its score."""
         found = self.scores()
-        return max(found, key=lambda p: (found[p], p)) if found else None
+        path = max(found, key=lambda p: (found[p], p), default=None)
+        return None if path is None else (path, found[path])
 
     def text(self, path: str | None) -> str:
         """Blocks inside elements with that path, one a line; of the page's own best path if it has none."""
         chosen = {n for n, p in enumerate(self.paths) if p == path}
         if not chosen:
-            own = self.own_path()
-            chosen = {n for n, p in enumerate(self.paths) if p == own}
+            own = self.best()
+            chosen = {n for n, p in enumerate(self.paths) if own and p == own[0]}
             if own is None:  # nothing but links, or no container at all
                 return "\n".join(self.blocks)
         return "\n".join(b for b, around in zip(self.blocks, self.inside, strict=True) if not chosen.isdisjoint(around))
@@ -171,11 +178,11 @@ class Page(HTMLParser):
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [
-            (host, path, score)
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True)
-            for path, score in Page(html.as_py()).scores().items()
-        ]
+        rows = []
+        for host, html in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
+            found = Page(html.as_py()).best()
+            if found:
+                rows.append((host, *found))
         columns = list(zip(*rows, strict=True)) or [[]] * 3
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)],

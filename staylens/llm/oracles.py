@@ -43,7 +43,36 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
 FROM p LEFT JOIN k ON p.html = k.html
 """
 
+# crc32 byte by byte: a table of 256 remainders, then one step per byte
+SHARDING = """
+WITH step AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, repeat([0::BIGINT], 8)),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), d AS (
+  SELECT doc_id, source, strlen(coalesce(text, '')) + 16 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents
+), b AS (
+  SELECT doc_id, source, size, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes FROM d
+), c AS (
+  SELECT doc_id, source, size, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+    lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) AS text_crc32 FROM b, step
+), s AS (
+  SELECT *, coalesce('=' || source, '') AS stratum, md5('1|' || coalesce(doc_id::VARCHAR, '')) AS draw FROM c
+), r AS (
+  SELECT *, row_number() OVER w - 1 AS rank, count(*) OVER (PARTITION BY stratum) AS total,
+    ('0x' || substr(md5(stratum), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS phase
+  FROM s WINDOW w AS (PARTITION BY stratum ORDER BY draw, doc_id NULLS FIRST, text_crc32, size)
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY (rank + phase) / total, stratum, draw, doc_id NULLS FIRST, text_crc32, size) - 1 AS position,
+    count(*) OVER () AS n
+  FROM r
+), q AS (SELECT *, position * 40 // n AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, (position - (shard * n + 39) // 40)::BIGINT AS slot,
+  NULL::INTEGER AS grown_shard, source
+FROM q
+"""
+
 ORACLES: dict[str, str] = {
     "op6_decontamination": DECONTAMINATION,
+    "op7_sharding": SHARDING,
     "op9_warc": WARC,
 }
