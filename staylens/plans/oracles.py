@@ -43,6 +43,9 @@ kept AS (
   WHERE (list_kind = 'ALL' AND (stay_date = 'Unknown' OR stay_year = 2025) AND traveler_type <> 'Unknown')
      OR (list_kind = 'BUSINESS_TRAVELLERS' AND stay_year = 2025))"""
 
+_KEPT_OF_ALL_YEARS = """
+kept AS (SELECT * FROM parsed WHERE list_kind = 'BUSINESS_TRAVELLERS' OR traveler_type <> 'Unknown')"""
+
 _MEAN = "CAST(sum(CAST(round(score * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count(*)"
 _MEAN_OF_CENTS = "CAST(sum(cents) AS DOUBLE) / 100.0 / sum(n)"
 
@@ -280,6 +283,17 @@ SELECT page_id, CAST(unnest(range(len(tags))) AS INTEGER) AS pos,
   regexp_extract(unnest(tags), '\\bhref="([^"]*)"', 1) AS href FROM chosen"""
 
 
+_REVIEW_RECORD = f"""
+{_TO_RESOLVED}, {_TOTALS}, {_WIDE}, {_SHORT},
+reviewed AS (SELECT DISTINCT sha256('https://stays.example/hotel/' || property_id || '.html') AS property_id FROM cards),
+means AS (
+  SELECT * REPLACE (sha256('https://stays.example/hotel/' || property_id || '.html') AS property_id)
+  FROM totals JOIN wide USING (property_id))
+SELECT s.property_id, scrape_timestamp, 2025 AS filtered_year, property_url, category, {_GATED}, {_REVIEW_COLUMNS},
+  min_price, max_price, latitude, longitude, address, zone, city, wifi_speed
+FROM short s LEFT JOIN reviewed r ON r.property_id = s.property_id LEFT JOIN means m ON m.property_id = s.property_id"""
+
+
 ORACLES: dict[str, str] = {
     "search_requests": """
 SELECT CAST(c_custkey AS INTEGER) AS dest_seq, c_name AS city, DATE '2025-09-10' AS checkin, DATE '2025-09-11' AS checkout,
@@ -298,7 +312,7 @@ SELECT page_id, sha256(split_part(url, '?', 1)) AS property_id, url AS property_
 WITH {_ELEMENTS},
 ruled AS (
   SELECT *, CASE WHEN page_id % 2 = 0 THEN n ELSE 4 - n END AS rule_no
-  FROM (SELECT *, CASE selector WHEN 'absent' THEN 1 WHEN 'heading' THEN 2 ELSE 3 END AS n FROM elements WHERE selector <> 'ad')),
+  FROM (SELECT *, CASE selector WHEN 'absent' THEN 1 WHEN 'heading' THEN 2 ELSE 3 END AS n FROM elements)),
 ranked AS (SELECT *, rank() OVER (PARTITION BY page_id ORDER BY rule_no) AS r FROM ruled)
 SELECT page_id, rule_no, selector, ordinal, text FROM ranked WHERE r = 1""",
     "link_filter": f"WITH {_LINKS} SELECT dest_seq, scroll_no, pos, href FROM links WHERE contains(href, '/e')",
@@ -455,22 +469,9 @@ WITH {_CARDS}
 SELECT property_id, list_kind, CAST((seq - 1) // 10 + 1 AS INTEGER) AS page_no, CAST((seq - 1) % 10 + 1 AS INTEGER) AS pos,
   CASE WHEN contains(score_text, 'Scored') THEN score_text END AS score_text, stay_date, traveler_type
 FROM paged""",
-    "property_record": f"""
-{_TO_RESOLVED}, {_TOTALS}, {_WIDE}, {_SHORT},
-reviewed AS (SELECT DISTINCT sha256('https://stays.example/hotel/' || property_id || '.html') AS property_id FROM cards),
-means AS (
-  SELECT * REPLACE (sha256('https://stays.example/hotel/' || property_id || '.html') AS property_id)
-  FROM totals JOIN wide USING (property_id))
-SELECT s.property_id, scrape_timestamp, 2025 AS filtered_year, property_url, category, {_GATED}, {_REVIEW_COLUMNS},
-  min_price, max_price, latitude, longitude, address, zone, city, wifi_speed
-FROM short s LEFT JOIN reviewed r ON r.property_id = s.property_id LEFT JOIN means m ON m.property_id = s.property_id""",
+    "property_record": _REVIEW_RECORD,
     "record_15": f"WITH {_SHORT} SELECT {_COLUMNS_15} FROM short",
-    "record_31": f"""
-WITH {_SHORT}
-SELECT {_COLUMNS_15}, CAST(NULL AS INTEGER) AS filtered_year, CAST(NULL AS DOUBLE) AS comfort_score,
-  CAST(NULL AS DOUBLE) AS value_score, CAST(NULL AS DOUBLE) AS location_score,
-  {", ".join(f"CAST(NULL AS DOUBLE) AS avg_review_score_{k}, CAST(NULL AS BIGINT) AS avg_review_score_{k}_count" for k in ("all", *_KINDS))}
-FROM short""",
+    "record_31": _REVIEW_RECORD.replace(_KEPT, _KEPT_OF_ALL_YEARS).replace("2025 AS filtered_year", "CAST(NULL AS INTEGER) AS filtered_year"),
     "export_defaults": f"""
 WITH {_SHORT}
 SELECT property_id, scrape_timestamp, property_url,
@@ -496,6 +497,12 @@ reasons AS (
   SELECT page_id, list_filter([CASE WHEN category IS NULL THEN 'category' END, CASE WHEN latitude IS NULL THEN 'latitude' END,
     CASE WHEN min_price IS NULL THEN 'min_price' END], lambda x: x IS NOT NULL) AS missing FROM attributes)
 SELECT page_id, 'missing ' || array_to_string(missing, ', ') AS reason FROM reasons WHERE len(missing) > 0""",
-    "stream_first_seen": f"WITH {_FIRST_SEEN} SELECT * FROM first_seen",
+    "stream_first_seen": f"""
+WITH {_LINKS},
+seen AS (
+  SELECT split_part(href, '?', 1) AS canonical, dest_seq, scroll_no, pos, href, row_number() OVER (
+    PARTITION BY split_part(href, '?', 1) ORDER BY CAST(split_part(href, '?p=', -1) AS INTEGER) % 4, dest_seq, scroll_no, pos) AS r
+  FROM links)
+SELECT canonical, dest_seq, scroll_no, pos, href FROM seen WHERE r = 1""",
     "stream_records": _HTML_ATTRIBUTES,
 }

@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 RUN_DATE = "2025-09-10"
 RUN_TS = "2025-09-10 15:31:07"
 YEAR = 2025
+BATCHES = 4
 NEEDLE = "/e"
 TAG_NEEDLES = ('data-testid="title-link"', 'href="/que', 'href="/the', 'href="/')
 BLOCKED = ("hetion", "enest")
@@ -99,7 +100,7 @@ def link_fallback(spark, sf):
 
 @query
 def link_fallback_rows(spark, sf):
-    rows = stored(page_elements(spark, sf).where(F.col("selector") != "ad"), "elements")
+    rows = stored(page_elements(spark, sf), "elements")
     rule = F.when(F.col("selector") == "absent", 1).when(F.col("selector") == "heading", 2).otherwise(3)
     low = F.when(F.col("page_id") % 2 == 0, rule).otherwise(4 - rule)
     kept = links.fallback_elements(rows.withColumn("rule_no", low), ["page_id"])
@@ -517,8 +518,9 @@ def record_15(spark, sf):
 
 @query
 def record_31(spark, sf):
-    """The column contract alone: a short record widened to 31 columns, absent ones NULL."""
-    return _text_time(record.record_31(records.short_records(_customer_base(spark, sf), _geocodes(spark, sf))))
+    """The review form over reviews of all years."""
+    rows = records.review_records(_customer_base(spark, sf), _geocodes(spark, sf), _record_cards(spark, sf))
+    return _text_time(rows)
 
 
 @query
@@ -562,8 +564,12 @@ def _finish(query):
 
 @query
 def stream_first_seen(spark, sf):
-    arriving = D.links(tables.stream(spark, sf, schemas.PAGES, files_per_batch=1, glob="pages.parquet"))
+    """Pages arrive in four files, one after the other, each a batch of its own."""
     out = scratch_dir(spark, "first-seen")
+    pages = _t(spark, sf, "pages")
+    for part in range(BATCHES):
+        pages.where(F.col("page_id") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
+    arriving = D.links(tables.stream(spark, f"{out}/arrivals/*", schemas.PAGES, files_per_batch=1))
     _finish(
         incremental.write_batches(
             incremental.first_seen_stream(arriving), f"{out}/rows", f"{out}/checkpoint", mode="update"
