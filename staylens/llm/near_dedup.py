@@ -39,8 +39,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at similarity 0.8 shares no band with probability 0.0002
 AGREEMENT = 20 / 36  # share of equal draws below which no text is compared; 0.8 is 3.7 deviations above
-FINE = 192  # further draws of the texts that are still apart after the rounds with hubs
-FINE_AGREEMENT = 0.8 - 4 * (0.8 * 0.2 / FINE) ** 0.5  # four deviations below the threshold
+FINE = 512  # further draws of the texts that are still apart after the rounds with hubs
+FINE_AGREEMENT = 0.8 - 3.5 * (0.8 * 0.2 / FINE) ** 0.5  # a pair at the threshold is below with probability 0.0002
 SPREAD = 0.25  # how much more than the most frequent shingle the rarest weighs
 STARS = 2  # rounds in which a bucket's nodes are compared with hubs
 HUB_HASHES = 3  # each gives a bucket two hubs
@@ -322,7 +322,7 @@ def _open_members(members: DataFrame, found: DataFrame | None) -> DataFrame:
     """Members, with their classes, of the buckets that hold more than one class."""
     if found is None:
         return members.withColumn("root", F.col("node"))
-    told = members.join(found, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
+    told = members.join(found, "node", "left").select(*members.columns, F.coalesce("root", "node").alias("root"))
     mark = F.xxhash64("root")
     apart = told.groupBy("band", "key").agg(F.min(mark).alias("x"), F.max(mark).alias("y")).where("x <> y")
     return told.join(apart.select("band", "key"), ["band", "key"])
@@ -355,8 +355,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
 
     members = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(shared, ["band", "key"]).select("band", "key", "node"), "buckets")
     light = nodes.select("node", "mass", "draws")
+    members = members.join(shared.select("band", "key"), ["band", "key"]).join(light, "node")
+    members = stored(members.select("band", "key", "node", "mass", "draws"), "buckets")
     links, found = None, None
     for turn in range(STARS):
         told = _open_members(members, found)
@@ -365,16 +366,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
         ends = told.groupBy("band", "key").agg(*(f(h).alias(f"{n}_{h}") for h in hashes for n, f in (("lo", F.min), ("hi", F.max))))
         is_hub = [F.col(h) == F.col(f"{n}_{h}") for h in hashes for n in ("lo", "hi")]
         hubs = told.join(ends, ["band", "key"]).where(reduce(lambda x, y: x | y, is_hub))
-        hubs = hubs.select("band", "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = told.join(hubs, ["band", "key"]).where("root <> hub_root")
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        pairs = pairs.join(light.toDF("a", "a_mass", "a_draws"), "a").join(light.toDF("b", "b_mass", "b_draws"), "b")
-        more = _links(pairs.where(_promising("a_", "b_", threshold)).select("a", "b"), base, idf, threshold)
+        hubs = hubs.select("band", "key", "node", "root", "mass", "draws").toDF("hub_band", "hub_key", "hub", "hub_root", "b_mass", "b_draws")
+        some = told.select("band", "key", "node", "root", "mass", "draws").toDF("band", "key", "node", "root", "a_mass", "a_draws")
+        here = (F.col("band") == F.col("hub_band")) & (F.col("key") == F.col("hub_key"))
+        pairs = some.join(hubs, here & (F.col("root") != F.col("hub_root")) & _promising("a_", "b_", threshold))
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+        more = _links(pairs, base, idf, threshold)
         links = more if links is None else links.unionByName(more)
         found = stored(components(links), "components")
 
     # what is still apart in a bucket is compared across classes, each pair in its first common band
-    rest = _open_members(members, found).join(nodes.select("node", "mass", "draws", "keys"), "node")
+    rest = _open_members(members, found).join(nodes.select("node", "keys"), "node")
     rest = stored(rest.select("band", "key", "node", "root", "mass", "draws", "keys"), "open-buckets")
     texts = base.join(rest.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     fine = stored(texts.mapInArrow(_fine_draws(idf), "node string, fine array<int>"), "fine-draws")
