@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+SPREAD = 64
+
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp "
     "s samp small span strike strong sub sup time tt u var wbr".split()
@@ -212,6 +214,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    out = rows.join(host_paths(rows), "host", "left")
+    # a host may have a third of all pages: its path is repeated, and its pages are dealt to SPREAD places
+    paths = host_paths(rows).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).cast("bigint"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)))
+    out = rows.join(paths, ["host", "part"], "left")
     out = out.withColumn("text", main_text(F.col("html"), F.col("path")))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
