@@ -30,7 +30,7 @@ DROPPED = frozenset(
     "head script style noscript template svg math canvas object iframe nav aside footer form button select "
     "textarea input option datalist dialog menu audio video".split()
 )
-# class and id words of parts that are not the article
+# class and id words of parts that are not the article, unless the element holds it
 PARTS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav "
     "navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification alert popup modal "
@@ -46,62 +46,112 @@ CLOSES_PARAGRAPH = frozenset(
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "option": ("option",)}
 BARRIERS = frozenset(("ul", "ol", "dl", "table", "html", "body"))
 LABEL = re.compile(r"[\W\d_]+")
+SAYS_WHAT_ELSE_IS_THERE = re.compile(r"(?<![a-z])(?:has|with|without|no)[^a-z\s]\S*")  # "with-sidebar" is no sidebar
+
+
+def _named_as_part(named: dict) -> bool:
+    words = SAYS_WHAT_ELSE_IS_THERE.sub(" ", f"{named.get('class') or ''} {named.get('id') or ''}".lower())
+    return not PARTS.isdisjoint(re.split(r"[^a-z]+", words))
+
+
+def _joined(parts: list[tuple[str, bool, tuple[int, ...]]]) -> tuple[str, int]:
+    """Text of a block, and how many characters of it are links."""
+    text = " ".join("".join(x[0] for x in parts).split())
+    return text, min(sum(len(x[0]) for x in parts if x[1]), len(text))
 
 
 class Page(HTMLParser):
-    """Text blocks of a page with the open elements around them."""
+    """Text blocks of a page with the open elements around them.
+
+    Tags of ``DROPPED`` go with all they hold.  What only its class, id or role, or its being a
+    page's ``header``, marks as no part of the article is a suspect: it goes when the whole
+    page is read and it holds neither the article nor most of the running text.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # tag, element number, dropped
-        self.paths: list[str] = []  # of every container, by element number
+        self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, element number, dropped, suspects
+        self.paths: list[str | None] = []  # of every container, by element number; None in parts that go
         self.inside: list[tuple[int, ...]] = []  # containers around each block
         self.blocks: list[str] = []
         self.linked: list[int] = []
         self.around: tuple[int, ...] = ()
         self.names: list[str] = []
-        self._text: list[str] = []
-        self._links = 0
+        self._text: list[tuple[str, bool, tuple[int, ...]]] = []  # data, in a link, suspects around it
+        self._read: list[tuple[tuple[int, ...], list]] = []  # of every block: containers, text
+        self._suspects = 0
+        self._within: list[tuple[int, ...]] = []  # suspects around every container
+        self._articles: dict[int, bool] = {}  # article and main by number: is it main
         self.feed(html)
         self.close()
         self._cut()
+        gone = self._gone()
+        self.paths = [p if gone.isdisjoint(w) else None for p, w in zip(self.paths, self._within, strict=True)]
+        for around, parts in self._read:
+            text, links = _joined(parts if not gone else [x for x in parts if gone.isdisjoint(x[2])])
+            if text:
+                self.inside.append(tuple(n for n in around if self.paths[n] is not None))
+                self.blocks.append(text)
+                self.linked.append(links)
 
     def _cut(self) -> None:
-        text = " ".join("".join(self._text).split())
-        if text:
-            self.inside.append(self.around)
-            self.blocks.append(text)
-            self.linked.append(min(self._links, len(text)))
-        self._text, self._links = [], 0
+        if self._text:
+            self._read.append((self.around, self._text))
+            self._text = []
+
+    def _gone(self) -> set[int]:
+        """Suspects that hold no main, no large article and not most of the running text.
+
+        Comments and teasers may be articles too: those that are named as such, and those with
+        less than half the running text of the largest one, save no suspect.
+        """
+        if not self._suspects:
+            return set()
+        total, held, articles = 0, [0] * self._suspects, dict.fromkeys(self._articles, 0)
+        for around, parts in self._read:
+            text, links = _joined(parts)
+            total += (worth := max(len(text) - 3 * links, 0))
+            for n in around:
+                if n in articles:
+                    articles[n] += worth
+            for k in {k for x in parts for k in x[2]}:
+                text, links = _joined([x for x in parts if k in x[2]])
+                held[k] += max(len(text) - 3 * links, 0)
+        least = max((m for n, m in articles.items() if not self._articles[n]), default=0) / 2
+        saved = {k for n, m in articles.items() if self._articles[n] or m >= least for k in self._within[n]}
+        return {k for k, m in enumerate(held) if k not in saved and m <= total / 2}
 
     def _push(self, tag: str, attrs: list) -> None:
         named = dict(attrs)
-        words = f"{named.get('class') or ''} {named.get('id') or ''}".lower()
-        parent_dropped = bool(self.open) and self.open[-1][2]
-        dropped = parent_dropped or tag in DROPPED
+        dropped, suspects = self.open[-1][2:] if self.open else (False, ())
+        dropped = dropped or tag in DROPPED
         if not dropped and tag not in KEPT:
-            dropped = not PARTS.isdisjoint(re.split(r"[^a-z]+", words)) or (named.get("role") or "").lower() in ROLES
-            dropped = dropped or "hidden" in named or "display:none" in (named.get("style") or "").replace(" ", "").lower()
+            suspect = _named_as_part(named) or (named.get("role") or "").lower() in ROLES
             # a page's header goes, an article's own stays
-            dropped = dropped or (tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open))
+            if suspect or (tag == "header" and not any(x[0] in ("article", "main") for x in self.open)):
+                suspects = (*suspects, self._suspects)
+                self._suspects += 1
         number = -1
         classes = sorted({c for c in (LABEL.sub("", x) for x in (named.get("class") or "").lower().split()) if c})
         self.names.append(".".join([tag, *classes]))
         if tag in CONTAINERS and not dropped:
             number = len(self.paths)
             self.paths.append(">".join(self.names))
-        self.open.append((tag, number, dropped))
+            self._within.append(suspects)
+            if tag == "main" or (tag == "article" and not _named_as_part(named)):
+                self._articles[number] = tag == "main"
+        self.open.append((tag, number, dropped, suspects))
 
     def _pop(self, upto: int) -> None:
         del self.open[upto:]
         del self.names[upto:]
 
     def _note(self) -> None:
-        self.around = tuple(n for _, n, _ in self.open if n >= 0)
+        self.around = tuple(x[1] for x in self.open if x[1] >= 0)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br":
-            self._text.append(" ")
+            self._text.append((" ", False, ()))
         if tag in INLINE:
             if tag not in VOID:
                 self._push(tag, attrs)
@@ -139,9 +189,7 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][2]:
             return
-        self._text.append(data)
-        if any(t == "a" for t, _, _ in self.open):
-            self._links += len(data)
+        self._text.append((data, any(x[0] == "a" for x in self.open), self.open[-1][3] if self.open else ()))
 
     def scores(self) -> dict[str, float]:
         """Share of the running text in each container path that holds half of it or more.
@@ -169,7 +217,7 @@ class Page(HTMLParser):
 
     def text(self, path: str | None) -> str:
         """Blocks inside elements with that path, one a line; of the page's own best path if it has none."""
-        chosen = {n for n, p in enumerate(self.paths) if p == path}
+        chosen = {n for n, p in enumerate(self.paths) if path is not None and p == path}
         if not chosen:
             own = self.best()
             chosen = {n for n, p in enumerate(self.paths) if own and p == own[0]}
@@ -215,7 +263,7 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
     # a host may have a third of all pages: its path is repeated, and its pages are dealt to SPREAD places
-    paths = host_paths(rows).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).cast("bigint"))
+    paths = host_paths(rows).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)))
     out = rows.join(paths, ["host", "part"], "left")
     out = out.withColumn("text", main_text(F.col("html"), F.col("path")))

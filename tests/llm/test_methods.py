@@ -312,6 +312,32 @@ def test_extraction_by_host(spark):
     assert out[0].path == out[9].path == "html>body.hassidebar>div.layout>div.story"
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='row with-sidebar'", "div id='page' class='has-comments'", "section class='search-result-page'", "div role='banner'"],
+)
+def test_wrapper_named_after_a_part_keeps_the_article(wrapper):
+    story = "<h1>Title</h1>" + "<p>some running text</p>" * 9
+    parts = "<div class='sidebar'><p>side</p></div><div id='comments'><article class='comment'><p>first comment</p></article></div>"
+    want = "\n".join(["Title", *["some running text"] * 9])
+    for inner in (f"<article>{story}</article>", f"<main>{story}</main>", f"<div class='story'>{story}</div>"):
+        page = f"<html><body><{wrapper}>{inner}{parts}</{wrapper.split()[0]}></body></html>"
+        assert extraction.Page(page).text(None) == want
+
+
+def test_small_article_saves_its_wrapper_but_no_teasers():
+    extra = "<div class='other'>" + "<p>words of the template</p>" * 9 + "</div>"
+    page = f"<body><div class='search-page'><article><p>the short article</p></article></div>{extra}</body>"
+    assert "the short article" in extraction.Page(page).blocks
+    teasers = "<div class='related'><article><p>a teaser</p></article></div>"
+    assert extraction.Page(f"<body><article><p>{'text ' * 30}</p></article>{teasers}</body>").blocks == [("text " * 30).strip()]
+
+
+def test_hidden_text_stays_and_inline_parts_go():
+    page = "<body><article><p>one <span class='ad'>buy</span> two</p><p hidden>three</p><p style='display: none'>four</p></article></body>"
+    assert extraction.Page(page).text(None) == "one two\nthree\nfour"
+
+
 def test_archives_read_by_any_ranges(spark):
     given = spark.read.parquet(f"{SF}/pages.parquet")
     manifest, folder = warc.write_archives(given, file_bytes=40_000)
