@@ -71,16 +71,16 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, element number, dropped, suspects
-        self.paths: list[str | None] = []  # of every container, by element number; None in parts that go
+        self.paths: list[str | None] = [""]  # of the page and of every container, by element number; None in parts that go
         self.inside: list[tuple[int, ...]] = []  # containers around each block
         self.blocks: list[str] = []
         self.linked: list[int] = []
-        self.around: tuple[int, ...] = ()
+        self.around: tuple[int, ...] = (0,)
         self.names: list[str] = []
         self._text: list[tuple[str, bool, tuple[int, ...]]] = []  # data, in a link, suspects around it
         self._read: list[tuple[tuple[int, ...], list]] = []  # of every block: containers, text
         self._suspects = 0
-        self._within: list[tuple[int, ...]] = []  # suspects around every container
+        self._within: list[tuple[int, ...]] = [()]  # suspects around every container
         self._articles: dict[int, bool] = {}  # article and main by number: is it main
         self.feed(html)
         self.close()
@@ -147,7 +147,7 @@ class Page(HTMLParser):
         del self.names[upto:]
 
     def _note(self) -> None:
-        self.around = tuple(x[1] for x in self.open if x[1] >= 0)
+        self.around = (0, *(x[1] for x in self.open if x[1] >= 0))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br":
@@ -191,29 +191,28 @@ class Page(HTMLParser):
             return
         self._text.append((data, any(x[0] == "a" for x in self.open), self.open[-1][3] if self.open else ()))
 
-    def scores(self) -> dict[str, float]:
-        """Share of the running text in each container path that holds half of it or more.
+    def best(self) -> tuple[str, float] | None:
+        """The container path that the page votes for, and its score.
 
-        Depth counts a little, so that an inner container with nearly all the text wins over
-        the whole page; an ``article`` or ``main`` wins over a part of it without the headline.
+        The score is the share of the running text, of half or more, and a bonus for ``article``
+        and ``main``, so that these win over a whole page.  Of equal scores the path with more
+        blocks wins, and of equal blocks the inner one: no depth makes up for text left out.
         """
-        mass: dict[str, float] = {}
-        total = 0.0
+        mass: dict[str, list[int]] = {}
+        total = 0
         for text, linked, around in zip(self.blocks, self.linked, self.inside, strict=True):
             worth = max(len(text) - 3 * linked, 0)
             total += worth
             for path in {self.paths[n] for n in around}:
-                mass[path] = mass.get(path, 0.0) + worth
+                held = mass.setdefault(path, [0, 0])
+                held[0] += worth
+                held[1] += 1
         if not total:
-            return {}
+            return None
         named = {p: p.rpartition(">")[2].partition(".")[0] in ("article", "main") for p in mass}
-        return {p: m / total + 0.02 * p.count(">") + 0.1 * named[p] for p, m in mass.items() if m >= 0.5 * total}
-
-    def best(self) -> tuple[str, float] | None:
-        """The path that the page votes for, and its score."""
-        found = self.scores()
-        path = max(found, key=lambda p: (found[p], p), default=None)
-        return None if path is None else (path, found[path])
+        found = {p: (m / total + 0.1 * named[p], n, len(p), p) for p, (m, n) in mass.items() if 2 * m >= total}
+        path = max(found, key=found.get)
+        return path, found[path][0]
 
     def text(self, path: str | None) -> str:
         """Blocks inside elements with that path, one a line; of the page's own best path if it has none."""
@@ -221,7 +220,7 @@ class Page(HTMLParser):
         if not chosen:
             own = self.best()
             chosen = {n for n, p in enumerate(self.paths) if own and p == own[0]}
-            if own is None:  # nothing but links, or no container at all
+            if own is None:  # nothing but links
                 return "\n".join(self.blocks)
         return "\n".join(b for b, around in zip(self.blocks, self.inside, strict=True) if not chosen.isdisjoint(around))
 
@@ -243,9 +242,9 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_paths(pages: DataFrame) -> DataFrame:
     """Winning container path of each host: ``host``, ``path``.  ``pages`` has ``host`` and ``html``."""
     votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, score double")
-    # whole numbers add up to the same sum in any order
+    # whole numbers add up to the same sum in any order; of equal votes the outer path leaves nothing out
     total = votes.groupBy("host", "path").agg(F.sum(F.round(F.col("score") * 1000).cast("bigint")).alias("votes"))
-    return total.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"))
+    return total.groupBy("host").agg(F.max_by("path", F.struct("votes", -F.length("path"), "path")).alias("path"))
 
 
 @F.arrow_udf(returnType=StringType())

@@ -333,6 +333,21 @@ def test_small_article_saves_its_wrapper_but_no_teasers():
     assert extraction.Page(f"<body><article><p>{'text ' * 30}</p></article>{teasers}</body>").blocks == [("text " * 30).strip()]
 
 
+def test_inner_container_never_wins_over_text_it_leaves_out(spark):
+    body = "<p>" + "running text " * 400 + "</p>"
+    linked = "<p>see <a href='/x'>this other page and its many links</a></p>"
+    for around in ("<div class='content'><h1>{0}</h1><div class='body'>{1}</div>{2}</div>", "<h1>{0}</h1><div class='body'>{1}</div>{2}"):
+        for page in (f"<body>{around}</body>", around):
+            page = page.format("Headline", body, linked)
+            assert extraction.Page(page).text(None).splitlines() == ["Headline", ("running text " * 400).strip(), "see this other page and its many links"]
+    inner = extraction.Page(f"<body><div class='content'><div class='body'>{body}</div></div></body>").best()
+    assert inner[0] == "body>div.content>div.body"  # nothing stands outside
+    page = "<body><div class='content'><h1>Headline</h1><div class='body'>" + body + "</div></div></body>"
+    rows = [(i, f"https://h.example/{i}", page) for i in range(3)]
+    out = extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert all(r.text.startswith("Headline\n") for r in out)
+
+
 def test_hidden_text_stays_and_inline_parts_go():
     page = "<body><article><p>one <span class='ad'>buy</span> two</p><p hidden>three</p><p style='display: none'>four</p></article></body>"
     assert extraction.Page(page).text(None) == "one two\nthree\nfour"
