@@ -217,6 +217,27 @@ def test_ids_of_unusual_texts():
         assert ours.ids(text).tolist() == public.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_inside_texts(spark):
+    vocabulary = path("byte_bpe_50k.json")
+    ours, public = packing.tokenizer(vocabulary), Tokenizer.from_file(vocabulary)
+    assert ours.ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    rng, texts = random.Random(3), []
+    for _ in range(400):
+        texts.append("".join(rng.choice(["<|endoftext|>", "<|endof", "text|>", "<|", "a", " the", " ", "\n", "\t", "é"]) for _ in range(rng.randrange(15))))
+        assert ours.ids(texts[-1]).tolist() == public.encode(texts[-1], add_special_tokens=False).ids, repr(texts[-1])
+    texts += ["word <|endoftext|> " * 3000]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), vocabulary).collect()
+    found: dict = {}
+    for r in rows:
+        found.setdefault(r.doc_id, []).append(r)
+    for k, text in enumerate(texts):
+        ids, at = np.array([*public.encode(text, add_special_tokens=False).ids, 1], "<u4"), 0
+        for r in sorted(found[k], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_plans_place_every_remainder_once(seed):
     rng = np.random.default_rng(seed)
