@@ -71,8 +71,53 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, (positi
 FROM q
 """
 
+# all pairs that share a shingle, then all documents that links reach
+PARITY_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT k, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS s
+  FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM w WHERE len(w) > 0)
+), n AS (SELECT k, count(*) AS n FROM s GROUP BY k
+), i AS (SELECT a.k AS x, b.k AS y, count(*) AS i FROM s a JOIN s b ON a.s = b.s GROUP BY a.k, b.k
+), l AS (
+  SELECT x, y FROM i JOIN n a ON a.k = x JOIN n b ON b.k = y WHERE 100 * i >= 80 * (a.n + b.n - i)
+), r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.component_id, w.doc_id)::BIGINT AS component_id
+FROM w LEFT JOIN n USING (k)
+LEFT JOIN (SELECT x AS k, min(doc_id) AS component_id FROM r JOIN w ON w.k = r.y GROUP BY x) m USING (k)
+"""
+
+# every anchor's score with every row
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS rn, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.rn AS a, a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         list_sum(list_transform(range(1, greatest(len(a.q), len(r.q)) + 1),
+           lambda i: coalesce(a.q[i], 0) * coalesce(r.q[i], 0)))::BIGINT AS score
+  FROM v a JOIN v r ON a.rn <> r.rn WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS k FROM s WHERE same) WHERE k <= 5
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.a, p.k ORDER BY s.score DESC, s.vec_id) AS rank,
+         s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score, p.k AS positive_rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score, positive_rank::INTEGER AS positive_rank
+FROM n WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op6_decontamination": DECONTAMINATION,
     "op7_sharding": SHARDING,
     "op9_warc": WARC,
+    "op12_parity_join": PARITY_JOIN,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import (
+    alignment,
     decontamination,
     extraction,
     fingerprints,
+    hard_negatives,
     language,
     near_dedup,
     packing,
+    parity_join,
     quality,
     sharding,
     toxicity,
@@ -20,7 +23,7 @@ from staylens.llm import (
 )
 from staylens.llm.oracles import ORACLES
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +92,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_table(spark, sf_dir, "documents"), tokenizer_path(VOCABULARY), tokenizer_path(PIECES))
+
+
+def op12_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = parity_join.jaccard_links(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -102,4 +118,7 @@ QUERIES = {
     "op8_extraction": op8_extraction,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
+    "op12_parity_join": op12_parity_join,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -56,7 +56,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[first : offsets[-1]], offsets.astype(np.int64) - first
 
 
-def _ranges(data: np.ndarray, offsets: np.ndarray):
+def _ranges(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray):
     """Cut the buffer into ranges of about ``PIECE`` bytes that split no word."""
     start, end = 0, int(offsets[-1])
     while start < end:
@@ -66,23 +66,26 @@ def _ranges(data: np.ndarray, offsets: np.ndarray):
             if bound > start:
                 stop = bound
             else:
-                gaps = np.flatnonzero(~IS_WORD[LOWER[data[start:stop]]])
+                gaps = np.flatnonzero(~in_word[LOWER[data[start:stop]]])
                 if len(gaps):
                     stop = start + int(gaps[-1]) + 1
                 else:  # one word longer than a piece
                     limit = int(offsets[np.searchsorted(offsets, start, "right")])
-                    while stop < limit and IS_WORD[LOWER[data[stop]]]:
+                    while stop < limit and in_word[LOWER[data[stop]]]:
                         stop += 1
         yield start, stop
         start = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word in order, and where each text's words start in that array."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and where each text's words start in that array.
+
+    ``in_word`` tells of each byte, after lower-casing, whether it belongs to words.
+    """
     found, places = [], []
-    for start, stop in _ranges(data, offsets):
+    for start, stop in _ranges(data, offsets, in_word):
         part = LOWER[data[start:stop]]
-        inside = IS_WORD[part]
+        inside = in_word[part]
         before = np.empty_like(inside)
         before[0] = False
         before[1:] = inside[:-1]

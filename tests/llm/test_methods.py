@@ -53,7 +53,7 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "embeddings"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     result = con.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
