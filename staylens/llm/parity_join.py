@@ -49,7 +49,7 @@ from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
 SHINGLE = 5
 PERCENT = 80
 LEAST_PERCENT = 70  # below, sets have hardly enough words that are not empty
-BITS = 2048  # of the sketch of single bits
+BITS, COARSE = 2048, 512  # of the sketch of single bits, and of the same folded, which rows of buckets carry
 MARK_BITS = 48  # of a node's digest, while nodes meet in buckets
 GROUP_BYTES = 1 << 19  # text looked at in one step
 SAMPLE = 64  # one document in so many is looked at for keys with very many rows
@@ -132,11 +132,18 @@ def bucket_keys(shingles: np.ndarray, how: Layouts) -> np.ndarray:
 
 
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    """2,048 bits, of which each shingle turns one over, as 32 numbers."""
+    """2,048 bits, of which each shingle turns one over, as 32 numbers.
+
+    Folded by exclusive or they are a sketch of fewer bits, of which the same holds.
+    """
     bits = np.bincount((shingles >> np.uint64(5)) & np.uint64(BITS - 1), minlength=BITS) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def folded(sketch: np.ndarray) -> np.ndarray:
+    return np.bitwise_xor.reduce(sketch.reshape(BITS // COARSE, -1))
+
+
 # ---------------------------------------------------------------- nodes and buckets
 
 
@@ -155,13 +162,15 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nodes.append(_digest(shingles) if len(shingles) else None)
             sizes.append(len(shingles))
             sketches.append(bit_sketch(shingles))
-        flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
-        ends = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (BITS // 64))
         marks = pa.array([_mark(x) if x else None for x in nodes], pa.int64())
-        sketch = pa.ListArray.from_arrays(ends, pa.array(flat))
+        lists = []
+        for bits, some in ((BITS, sketches), (COARSE, [folded(x) for x in sketches])):
+            flat = np.concatenate(some) if some else np.zeros(0, np.int64)
+            ends = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (bits // 64))
+            lists.append(pa.ListArray.from_arrays(ends, pa.array(flat)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes, pa.string()), marks, pa.array(sizes, pa.int64()), sketch],
-            names=["doc_id", "text_hash", "node", "mark", "n", "sketch"],
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes, pa.string()), marks, pa.array(sizes, pa.int64()), *lists],
+            names=["doc_id", "text_hash", "node", "mark", "n", "sketch", "coarse"],
         )
 
 
@@ -283,10 +292,11 @@ def _verify(pairs: DataFrame, base: DataFrame, nodes: DataFrame, percent: int) -
     return stored(found, "links")
 
 
-def _classed(marks: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Adds ``node`` and ``root`` of every node with the mark."""
-    told = nodes.select("mark", "node").join(found, "node", "left")
-    return marks.join(told.select("mark", "node", F.coalesce("root", "node").alias("root")), "mark")
+def _named(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of marks (``a_mark``, ``b_mark``) as pairs of nodes whose whole sketches allow a link."""
+    side = nodes.select("mark", "node", "n", "sketch")
+    pairs = pairs.join(side.toDF("a_mark", "a", "a_n", "a_sketch"), "a_mark").join(side.toDF("b_mark", "b", "b_n", "b_sketch"), "b_mark")
+    return pairs.where(_like(percent)).drop("a_mark", "b_mark", "a_n", "b_n", "a_sketch", "b_sketch")
 
 
 def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -301,10 +311,12 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
-    kind = "doc_id bigint, text_hash bigint, node string, mark bigint, n bigint, sketch array<bigint>"
+    kind = "doc_id bigint, text_hash bigint, node string, mark bigint, n bigint, sketch array<bigint>, coarse array<bigint>"
     rows = stored(base.mapInArrow(_described, kind), "sets")
     nodes = rows.where("n > 0").groupBy("node").agg(
-        F.first("mark").alias("mark"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")
+        *(F.first(c).alias(c) for c in ("mark", "n", "sketch", "coarse")),
+        F.min("text_hash").alias("text_hash"),
+        F.min("doc_id").alias("doc_id"),
     )
     nodes = stored(nodes, "nodes")
 
@@ -320,9 +332,10 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     pairs = members.where("hub <> mark").select("hub", "mark")
     pairs = pairs.unionByName(hubs.join(heads, "key").where("head <> hub").select(F.col("head").alias("hub"), F.col("hub").alias("mark")))
     pairs = pairs.groupBy("hub", "mark").agg(F.count("*").alias("met"))
-    side = nodes.select("mark", "node", "n", "sketch")
-    pairs = pairs.join(side.toDF("hub", "a", "a_n", "a_sketch"), "hub").join(side.toDF("mark", "b", "b_n", "b_sketch"), "mark")
-    pairs = stored(pairs.where(_like(percent)).select("a", "b", "met"), "hub-pairs")
+    light = nodes.select("mark", "n", "coarse")
+    pairs = pairs.join(light.toDF("hub", "a_n", "a_sketch"), "hub").join(light.toDF("mark", "b_n", "b_sketch"), "mark")
+    pairs = pairs.where(_like(percent)).select(F.col("hub").alias("a_mark"), F.col("mark").alias("b_mark"), "met")
+    pairs = stored(_named(pairs, nodes, percent).where("a <> b"), "hub-pairs")
 
     # first the hub that a node meets most often, then what hubs are left in other classes
     best = pairs.groupBy("b").agg(F.max(F.struct("met", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
@@ -336,22 +349,26 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
         found = stored(components(links), "components")
 
     # nodes of one key that are still in different classes are compared across classes
-    told = stored(_classed(members.select("key", "mark").distinct(), nodes, found), "bucket-classes")
-    apart = told.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rest = told.join(apart, "key").join(nodes.select("node", "n", "sketch"), "node").select("key", "node", "root", "n", "sketch")
-    one = rest.toDF("key", "a", "a_root", "a_n", "a_sketch")
-    other = rest.toDF("key", "b", "b_root", "b_n", "b_sketch").withColumnRenamed("key", "other_key")
-    across = one.join(other, (F.col("key") == F.col("other_key")) & (F.col("a_root") < F.col("b_root")) & _like(percent))
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    classes = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = stored(classes.select("node", "mark", "root", F.xxhash64("root").alias("class"), "n", "coarse", "doc_id"), "classes")
+    told = stored(members.select("key", "mark").join(classes.select("mark", "class"), "mark"), "bucket-classes")
+    apart = told.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("key")
+    rest = told.join(apart, "key").join(classes.select("mark", "n", "coarse"), "mark").select("key", "mark", "class", "n", "coarse")
+    rest = rest.dropDuplicates(["key", "mark", "class"])
+    one = rest.toDF("key", "a_mark", "a_class", "a_n", "a_sketch")
+    other = rest.toDF("other_key", "b_mark", "b_class", "b_n", "b_sketch")
+    across = one.join(other, (F.col("key") == F.col("other_key")) & (F.col("a_class") < F.col("b_class")) & _like(percent))
+    across = across.select("a_mark", "b_mark").distinct()
+    across = _named(across, nodes, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     compared = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     across = stored(across.join(compared, ["a", "b"], "left_anti"), "pairs-across")
     if not across.isEmpty():
         links = links.unionByName(_verify(across, base, nodes, percent))
         found = stored(components(links), "components")
 
-    ids = rows.select("doc_id", "node", F.col("n").alias("n_shingles"))
-    filled = ids.where("node is not null").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = filled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = filled.join(least, "root").select("doc_id", "n_shingles", "node", "component_id")
-    empty = ids.where("node is null").select("doc_id", "n_shingles", "node", F.col("doc_id").alias("component_id"))
-    return classes.unionByName(empty), links
+    told = nodes.select("node", "doc_id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = told.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    told = stored(told.select("node", "root").join(least, "root").select("node", "component_id"), "class-ids")
+    ids = rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
+    empty = ids.where("node is null").withColumn("component_id", F.col("doc_id"))
+    return ids.join(told, "node").select(*empty.columns).unionByName(empty), links
