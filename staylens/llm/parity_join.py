@@ -331,7 +331,8 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     heads = hubs.groupBy("key").agg(F.min("hub").alias("head"))
     pairs = members.where("hub <> mark").select("hub", "mark")
     pairs = pairs.unionByName(hubs.join(heads, "key").where("head <> hub").select(F.col("head").alias("hub"), F.col("hub").alias("mark")))
-    pairs = pairs.groupBy("hub", "mark").agg(F.count("*").alias("met"))
+    # like sets meet in many buckets; a pair that met but once is left to the comparison across classes
+    pairs = pairs.groupBy("hub", "mark").agg(F.count("*").alias("met")).where("met > 1")
     light = nodes.select("mark", "n", "coarse")
     pairs = pairs.join(light.toDF("hub", "a_n", "a_sketch"), "hub").join(light.toDF("mark", "b_n", "b_sketch"), "mark")
     pairs = pairs.where(_like(percent)).select(F.col("hub").alias("a_mark"), F.col("mark").alias("b_mark"), "met")
