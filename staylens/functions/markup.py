@@ -314,7 +314,8 @@ def first_texts(elements: Column) -> Column:
 
 # comments and code hold no anchors; an attribute value may hold ">"
 _NO_MARKUP = r"(?is)<!--.*?(?:-->|$)|<(script|style|textarea|title)\b.*?</\1\s*>"
-_ANCHOR = r"""(?is)<a(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# runs are taken whole and not given back: Java calls itself once per turn of a group that may turn back
+_ANCHOR = r"""(?is)<a(?=[\s/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _HREF = r"""(?is)(?<![\w-])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&"))
 

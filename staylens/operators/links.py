@@ -72,6 +72,20 @@ def tag_rule_hrefs(html: Column, needles: Sequence[str]) -> list[Column]:
     return [hrefs(n) for n in needles]
 
 
+def first_tag_rule_hrefs(html: Column, needles: Sequence[str]) -> Column:
+    """The hrefs of the first needle that any anchor tag contains; an empty array when none does.
+
+    The tags of a page are found once, and only those of the winning needle are read for their link.
+    """
+
+    def choose(tags: Column) -> Column:
+        holds = [lambda t, n=n: t.contains(n) for n in needles]
+        won = F.coalesce(*(F.when(F.exists(tags, h), F.filter(tags, h)) for h in holds), F.array().cast("array<string>"))
+        return F.transform(won, tag_href)
+
+    return F.get(F.transform(F.array(anchor_tags(html)), choose), F.lit(0))
+
+
 def harvest_links(
     views: DataFrame, rules: Sequence[Rule] = LINK_RULES, html: str = "html"
 ) -> DataFrame:

@@ -14,8 +14,9 @@ from staylens.operators.crawl import page_state, visited_views
 from staylens.operators.links import absolute_url, first_n, first_rule_hrefs, first_seen, is_listing
 
 # what a reader sees of the body: no head, no script, no markup
-_UNSEEN = r"(?is)<(head|script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
-_SPACES = r"(?i)(&nbsp;|&#160;|&#xa0;|[\s\u00A0])+"
+# (a tag that never ends runs to the end of the page, so that no later "<" is tried)
+_UNSEEN = r"(?is)<(head|script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*+(?:>|$)"
+_SPACES = r"(?i)(?:&nbsp;|&#160;|&#xa0;|[\s\u00A0]++)++"
 
 
 def body_text(html: Column) -> Column:

@@ -497,6 +497,12 @@ reasons AS (
   SELECT page_id, list_filter([CASE WHEN category IS NULL THEN 'category' END, CASE WHEN latitude IS NULL THEN 'latitude' END,
     CASE WHEN min_price IS NULL THEN 'min_price' END], lambda x: x IS NOT NULL) AS missing FROM attributes)
 SELECT page_id, 'missing ' || array_to_string(missing, ', ') AS reason FROM reasons WHERE len(missing) > 0""",
+    "seen_across_runs": f"""
+WITH {_LINKS},
+told AS (SELECT *, split_part(href, '?', 1) AS canonical, CAST((scroll_no * 7 + dest_seq) % 3 AS INTEGER) AS run FROM links)
+SELECT run, canonical, dest_seq, scroll_no, pos, href FROM told
+QUALIFY row_number() OVER (PARTITION BY canonical ORDER BY run, dest_seq, scroll_no, pos, href) = 1""",
+    "traveler_means_incremental": f"{_TO_RESOLVED}, {_TOTALS}, {_WIDE} SELECT * FROM totals JOIN wide USING (property_id)",
     "stream_first_seen": f"""
 WITH {_LINKS},
 seen AS (

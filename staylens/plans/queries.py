@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +14,14 @@ from staylens.functions import text as X
 from staylens.functions.markup import select_elements
 from staylens.functions.workspace import scratch_dir, stored
 from staylens.operators import attributes as A
-from staylens.operators import crawl, links, location, prices, record, requests, runs
+from staylens.operators import crawl, links, location, prices, record, requests, runs, seen
 from staylens.operators import reviews as V
 from staylens.plans import records
 from staylens.plans.reviews import raw_type_stats, traveler_means, traveler_means_all_types
 from staylens.sinks.exports import page_heads
 from staylens.sources import adapters as D
 from staylens.sources import tables
-from staylens.streaming import incremental
+from staylens.streaming import incremental, means
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +29,7 @@ QUERIES: dict[str, Query] = {}
 RUN_DATE = "2025-09-10"
 RUN_TS = "2025-09-10 15:31:07"
 YEAR = 2025
-BATCHES = 4
+BATCHES, RUNS = 4, 3
 NEEDLE = "/e"
 TAG_NEEDLES = ('data-testid="title-link"', 'href="/que', 'href="/the', 'href="/')
 BLOCKED = ("hetion", "enest")
@@ -94,7 +95,7 @@ def page_elements(spark, sf):
 
 @query
 def link_fallback(spark, sf):
-    chosen = links.first_rule_hrefs(links.tag_rule_hrefs(F.col("html"), TAG_NEEDLES))
+    chosen = links.first_tag_rule_hrefs(F.col("html"), TAG_NEEDLES)
     return _t(spark, sf, "pages").select("page_id", F.posexplode(chosen).alias("pos", "href"))
 
 
@@ -578,6 +579,27 @@ def stream_first_seen(spark, sf):
     return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
+@query
+def seen_across_runs(spark, sf):
+    """Three runs, each with a third of the pages; a run keeps the links that no earlier run has seen."""
+    store, pages = scratch_dir(spark, "seen"), _t(spark, sf, "pages")
+    found = [seen.add_run(store, D.links(pages.where(F.col("page_id") % RUNS == run)), run) for run in range(RUNS)]
+    told = [new.withColumn("run", F.lit(run)) for run, new in enumerate(found)]
+    return reduce(DataFrame.unionByName, told)
+
+
+@query
+def traveler_means_incremental(spark, sf):
+    """Events arrive in four files; partial sums of each are merged, the first two into a base."""
+    out = scratch_dir(spark, "means")
+    events = _t(spark, sf, "events")
+    for part in range(BATCHES):
+        events.where(F.col("event_id") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
+    arriving = D.review_cards(tables.stream(spark, f"{out}/arrivals/*", events.schema, files_per_batch=1))
+    _finish(means.means_stream(arriving, f"{out}/state", f"{out}/checkpoint", YEAR, compact_every=2))
+    return V.traveler_record(means.state(spark, f"{out}/state"))
+
+
 @query
 def stream_records(spark, sf):
     part, orders, lineitem, embeddings = _t(spark, sf, "part", "orders", "lineitem", "embeddings")
