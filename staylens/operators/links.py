@@ -78,9 +78,14 @@ def first_tag_rule_hrefs(html: Column, needles: Sequence[str]) -> Column:
     The tags of a page are found once, and only those of the winning needle are read for their link.
     """
 
+    def with_needle(tags: Column, needle: str) -> Column:
+        def holds(tag: Column) -> Column:
+            return tag.contains(needle)
+
+        return F.when(F.exists(tags, holds), F.filter(tags, holds))
+
     def choose(tags: Column) -> Column:
-        holds = [lambda t, n=n: t.contains(n) for n in needles]
-        won = F.coalesce(*(F.when(F.exists(tags, h), F.filter(tags, h)) for h in holds), F.array().cast("array<string>"))
+        won = F.coalesce(*(with_needle(tags, n) for n in needles), F.array().cast("array<string>"))
         return F.transform(won, tag_href)
 
     return F.get(F.transform(F.array(anchor_tags(html)), choose), F.lit(0))
