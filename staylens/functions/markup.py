@@ -320,17 +320,26 @@ _HREF = r"""(?is)(?<![\w-])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&"))
 
 
+def without_code(html: Column) -> Column:
+    """The page without comments, scripts and other elements that hold no markup."""
+    return F.regexp_replace(html, _NO_MARKUP, "")
+
+
+def unescaped(value: Column) -> Column:
+    """An attribute's value with the character references that addresses hold resolved."""
+    for entity, text in _ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(text))
+    return value
+
+
 def anchor_tags(html: Column) -> Column:
     """All opening anchor tags of a page in order, without leaving the JVM."""
-    return F.regexp_extract_all(F.regexp_replace(html, _NO_MARKUP, ""), F.lit(_ANCHOR), 0)
+    return F.regexp_extract_all(without_code(html), F.lit(_ANCHOR), 0)
 
 
 def tag_href(tag: Column) -> Column:
     """The ``href`` of a tag: quoted either way or bare, entities resolved; '' if it has none."""
-    value = F.concat(*(F.regexp_extract(tag, _HREF, k) for k in (1, 2, 3)))
-    for entity, text in _ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(text))
-    return value
+    return unescaped(F.concat(*(F.regexp_extract(tag, _HREF, k) for k in (1, 2, 3))))
 
 
 def anchor_hrefs(html: Column) -> Column:

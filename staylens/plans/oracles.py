@@ -109,6 +109,17 @@ links AS (
     CAST(pos AS INTEGER) AS pos, href || '?p=' || CAST(page_id AS VARCHAR) AS href
   FROM anchors)"""
 
+# what the adapter puts on a view, by page number: the rule that wins and its links
+_RULED = """
+n AS (SELECT page_id % 7 AS d, page_id // 7 AS s, page_id % 9 AS kind, CAST(page_id % 50 AS VARCHAR) AS n FROM pages),
+ruled AS (
+  SELECT CAST(d AS INTEGER) AS dest_seq, CAST(s AS INTEGER) AS scroll_no,
+    CAST(CASE kind WHEN 7 THEN 1 ELSE kind + 1 END AS INTEGER) AS rule_no, CAST(pos AS INTEGER) AS pos, href
+  FROM n, LATERAL (SELECT unnest(range(2)) AS pos, unnest(CASE kind
+    WHEN 0 THEN ['/hotel/t' || n || '?v=1'] WHEN 1 THEN ['/hotel/h' || n || '?a'] WHEN 2 THEN ['/hotel/c' || n || '?x=1&y=2']
+    WHEN 3 THEN ['/hotel/e' || n || '#f'] WHEN 4 THEN ['/hotel/p' || n, '/hotel/h' || n || '?b'] WHEN 5 THEN ['/hotel/s' || n || '#a']
+    WHEN 6 THEN ['/hotel/j' || n || '#b'] WHEN 7 THEN ['/other/x'] ELSE [] END) AS href) WHERE href IS NOT NULL)"""
+
 _FIRST_SEEN = f"""{_LINKS},
 seen AS (
   SELECT split_part(href, '?', 1) AS canonical, dest_seq, scroll_no, pos, href,
@@ -317,6 +328,10 @@ ranked AS (SELECT *, rank() OVER (PARTITION BY page_id ORDER BY rule_no) AS r FR
 SELECT page_id, rule_no, selector, ordinal, text FROM ranked WHERE r = 1""",
     "link_filter": f"WITH {_LINKS} SELECT dest_seq, scroll_no, pos, href FROM links WHERE contains(href, '/e')",
     "canonical_url": "SELECT page_id, split_part(url, '?', 1) AS canonical FROM pages",
+    "discover_rules": f"WITH {_RULED} SELECT * FROM ruled",
+    "discover_links": f"""
+WITH {_RULED} SELECT split_part(href, '?', 1) AS canonical, dest_seq, scroll_no, pos, href FROM ruled WHERE contains(href, '/hotel/')
+QUALIFY row_number() OVER (PARTITION BY split_part(href, '?', 1) ORDER BY dest_seq, scroll_no, pos) = 1""",
     "first_seen_links": f"WITH {_FIRST_SEEN} SELECT * FROM first_seen",
     "first_n_links": f"WITH {_FIRST_SEEN} SELECT * FROM first_seen ORDER BY dest_seq, scroll_no, pos LIMIT 200",
     "first_n_per_destination": f"""

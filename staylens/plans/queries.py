@@ -14,7 +14,7 @@ from staylens.functions import text as X
 from staylens.functions.markup import select_elements
 from staylens.functions.workspace import scratch_dir, stored
 from staylens.operators import attributes as A
-from staylens.operators import crawl, links, location, prices, record, requests, runs, seen
+from staylens.operators import crawl, elements, links, location, prices, record, requests, runs, seen
 from staylens.operators import reviews as V
 from staylens.plans import records
 from staylens.plans.reviews import raw_type_stats, traveler_means, traveler_means_all_types
@@ -124,6 +124,19 @@ def first_seen_links(spark, sf):
     return links.first_seen(D.links(_t(spark, sf, "pages")))
 
 
+@query
+def discover_rules(spark, sf):
+    """Which of the seven link rules wins on each view, and its links."""
+    return elements.rule_links(D.search_pages(_t(spark, sf, "pages")), ["dest_seq", "scroll_no"])
+
+
+@query
+def discover_links(spark, sf):
+    """Search views -> usable links of the winning rules -> first seen, in built-in Spark alone."""
+    found = elements.rule_links(D.search_pages(_t(spark, sf, "pages")), ["dest_seq", "scroll_no"])
+    return links.first_seen(found.where(links.is_listing(F.col("href"))).select("dest_seq", "scroll_no", F.col("pos").cast("int").alias("pos"), "href"))
+
+
 @query
 def first_n_links(spark, sf):
     return links.first_n(links.first_seen(D.links(_t(spark, sf, "pages"))), 200)

@@ -80,6 +80,32 @@ def links(pages: DataFrame) -> DataFrame:
     return anchors.select(dest.alias("dest_seq"), scroll.alias("scroll_no"), "pos", href.alias("href"))
 
 
+def search_pages(pages: DataFrame) -> DataFrame:
+    """Pages as search views with listing markup after their own: each of the seven link rules wins on some of them."""
+    n, kind = _text(F.col("page_id") % 50), F.col("page_id") % 9
+
+    def link(path: str, tail: str = "", attributes: str = "") -> Column:
+        return F.concat(F.lit(f'<a {attributes}href="/hotel/{path}'), n, F.lit(f'{tail}">t</a>'))
+
+    def within(start: str, inner: Column, end: str) -> Column:
+        return F.concat(F.lit(start), inner, F.lit(end))
+
+    title = '<h3 data-testid="title">'
+    block = (
+        F.when(kind == 0, F.concat(within(title, link("h"), "</h3>"), link("t", "?v=1", 'data-testid="title-link" ')))
+        .when(kind == 1, F.concat(within(title, link("h", "?a"), "</h3>"), within(title + "<span>", link("no"), "</span></h3>")))
+        .when(kind == 2, F.concat(within('<div data-testid="property-card"><p><b>', link("c", "?x=1&amp;y=2"), "</b></div>"), link("out")))
+        .when(kind == 3, F.concat(link("e", "#f", 'class="k e13098a59f z" '), link("no")))
+        .when(kind == 4, F.concat(link("p"), link("q", "#map"), link("h", "?b")))
+        .when(kind == 5, within('<div class="x sr_property_block"><div>', link("s", "#a", 'class="hotel_name_link" '), "</div></div>"))
+        .when(kind == 6, link("j", "#b", 'class="js-sr-hotel-link" '))
+        .when(kind == 7, F.concat(F.lit('<a data-testid="title-link" href="/other/x">t</a>'), link("lost")))
+        .otherwise(within("<!-- ", link("hidden", "", 'data-testid="title-link" '), " -->"))
+    )
+    dest, scroll = view_order()
+    return pages.select(dest.alias("dest_seq"), scroll.alias("scroll_no"), F.concat("html", block).alias("html"))
+
+
 # --- texts ------------------------------------------------------------------------
 
 
