@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from staylens.functions.markup import anchor_hrefs, anchor_tags, of_rule, select_elements, tag_href
 from staylens.functions.rules import LINK_NEEDLE, LINK_RULES, Rule
 from staylens.functions.text import before_first
+from staylens.functions.workspace import stored
 
 SEEN_ORDER = ("dest_seq", "scroll_no", "pos")
 
@@ -142,6 +143,28 @@ def first_n(links: DataFrame, limit: int | None = None, order: Sequence[str] = S
     return links.orderBy(*order).limit(limit) if limit else links
 
 
+def first_n_split(links: DataFrame, limit: int, order: Sequence[str] = SEEN_ORDER) -> DataFrame:
+    """``first_n`` for limits that no task can hold, in no particular order of rows.
+
+    Rows are dealt to ranges of the order and stored; ranges are counted, and those that the
+    limit covers are taken whole.  Only the one in which it falls is sorted for its first rows.
+    """
+    lane = F.spark_partition_id()
+    laned = stored(links.repartitionByRange(*order).withColumn("lane", lane), "ranges")
+    counts = laned.groupBy("lane").agg(F.count("*").alias("n")).orderBy("lane").collect()  # one row per range
+    taken, whole, cut, rest = 0, -1, None, 0
+    for row in counts:
+        if taken + row["n"] > limit:
+            cut, rest = row["lane"], limit - taken
+            break
+        taken, whole = taken + row["n"], row["lane"]
+    kept = laned.where(F.col("lane") <= whole)
+    if cut is not None and rest:
+        rank = F.row_number().over(W.partitionBy("lane").orderBy(*order))
+        kept = kept.unionByName(laned.where(F.col("lane") == cut).withColumn("rn", rank).where(F.col("rn") <= rest).drop("rn"))
+    return kept.drop("lane")
+
+
 def first_n_per_destination(links: DataFrame, limit: int, lanes: int = 64) -> DataFrame:
     """The first ``limit`` links of each destination.
 

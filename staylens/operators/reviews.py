@@ -313,6 +313,48 @@ def traveler_record(stats: DataFrame, kinds: Sequence[str] = R.TRAVELER_TYPES) -
     return merged.select(KEY, *columns)
 
 
+def grouped_totals(stats: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Mean and count for several groupings of the per-type rows at once, in one pass with exact sums.
+
+    ``sets`` are grouping sets such as ``[["city", "zone"], ["city"], []]``; a column that a set
+    does not group by is NULL, and ``level`` (the bits of absent columns) tells the sets apart.
+    """
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    added = stats.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("sum_exact").alias("sum_exact"),
+        F.sum("sum_other").alias("sum_other"),
+        F.sum("n").alias("n"),
+    )
+    mean = total(F.col("sum_exact"), F.col("sum_other")) / F.col("n")
+    return added.select(*columns, "level", mean.alias("avg_score"), "n")
+
+
+def rolled_up(stats: DataFrame, *columns: str) -> DataFrame:
+    """``grouped_totals`` for all columns, all but the last, and so on to the grand total."""
+    return grouped_totals(stats, [columns[:k] for k in range(len(columns), -1, -1)])
+
+
+def type_map(resolved: DataFrame) -> DataFrame:
+    """``property_id`` and ``types``: MAP of type name -> STRUCT<avg_score, n>.
+
+    Any number of type names, without a pivot or a look at the names; a property's map holds as many
+    entries as it has types.
+    """
+    entry = F.struct("traveler_type", F.struct("avg_score", "n"))
+    return resolved.groupBy(KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("types"))
+
+
+def from_type_map(mapped_types: DataFrame, kinds: Sequence[str] = R.TRAVELER_TYPES) -> DataFrame:
+    """Fixed pairs of columns out of ``type_map``, and the other types as a map: the wide form for an export."""
+    columns = []
+    for kind in kinds:
+        held = F.try_element_at("types", F.lit(kind))
+        columns += [held["avg_score"].alias(mean_column(kind)), held["n"].alias(count_column(kind))]
+    others = F.map_filter("types", lambda k, _: ~k.isin(*kinds))
+    return mapped_types.select(KEY, *columns, others.alias("other_types"))
+
+
 def reviewed_properties(cards: DataFrame) -> DataFrame:
     """Properties that show any review card, before all filters: the review gate."""
     return cards.select(KEY).distinct()

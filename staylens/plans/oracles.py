@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from staylens.schemas import BLANK_WHEN_MISSING, RECORD_31
+
 _WS = "' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(12288)"
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -305,6 +307,30 @@ SELECT s.property_id, scrape_timestamp, 2025 AS filtered_year, property_url, cat
 FROM short s LEFT JOIN reviewed r ON r.property_id = s.property_id LEFT JOIN means m ON m.property_id = s.property_id"""
 
 
+def _restored() -> str:
+    """Columns of the review record as they come back from an export: blanks and zeros are NULL again."""
+    shown = []
+    for field in RECORD_31:
+        kind = field.dataType.typeName()
+        if kind == "string":
+            shown.append(f"nullif({field.name}, '') AS {field.name}")
+        elif kind == "timestamp" or field.name in BLANK_WHEN_MISSING:
+            shown.append(field.name)
+        else:
+            shown.append(f"nullif({field.name}, 0) AS {field.name}")
+    return ", ".join(shown)
+
+
+_CSV_RUNS = f"""
+WITH rec AS ({_REVIEW_RECORD}),
+told AS (SELECT *, substr(property_id, 1, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e') AS even FROM rec)
+SELECT CASE WHEN even THEN 'r0' ELSE 'r1' END AS run, {_restored()},
+  CASE WHEN NOT even THEN nullif(general_review, 0) END AS avg_review_score_pilgrims,
+  CASE WHEN NOT even THEN nullif(general_review_count, 0) END AS avg_review_score_pilgrims_count,
+  CASE WHEN even THEN nullif(general_review, 0) END AS avg_review_score_students,
+  CASE WHEN even THEN nullif(general_review_count, 0) END AS avg_review_score_students_count
+FROM told"""
+
 ORACLES: dict[str, str] = {
     "search_requests": """
 SELECT CAST(c_custkey AS INTEGER) AS dest_seq, c_name AS city, DATE '2025-09-10' AS checkin, DATE '2025-09-11' AS checkout,
@@ -474,6 +500,33 @@ SELECT property_id, list_kind, review_id, traveler_type, {_kind('traveler_type')
     "type_collision_merged": f"""
 {_TO_RESOLVED}
 SELECT property_id, kind AS traveler_type, {_MEAN_OF_CENTS} AS avg_score, CAST(sum(n) AS BIGINT) AS n FROM named GROUP BY 1, 2""",
+    "totals_rollup": f"""{_TO_STATS}
+SELECT property_id, traveler_type, CAST(grouping(property_id, traveler_type) AS INTEGER) AS level,
+  {_MEAN_OF_CENTS} AS avg_score, CAST(sum(n) AS BIGINT) AS n FROM stats GROUP BY ROLLUP (property_id, traveler_type)""",
+    "totals_by_place": f"""{_TO_STATS}
+SELECT c_nationkey AS city, c_mktsegment AS zone, CAST(grouping(c_nationkey, c_mktsegment) AS INTEGER) AS level,
+  {_MEAN_OF_CENTS} AS avg_score, CAST(sum(n) AS BIGINT) AS n
+FROM stats JOIN customer ON CAST(c_custkey AS VARCHAR) = property_id
+GROUP BY GROUPING SETS ((c_nationkey, c_mktsegment), (c_nationkey), ())""",
+    "traveler_type_map": f"""{_TO_RESOLVED}
+SELECT property_id, {_pairs(_KINDS)}, CAST(count(*) FILTER (WHERE kind NOT IN {_KINDS}) AS INTEGER) AS n_other,
+  max(n) FILTER (WHERE kind = 'digital_nomad') AS nomads
+FROM resolved GROUP BY property_id""",
+    "card_channel": f"""WITH {_CARDS},
+read AS (SELECT *, TRY_CAST(split_part(score_text, 'Scored ', 2) AS DOUBLE) AS score FROM cards),
+told AS (
+  SELECT property_id, list_kind, review_id, score, {_kind('traveler_type')} AS kind,
+    TRY_CAST(nullif(regexp_extract(stay_date, '\\b(20[0-9]{{2}})\\b', 1), '') AS INTEGER) AS stay_year, score_text
+  FROM read)
+SELECT property_id, list_kind, review_id, score, kind, stay_year,
+  nullif(concat_ws(', ', CASE WHEN score IS NULL THEN 'unreadable score' END, CASE WHEN kind IS NULL THEN 'missing kind' END), '') AS reason,
+  CASE WHEN score IS NULL THEN score_text END AS input
+FROM told""",
+    "file_channel": """
+SELECT CASE WHEN event_id % 10 <> 3 THEN event_id END AS event_id, CASE WHEN event_id % 10 NOT IN (3, 7) THEN value END AS value,
+  CASE WHEN event_id % 10 IN (3, 7) THEN 'unreadable line' END AS reason,
+  CASE event_id % 10 WHEN 3 THEN 'x' || event_id || ',oops' WHEN 7 THEN event_id || ',n/a' END AS input
+FROM events""",
     "all_stats": f"{_TO_STATS}, {_TOTALS} SELECT * FROM totals",
     "traveler_pivot": f"{_TO_RESOLVED}, {_WIDE} SELECT * FROM wide",
     "dynamic_columns": f"{_TO_RESOLVED}, {_WIDE_EXTRA} SELECT * FROM wide",
@@ -502,6 +555,18 @@ SELECT o_orderkey, CAST(count(*) AS INTEGER) AS n_cities,
   lower(string_agg('City ' || l_suppkey, '-' ORDER BY l_linenumber, 'City ' || l_suppkey)) || '_' ||
   strftime(min(o_orderdate), '%Y%m%d_%H%M%S') AS run_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
+    "csv_runs": _CSV_RUNS,
+    "run_keys": """
+WITH s AS (
+  SELECT o_orderkey, l_linenumber, 'City ' || l_suppkey AS city, o_orderdate,
+    ('0x' || substr(md5(l_linenumber || '|' || lower('City ' || l_suppkey)), 1, 15))::BIGINT::HUGEINT AS h
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+k AS (
+  SELECT o_orderkey, CAST(count(*) AS INTEGER) AS n_cities, arg_min(city, (l_linenumber, city)) AS first_city,
+    arg_max(city, (l_linenumber, city)) AS last_city, lower(to_hex((sum(h) % 1152921504606846976)::BIGINT)) AS digest, min(o_orderdate) AS started
+  FROM s GROUP BY o_orderkey)
+SELECT o_orderkey, n_cities, first_city, last_city, digest,
+  lower(first_city || '-' || last_city) || '_' || digest || '_' || strftime(started, '%Y%m%d_%H%M%S') AS run_id FROM k""",
     "run_summary": """
 SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_done, count(*) AS n_total,
   round(count(*) FILTER (WHERE o_orderstatus = 'F') * 100 / count(*), 1) AS percent
@@ -512,6 +577,11 @@ reasons AS (
   SELECT page_id, list_filter([CASE WHEN category IS NULL THEN 'category' END, CASE WHEN latitude IS NULL THEN 'latitude' END,
     CASE WHEN min_price IS NULL THEN 'min_price' END], lambda x: x IS NOT NULL) AS missing FROM attributes)
 SELECT page_id, 'missing ' || array_to_string(missing, ', ') AS reason FROM reasons WHERE len(missing) > 0""",
+    "batch_metrics": """
+SELECT CAST(o_orderkey % 4 AS INTEGER) AS batch_id, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_done, count(*) AS n_total,
+  round(count(*) FILTER (WHERE o_orderstatus = 'F') * 100 / count(*), 1) AS percent
+FROM orders GROUP BY 1""",
+    "first_n_split": f"WITH {_LINKS} SELECT dest_seq, scroll_no, pos, href FROM links ORDER BY dest_seq, scroll_no, pos LIMIT 1000",
     "seen_across_runs": f"""
 WITH {_LINKS},
 told AS (SELECT *, split_part(href, '?', 1) AS canonical, CAST((scroll_no * 7 + dest_seq) % 3 AS INTEGER) AS run FROM links)

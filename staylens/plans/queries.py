@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staylens import schemas
 from staylens.functions import rules as R
@@ -14,13 +15,14 @@ from staylens.functions import text as X
 from staylens.functions.markup import select_elements
 from staylens.functions.workspace import scratch_dir, stored
 from staylens.operators import attributes as A
-from staylens.operators import crawl, elements, links, location, prices, record, requests, runs, seen
+from staylens.operators import crawl, elements, errors, links, location, prices, record, requests, runs, seen
 from staylens.operators import reviews as V
 from staylens.plans import records
 from staylens.plans.reviews import raw_type_stats, traveler_means, traveler_means_all_types
-from staylens.sinks.exports import page_heads
+from staylens.sinks.exports import export_run, page_heads
 from staylens.sources import adapters as D
 from staylens.sources import tables
+from staylens.sources.exports import read_runs
 from staylens.streaming import incremental, means
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -475,6 +477,27 @@ def traveler_pivot(spark, sf):
     return V.widen(V.resolve_collisions(_stats(spark, sf)))
 
 
+@query
+def totals_rollup(spark, sf):
+    return V.rolled_up(_stats(spark, sf), "property_id", "traveler_type")
+
+
+@query
+def totals_by_place(spark, sf):
+    """Means by nation and segment, by nation, and over all, of the reviews of customers."""
+    places = _t(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("property_id"), F.col("c_nationkey").alias("city"), F.col("c_mktsegment").alias("zone")
+    )
+    return V.grouped_totals(_stats(spark, sf).join(places, "property_id"), [["city", "zone"], ["city"], []])
+
+
+@query
+def traveler_type_map(spark, sf):
+    wide = V.from_type_map(V.type_map(V.resolve_collisions(_stats(spark, sf))))
+    other = F.try_element_at("other_types", F.lit("digital_nomad"))
+    return wide.withColumns({"n_other": F.size("other_types"), "nomads": other["n"]}).drop("other_types")
+
+
 @query
 def dynamic_columns(spark, sf):
     return V.widen_all(V.resolve_collisions(stored(_stats(spark, sf), "type-stats")))
@@ -559,11 +582,60 @@ def run_id(spark, sf):
     return runs.run_names(stops, ["o_orderkey"])
 
 
+@query
+def run_keys(spark, sf):
+    orders, lineitem = _t(spark, sf, "orders", "lineitem")
+    stops = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey",
+        F.col("l_linenumber").alias("dest_seq"),
+        F.concat(F.lit("City "), F.col("l_suppkey")).alias("city"),
+        F.col("o_orderdate").alias("started"),
+    )
+    return runs.run_keys(stops, ["o_orderkey"])
+
+
 @query
 def run_summary(spark, sf):
     return runs.run_summary(_t(spark, sf, "orders"), "o_orderpriority", F.col("o_orderstatus") == "F")
 
 
+@query
+def csv_runs(spark, sf):
+    """Two runs with different extra columns, exported and read back together."""
+    out = f"{scratch_dir(spark, 'csv')}/runs"
+    rows = stored(records.review_records(_customer_base(spark, sf), _geocodes(spark, sf), _record_cards(spark, sf), YEAR), "records")
+    for run, kind in enumerate(("students", "pilgrims")):
+        extra = {schemas.mean_column(kind): F.col("general_review"), schemas.count_column(kind): F.col("general_review_count")}
+        even = F.substring("property_id", 1, 1).isin(*"02468ace")
+        export_run(rows.where(~even if run else even).withColumns(extra), out, f"r{run}")
+    return _text_time(read_runs(spark, out, schemas.RECORD_31))
+
+
+@query
+def card_channel(spark, sf):
+    """Every card, parsed or with the reason why not."""
+    fields = {
+        "score": errors.Reading(F.col("score_text"), V.parse_score(F.col("score_text")), required=True),
+        "kind": errors.Reading(F.col("traveler_type"), V.normal_type(F.col("traveler_type")), required=True),
+        "stay_year": errors.Reading(F.col("stay_date"), X.year_of(F.col("stay_date"))),
+    }
+    return errors.channel(_cards(spark, sf), CARD, fields)
+
+
+@query
+def file_channel(spark, sf):
+    """CSV lines, some of which do not fit the schema."""
+    out, key = f"{scratch_dir(spark, 'lines')}/events", F.col("event_id")
+    line = (
+        F.when(key % 10 == 3, F.concat(F.lit("x"), key, F.lit(",oops")))
+        .when(key % 10 == 7, F.concat(key, F.lit(",n/a")))
+        .otherwise(F.concat(key, F.lit(","), F.col("value").cast("string")))
+    )
+    _t(spark, sf, "events").select(line.alias("line")).write.text(out)
+    kind = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    return errors.csv_channel(spark, out, kind).drop("file")
+
+
 @query
 def error_rows(spark, sf):
     return runs.rejected(_customer_base(spark, sf), ("category", "latitude", "min_price"), ("page_id",))
@@ -592,6 +664,23 @@ def stream_first_seen(spark, sf):
     return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
+@query
+def batch_metrics(spark, sf):
+    """Orders arrive in four files; done and total are counted while each batch is written."""
+    out = scratch_dir(spark, "metrics")
+    orders = _t(spark, sf, "orders")
+    for part in range(BATCHES):
+        orders.where(F.col("o_orderkey") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
+    arriving = tables.stream(spark, f"{out}/arrivals/*", orders.schema, files_per_batch=1)
+    _finish(incremental.metered_batches(arriving, f"{out}/rows", f"{out}/metrics", f"{out}/checkpoint", F.col("o_orderstatus") == "F"))
+    return spark.read.parquet(f"{out}/metrics")
+
+
+@query
+def first_n_split(spark, sf):
+    return links.first_n_split(D.links(_t(spark, sf, "pages")), 1000)
+
+
 @query
 def seen_across_runs(spark, sf):
     """Three runs, each with a third of the pages; a run keeps the links that no earlier run has seen."""

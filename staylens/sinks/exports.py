@@ -57,6 +57,14 @@ def export_csv(record: DataFrame, path: str) -> None:
     export_defaults(record).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
+def export_run(record: DataFrame, path: str, run: str) -> None:
+    """One CSV folder per run, each with the columns that its records have; a run that is repeated replaces itself.
+
+    ``sources.exports.read_runs`` lays runs with different columns together by name.
+    """
+    export_defaults(record).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{path}/run={run}")
+
+
 def page_heads(pages: DataFrame, characters: int = HEAD_CHARACTERS) -> DataFrame:
     """Start of each raw page, for looking at what was captured."""
     kept = [c for c in pages.columns if c != "html"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,6 +46,25 @@ def write_batches(
     )
 
 
+def metered_batches(stream: DataFrame, path: str, metrics: str, checkpoint: str, done: Column) -> StreamingQuery:
+    """As ``write_batches``, and for each batch a row of ``batch_id``, ``n_done``, ``n_total``, ``percent``.
+
+    The counts are observed while the batch is written, not in a second pass, and are written
+    after it, so that a batch with a row of metrics is complete; a batch that is run again replaces both.
+    """
+    rows = _write_batch(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"batch-{batch_id}")
+        rows(batch.observe(seen, F.count(F.when(done, 1)).alias("n_done"), F.count(F.lit(1)).alias("n_total")), batch_id)
+        told = seen.get
+        percent = round(told["n_done"] * 100 / told["n_total"], 1) if told["n_total"] else 0.0
+        row = batch.sparkSession.createDataFrame([(told["n_done"], told["n_total"], percent)], "n_done BIGINT, n_total BIGINT, percent DOUBLE")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def run_incremental(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
