@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
 from staylens.llm.components import components
+from staylens.llm.fetch import marked_rows
 from staylens.llm.rows import text_digest, unused
 from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
 
@@ -138,23 +139,25 @@ def _weights(shingles: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.nd
     return (1 + np.log(counts)).astype(np.float32) * idf[_bins(shingles)]
 
 
-_tables: dict[int, tuple] = {}
+POOL = 1 << 18  # random variables that the draws' tables are cut from, a few megabytes a worker
+_pool: list[np.ndarray] = []
 
 
 def _draw_table(draw: int) -> tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Multiplier of a draw, and its random variables, picked by a shingle's hash.
 
+    Tables are stretches of one pool; the multiplier deals shingles to places anew for each draw.
     With ``r`` and ``c`` Gamma(2, 1) and ``beta`` uniform, a shingle of weight ``w`` has the level
     ``t = floor(log w / r + beta)`` and the key ``log c - r (t - beta + 1)``; the least key is drawn.
     """
-    if draw not in _tables:
-        rng = np.random.default_rng([7, draw])
-        n = 1 << DRAW_BITS
-        r, c, beta = rng.gamma(2, 1, n), rng.gamma(2, 1, n), rng.random(n)
-        odd = np.uint64(int(rng.integers(1 << 62, 1 << 63)) * 2 + 1)
-        tables = (1 / r, beta, np.log(c) + r * (beta - 1), r)
-        _tables[draw] = (odd, *(t.astype(np.float32) for t in tables))
-    return _tables[draw]
+    if not _pool:
+        rng = np.random.default_rng(7)
+        r, c, beta = rng.gamma(2, 1, POOL), rng.gamma(2, 1, POOL), rng.random(POOL)
+        _pool.extend(t.astype(np.float32) for t in (1 / r, beta, np.log(c) + r * (beta - 1), r))
+    rng = np.random.default_rng([7, draw])
+    odd = np.uint64(int(rng.integers(1 << 62, 1 << 63)) * 2 + 1)
+    start = int(rng.integers(POOL - (1 << DRAW_BITS)))
+    return (odd, *(t[start : start + (1 << DRAW_BITS)] for t in _pool))
 
 
 def draws(
@@ -305,12 +308,19 @@ def _promising(one: str, other: str, threshold: float) -> Column:
     return (F.least(ma, mb) >= threshold * 0.999 * F.greatest(ma, mb)) & (equal >= round(AGREEMENT * BANDS * ROWS))
 
 
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of the wanted nodes, stored; texts that nobody wants are dropped at the scan, not shuffled."""
+    wanted = stored(wanted, "wanted")
+    some = marked_rows(texts, "mark", wanted.select(F.xxhash64("node").alias("mark")))
+    chosen = some.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    return stored(chosen, "candidate-texts")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """The pairs (``a``, ``b``) whose whole texts are similar enough."""
     pairs = stored(pairs.distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    chosen = stored(chosen, "candidate-texts")
+    chosen = _texts_of(texts, wanted)
     joined = pairs.join(chosen.withColumnRenamed("node", "a"), "a").join(
         chosen.select(F.col("node").alias("b"), F.col("text").alias("hub_text")), "b"
     )
@@ -338,11 +348,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     Rows that repeat are in one class.  NULL ids are least of none: a class of only such
     rows has the class_id NULL.  Other columns than ``doc_id`` and ``text`` are not read.
     """
+    if threshold < THRESHOLD:
+        raise ValueError(f"bands and filters are laid out for similarities of {THRESHOLD} and more")
     spark = docs.sparkSession
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    base = base.withColumn("node", text_digest())
+    base = base.withColumn("node", text_digest()).withColumn("mark", F.xxhash64("node"))
     idf = spark.sparkContext.broadcast(document_frequencies(base))
     kind = "doc_id bigint, node string, mass double, draws array<int>, keys array<bigint>"
     rows = stored(base.select("doc_id", "node", "text").mapInArrow(_signatures(idf), kind), "signatures")
@@ -378,7 +390,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     # what is still apart in a bucket is compared across classes, each pair in its first common band
     rest = _open_members(members, found).join(nodes.select("node", "keys"), "node")
     rest = stored(rest.select("band", "key", "node", "root", "mass", "draws", "keys"), "open-buckets")
-    texts = base.join(rest.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    texts = _texts_of(base, rest.select("node").distinct())
     fine = stored(texts.mapInArrow(_fine_draws(idf), "node string, fine array<int>"), "fine-draws")
     rest = rest.join(fine, "node").select("band", "key", "node", "root", "mass", "draws", "keys", "fine")
     one = rest.toDF("band", "key", "a", "a_root", "a_mass", "a_draws", "a_keys", "a_fine")
