@@ -5,6 +5,15 @@ and word beginnings, and a document is toxic unless all its sentences are harmle
 ``1 - prod(1 - p(sentence))`` (noisy-or).  Weights are learnt from document labels alone,
 and the sentence scores then say which sentences gave offence.
 
+A sentence ends at a stop of any script, at a line break, and after ``STRETCH`` words, so that a
+text without stops is no single sentence of any length.  The bias, which each sentence carries
+whatever its words, is a leak of the noisy-or: it stands for offences in words that were not
+learnt.  It is fitted with the weights and divided out of a document's score, which would
+otherwise grow towards 1 with the number of harmless sentences.  A sentence without a weighted
+word thus adds nothing, however often it comes.  In documents of more than ``USUAL`` sentences the
+bias falls by the logarithm of their number, in learning and scoring, so that the offences
+expected of harmless sentences are no more in a long document than in one of ``USUAL``.
+
 Word beginnings let the weights of a stem carry over to its inflected forms.  Weights are
 not negative: a word can make a sentence worse, but harmless words around an offending one
 do not hide it, however many there are.
@@ -27,16 +36,37 @@ from staylens.llm.labels import SAMPLE_CHARS, SAMPLE_ROWS, held_out, labelled_sa
 
 TOXIC = 0.5
 PREFIXES = (3, 4, 5, 6)
-SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+STOPS = ".!?\n\r\u0085\u2028\u2029\u0589\u061f\u06d4\u0964\u0965\u1362\u203c\u2047\u2048\u2049\u3002\uff01\uff0e\uff1f\uff61"
+SENTENCE = re.compile(f"[^{STOPS}]+[{STOPS}]*")
 WORD = re.compile(r"\w+")
+USUAL = 100  # sentences of a document up to which each has the same bias
+STRETCH = 40  # words of a sentence that are scored together; a longer one is cut
 REMEMBERED = 300_000  # words whose weight a task keeps at hand
 
 
+def stretches(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each sentence that has a word, and of each stretch of a long one."""
+    for found in SENTENCE.finditer(text):
+        start, stop, words = found.start(), found.end(), []
+        for word in WORD.finditer(text, start, stop):
+            if len(words) == STRETCH:
+                yield start, word.start(), words
+                start, words = word.start(), []
+            words.append(word.group())
+        if words:
+            yield start, stop, words
+
+
 def features(word: str) -> list[str]:
     """The word, marked, and its beginnings."""
     return [word + "$", *(word[:n] for n in PREFIXES if len(word) >= n)]
 
 
+def longer(sentences):
+    """By how much the bias falls in documents of so many sentences."""
+    return np.log(np.maximum(sentences, USUAL) / USUAL)
+
+
 @dataclass
 class Model:
     """Weights of features; what is not listed weighs nothing."""
@@ -49,9 +79,9 @@ class Model:
         """Start, length and log-odds of each sentence that has a word."""
         known, low = self.known, text.lower()
         exact = len(low) == len(text)  # else lower-casing moved letters: cut first, lower-case then
-        for found in SENTENCE.finditer(low if exact else text):
-            total, some = self.bias, False
-            for word in set(WORD.findall(found.group() if exact else found.group().lower())):
+        for start, stop, words in stretches(low if exact else text):
+            total = self.bias
+            for word in set(words if exact else WORD.findall(" ".join(words).lower())):
                 weight = known.get(word)
                 if weight is None:
                     weight = sum(self.weights.get(f, 0.0) for f in features(word))
@@ -59,9 +89,7 @@ class Model:
                         known.clear()
                     known[word] = weight
                 total += weight
-                some = True
-            if some:
-                yield found.start(), found.end() - found.start(), total
+            yield start, stop - start, total
 
     def score(self, text: str | None) -> tuple[float, int | None, int | None, float]:
         """Of the document, and where its worst sentence lies and how that scores."""
@@ -69,8 +97,10 @@ class Model:
         if not odds:
             return 0.0, None, None, 0.0
         start, length, worst = max(odds, key=lambda s: s[2])  # the first of equals
-        harmless = -np.logaddexp(0.0, [o for _, _, o in odds]).sum()
-        return float(-np.expm1(harmless)), start, length, float(1 / (1 + np.exp(-worst)))
+        fall = longer(len(odds))
+        leak = np.logaddexp(0.0, self.bias - fall)
+        harmless = (leak - np.logaddexp(0.0, np.array([o for _, _, o in odds]) - fall)).sum()
+        return max(float(-np.expm1(harmless)), 0.0), start, length, float(1 / (1 + np.exp(-worst)))
 
 
 def fit(
@@ -101,11 +131,8 @@ def fit(
     known: dict[str, tuple[int, ...]] = {}
     sentence, columns, owner = array("q"), array("q"), array("q")
     for d, text in enumerate(texts):
-        for found in SENTENCE.findall(text.lower()):
-            words = set(WORD.findall(found))
-            if not words:
-                continue
-            for word in sorted(words):
+        for _, _, words in stretches(text.lower()):
+            for word in sorted(set(words)):
                 ids = known.get(word)
                 if ids is None:
                     ids = known[word] = tuple(number[f] for f in features(word) if f in number)
@@ -114,10 +141,11 @@ def fit(
             owner.append(d)
     sentence, columns, owner = np.array(sentence, np.int64), np.array(columns, np.int64), np.array(owner, np.int64)
     sizes = np.bincount(owner, minlength=n)
+    fall = longer(sizes)[owner]
     w, bias = np.zeros(len(number)), -4.0
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        z = bias + np.bincount(sentence, w[columns], len(owner))
+        z = bias - fall + np.bincount(sentence, w[columns], len(owner))
         p = 1 / (1 + np.exp(-z))
         harmless = np.bincount(owner, -np.logaddexp(0, z), n)  # log of no sentence being toxic
         pull = np.where(y > 0, 1 / np.maximum(np.expm1(-harmless), 1e-9), -1.0)

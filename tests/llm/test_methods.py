@@ -271,6 +271,11 @@ def test_classifiers_on_the_held_out_fold(spark):
     rows = [r for r in out.values() if r.held_out and r.doc_id in known]
     assert sum(r.predicted == known[r.doc_id].toxic for r in rows) >= 0.96 * len(rows)
     texts = {r.doc_id: r.text for r in docs.collect()}
+    clean = [texts[i] for i in sorted(known) if known[i].toxic == 0 and texts.get(i)]
+    long = "\n".join(clean * (1 + 1_000_000 // sum(map(len, clean))))[:1_000_000]
+    assert model.score(long)[0] < 0.5 and model.score(" ".join(re.findall(r"\w+", long)))[0] < 0.5
+    worst = max((i for i in known if known[i].toxic), key=lambda i: out[i].worst_score)
+    assert model.score(f"{long[:200_000]}\n{texts[worst]}\n{long[200_000:400_000]}")[0] >= 0.5
     found = toxicity.offending_sentences(docs, model).collect()
     assert found and all(texts[r.doc_id][r.start : r.start + r.length] == r.sentence and r.score >= 0.5 for r in found)
     told = {r.doc_id: r.lang for r in docs.collect()}
@@ -309,6 +314,16 @@ def test_noisy_or_finds_the_sentence():
     score, start, length, worst = model.score("plain1 plain2. Such vilenesses here! plain3.")
     assert score > 0.5 and worst > 0.5 and "vilenesses" in "plain1 plain2. Such vilenesses here! plain3."[start : start + length]
     assert model.score(text(False))[0] < 0.3
+    assert model.score("plain1 plain2. " * 100_000)[0] < 0.3 and model.score("plain1 plain2 " * 100_000)[0] < 0.3
+
+
+def test_stretches_cover_texts_with_and_without_stops():
+    words = [f"w{i}" for i in range(2 * toxicity.STRETCH + 5)]
+    found = list(toxicity.stretches(" ".join(words)))
+    assert [len(w) for _, _, w in found] == [toxicity.STRETCH, toxicity.STRETCH, 5] and sum((w for *_, w in found), []) == words
+    assert [a for a, _, _ in found][1:] == [b for _, b, _ in found][:-1]
+    assert [w for *_, w in toxicity.stretches("一 二。三 四！अ आ। ... \u2028x")] == [["一", "二"], ["三", "四"], ["अ", "आ"], ["x"]]
+    assert list(toxicity.stretches("")) == list(toxicity.stretches(" .!?")) == []
 
 
 def test_extraction_by_host(spark):
