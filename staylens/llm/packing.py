@@ -7,9 +7,11 @@ length that fit one sequence), new patterns are priced by a knapsack dynamic pro
 the dual values, and the use counts are rounded down.  Patterns are assigned to documents by
 rank: remainders of a length are numbered, and a pattern takes a run of numbers.
 
-What rounding leaves over, some thousand remainders at most, is laid end to end into the
-gaps of patterns and then into sequences of its own, cut where a sequence is full; the very
-last ids go into sequences of powers of two, which need no padding.
+What rounding leaves over is laid end to end into the gaps of patterns and then into sequences
+of its own, cut where a place is full; the very last ids go into sequences of powers of two,
+which need no padding.  Where that is too little for the gaps, uses of the patterns with the
+widest gaps are given up, whole runs of ranks at a time, and their remainders are cut as well.
+A remainder's pieces follow from its length and rank, so that the driver lists none of them.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ CAPACITY = 2048
 END = 1  # id after each document
 ROUNDS = 200  # of column generation; stopping early costs some padding, never a document
 GAP = 1e-3  # relative distance to the lower bound at which column generation stops
-CUT = 20_000  # remainders that are cut to fill gaps, besides those that rounding leaves
 LANE = 20_000  # remainders of one length numbered in one task, about
 REMEMBERED = 300_000  # pieces of text whose ids a task keeps at hand
 
@@ -205,32 +206,53 @@ def patterns(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS,
 
 @dataclass
 class Plan:
-    """Runs of ranks: the remainders ``first`` to ``stop - 1`` of a length, ``each`` to a sequence.
+    """Where every remainder goes, in tables whose sizes depend on the lengths alone.
 
-    Rank ``r`` of a run lies in sequence ``base + (r - first) // each`` at
-    ``offset + (r - first) % each * length``.  ``pieces`` holds remainders that are cut:
-    length, rank, start in the remainder, length of the piece, sequence, offset.
+    ``runs`` are ranks that stay whole: the remainders ``first`` to ``stop - 1`` of a length,
+    ``each`` to a sequence.  Rank ``r`` of a run lies in sequence ``base + (r - first) // each`` at
+    ``offset + (r - first) % each * length``.
+
+    All others are laid end to end, the longest first: rank ``r`` of a length begins at ``at + (r -
+    first) * length`` of that line, by its row of ``tails``.  ``places`` says where the line
+    goes: from ``at`` on, ``times`` sequences from ``base`` on take ``size`` ids each, at ``offset``.
     """
 
     runs: np.ndarray  # length, first, stop, base, each, offset
-    pieces: np.ndarray
+    tails: np.ndarray  # length, first, stop, at
+    places: np.ndarray  # at, base, times, offset, size
     sequences: int
 
+    def cut(self, length: int, rank: int) -> list[tuple[int, int, int, int]]:
+        """Pieces of a remainder of the line: start in it, length, sequence and offset there."""
+        _, first, _, at = self.tails[np.flatnonzero(self.tails[:, 0] == length)[0]].tolist()
+        start = at + (rank - first) * length
+        stop, here, out = start + length, start, []
+        k = int(np.searchsorted(self.places[:, 0], here, "right")) - 1
+        while here < stop:
+            begins, base, times, offset, size = self.places[k].tolist()
+            nth, inside = divmod(here - begins, size)
+            if nth >= times:
+                k += 1
+                continue
+            take = min(size - inside, stop - here)
+            out.append((here - start, take, base + nth, offset + inside))
+            here += take
+        return out
+
 
 def _filled(chosen: list[tuple[np.ndarray, int]], counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Give up uses of the patterns with the widest gaps until the leftovers can fill the other gaps.
+    """Give up uses of the patterns with the widest gaps until the leftovers can fill all other gaps.
 
-    The leftovers are cut one by one, so that no more than ``CUT`` remainders are given up; what
-    gaps are left then are padded.
+    A use that is given up closes its gap and frees its ids: ``capacity`` fewer are lacking.
     """
     sizes = np.arange(len(counts))
     left = counts - sum((p * t for p, t in chosen), np.zeros_like(counts))
     lacking = sum((capacity - int(sizes @ p)) * t for p, t in chosen) - int(sizes @ left)
-    allowed, out = CUT, []
+    out = []
     for pattern, times in sorted(chosen, key=lambda c: int(sizes @ c[0])):  # stable: widest gap first
         full = int(sizes @ pattern) == capacity
-        given = 0 if full else max(0, min(times, -(-lacking // capacity), allowed // int(pattern.sum())))
-        lacking, allowed = lacking - given * capacity, allowed - given * int(pattern.sum())
+        given = 0 if full else max(0, min(times, -(-lacking // capacity)))
+        lacking -= given * capacity
         if times > given:
             out.append((pattern, times - given))
     return out
@@ -250,41 +272,33 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
         if offset < capacity:
             gaps.append((sequence, times, offset))
         sequence += times
-    rest = [(int(l), int(r)) for l in np.flatnonzero(counts - taken)[::-1] for r in range(taken[l], counts[l])]
-    total = sum(length for length, _ in rest)
-
-    def room() -> Iterator[tuple[int, int, int]]:
-        """Places for the leftovers: gaps of patterns, full sequences, then powers of two."""
-        nonlocal sequence
-        left = total
-        for first, times, offset in gaps:
-            for k in range(times):
-                yield first + k, offset, capacity - offset
-                left -= capacity - offset
-                if left <= 0:
-                    return
-        while left > 0:
-            size = capacity if left >= capacity else 1 << (left.bit_length() - 1)
-            sequence += 1
-            yield sequence - 1, 0, size
-            left -= size
-
-    pieces, places, size = [], room(), 0
-    for length, rank in rest:
-        start = 0
-        while start < length:
-            if not size:
-                at, offset, size = next(places)
-            take = min(size, length - start)
-            pieces.append((length, rank, start, take, at, offset))
-            start, offset, size = start + take, offset + take, size - take
-    for _ in places:
-        pass
-    return Plan(np.array(runs, np.int64).reshape(-1, 6), np.array(pieces, np.int64).reshape(-1, 6), sequence)
+    tails, total = [], 0
+    for length in np.flatnonzero(counts - taken)[::-1]:
+        tails.append((length, taken[length], counts[length], total))
+        total += int(length) * int(counts[length] - taken[length])
+    # gaps of patterns, full sequences, then powers of two
+    places, held = [], 0
+    for first, times, offset in gaps:
+        places.append((held, first, times, offset, capacity - offset))
+        held += times * (capacity - offset)
+    left = max(total - held, 0)
+    if left >= capacity:
+        places.append((held, sequence, left // capacity, 0, capacity))
+        held, sequence, left = held + left // capacity * capacity, sequence + left // capacity, left % capacity
+    while left:
+        size = 1 << (left.bit_length() - 1)
+        places.append((held, sequence, 1, 0, size))
+        held, sequence, left = held + size, sequence + 1, left - size
+    return Plan(
+        np.array(runs, np.int64).reshape(-1, 6), np.array(tails, np.int64).reshape(-1, 4),
+        np.array(places, np.int64).reshape(-1, 5), sequence,
+    )
 
 
 # ---------------------------------------------------------------- the job
 
+PIECES = pa.list_(pa.struct([("at", pa.int32()), ("length", pa.int32()), ("sequence_id", pa.int64()), ("offset", pa.int64())]))
+
 
 def _tokenized(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +326,7 @@ def _tokenized(path: str, capacity: int):
     return run
 
 
-def _cut_sums(path: str, cuts: dict[str, list[tuple[int, int]]], capacity: int):
+def _cut_sums(path: str, capacity: int):
     """Checksums of pieces of the documents that are cut: by text, start in the remainder and length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,11 +334,14 @@ def _cut_sums(path: str, cuts: dict[str, list[tuple[int, int]]], capacity: int):
 
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text"), strict=True):
+            for key, text, cuts in zip(
+                batch.column("text_key").to_pylist(), batch.column("text"), batch.column("cuts").to_pylist(), strict=True
+            ):
                 ids = _document_ids(path, text.as_py())
                 base = len(ids) // capacity * capacity
-                for start, length in cuts[key]:
-                    rows.append((key, start, length, zlib.crc32(ids[base + start : base + start + length].tobytes())))
+                for cut in cuts:
+                    start, length = base + cut["at"], cut["length"]
+                    rows.append((key, cut["at"], length, zlib.crc32(ids[start : start + length].tobytes())))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -368,6 +385,17 @@ def _placed(made: Plan):
     return run
 
 
+def _pieces(made: Plan):
+    """Pieces of every remainder that is cut."""
+
+    def run(length: pa.Array, rank: pa.Array) -> pa.Array:
+        found = [made.cut(*row) for row in zip(length.to_pylist(), rank.to_pylist(), strict=True)]
+        names = ("at", "length", "sequence_id", "offset")
+        return pa.array([[dict(zip(names, piece, strict=True)) for piece in row] for row in found], PIECES)
+
+    return run
+
+
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
     """Lay all documents (``doc_id``, ``text``) into sequences of at most ``capacity`` ids.
 
@@ -375,7 +403,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, rounds: int = ROU
     ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and ``offset`` there.  A document's ids are
     those of its text, then the id ``END``; NULL texts are empty.  Rows that repeat are packed
     each, NULL ids too.  An empty table has no piece.  Sequences are numbered from 0 without
-    gaps: full ones by the first documents' places first, then those of remainders.
+    gaps: those of remainders first, then the full ones.  A text of any length is tokenized whole in
+    one task, which then holds its ids; its full sequences are placed like all others.
     """
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -398,20 +427,19 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, rounds: int = ROU
         "doc_tokens", F.col("place.sequence").alias("sequence_id"), F.col("place.offset").alias("offset"),
     )
 
-    # the leftovers of rounding, at most some thousand: cut where the plan says
-    spark = docs.sparkSession
-    pieces = spark.createDataFrame(
-        [tuple(map(int, p)) for p in made.pieces], "rest int, rank bigint, at int, length int, sequence_id bigint, offset bigint"
+    # the line of what is cut; a text's pieces are at most the ways to cut one remainder, however often it repeats
+    pieces = F.arrow_udf(_pieces(made), "array<struct<at: int, length: int, sequence_id: bigint, offset: bigint>>")
+    cut = ranked.where("place.sequence < 0").select(
+        "doc_id", "text_key", "doc_tokens", start.alias("first"), F.explode(pieces(F.col("rest"), F.col("rank"))).alias("piece")
     )
-    cut = stored(ranked.where("place.sequence < 0").join(F.broadcast(pieces), ["rest", "rank"]), "cut")
-    wanted: dict[str, list[tuple[int, int]]] = {}
-    for row in cut.select("text_key", "at", "length").distinct().collect():
-        wanted.setdefault(row["text_key"], []).append((row["at"], row["length"]))
-    keys = spark.createDataFrame([(k,) for k in wanted], "text_key string")
-    texts = base.join(F.broadcast(keys), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    sums = texts.mapInArrow(_cut_sums(path, wanted, capacity), "text_key string, at int, length int, crc32 bigint")
+    cut = stored(cut.select("doc_id", "text_key", "doc_tokens", "first", "piece.*"), "cut")
+    wanted = cut.groupBy("text_key").agg(F.collect_set(F.struct("at", "length")).alias("cuts"))
+    # stored, so that the planner knows its size when it decides how the texts meet it
+    texts = base.join(stored(wanted, "cut-texts"), "text_key").groupBy("text_key")
+    texts = texts.agg(F.first("text").alias("text"), F.first("cuts").alias("cuts"))
+    sums = texts.mapInArrow(_cut_sums(path, capacity), "text_key string, at int, length int, crc32 bigint")
     cut = cut.join(sums, ["text_key", "at", "length"]).select(
-        "doc_id", (start + F.col("at")).alias("start"), F.col("length").cast("bigint").alias("length"),
+        "doc_id", (F.col("first") + F.col("at")).alias("start"), F.col("length").cast("bigint").alias("length"),
         F.col("crc32").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
     )
 

@@ -252,14 +252,50 @@ def test_plans_place_every_remainder_once(seed):
             covered[length, r] += length
             start = offset + k % each * length
             filled.update((base + k // each, p) for p in range(start, start + length))
-    for length, rank, _, size, sequence, offset in made.pieces.tolist():
-        covered[length, rank] += size
-        filled.update((sequence, p) for p in range(offset, offset + size))
+    for length, first, stop, _ in made.tails.tolist():
+        for rank in range(first, stop):
+            for _, size, sequence, offset in made.cut(length, rank):
+                covered[length, rank] += size
+                filled.update((sequence, p) for p in range(offset, offset + size))
     assert all(n == length for (length, _), n in covered.items())
     assert set(filled.values()) == {1} and max(p for _, p in filled) < 128
     assert made.sequences <= np.ceil((np.arange(128) * counts).sum() / 128) + 8
 
 
+@pytest.mark.parametrize("lengths", [[1500], [1025, 1026], list(range(1100, 1900))])
+@pytest.mark.parametrize("total", [1_000, 1_000_000, 1_000_000_000])
+def test_padding_does_not_grow_with_the_corpus(lengths, total):
+    counts = np.zeros(packing.CAPACITY, np.int64)
+    counts[lengths] = -(-total // len(lengths))
+    made = packing.plan(counts)
+    ids = int((np.arange(packing.CAPACITY) * counts).sum())
+    assert ids <= made.sequences * packing.CAPACITY <= 1.01 * ids + 12 * packing.CAPACITY
+    assert len(made.runs) + len(made.tails) + len(made.places) < 4 * packing.CAPACITY
+    length, first, stop, _ = made.tails[-1].tolist()
+    for rank in (first, stop - 1):
+        assert sum(size for _, size, _, _ in made.cut(length, rank)) == length
+
+
+def test_packing_where_no_two_documents_fit(spark):
+    vocabulary = path("byte_bpe_50k.json")
+    texts = ["a b c d e f g h i j " * 60 + str(k % 40) for k in range(400)]  # 40 texts of one length, each ten times
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), vocabulary, 1024).collect()
+    ours, filled, pieces = packing.tokenizer(vocabulary), Counter(), {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        filled.update((r.sequence_id, p) for p in range(r.offset, r.offset + r.length))
+    for k, text in enumerate(texts):
+        ids, at = np.append(ours.ids(text), 1).astype("<u4"), 0
+        for r in sorted(pieces[k], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    used = Counter(s for s, _ in filled)
+    assert set(filled.values()) == {1} and sorted(used) == list(range(len(used)))
+    assert all(max(p for s, p in filled if s == k) == used[k] - 1 for k in list(used)[:20])
+    assert 1024 * len(used) <= 1.05 * sum(used.values())
+
+
 def test_classifiers_on_the_held_out_fold(spark):
     base = "/root/testdata/sf0.1"  # 825 held-out labels; the smaller tables have 70 and fewer
     docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
