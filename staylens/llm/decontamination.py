@@ -27,7 +27,7 @@ from staylens.llm.words import text_buffer, word_hashes
 
 WINDOW = 13
 RUN_BYTES = 4 << 20  # text of one index row; a longer document has a row of its own
-BLOCK_WORDS = 2_000_000  # words of benchmark items looked up in one pass over the index
+BLOCK_WORDS = 250_000  # words of benchmark items looked up in one pass over the index
 INDEX = (
     "run string, doc_ids array<bigint>, digests array<string>, n_words array<int>, terms binary, ends binary, postings binary"
 )
@@ -249,7 +249,8 @@ def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
     """How much of each document stands inside benchmark passages.
 
     One row per document row: ``doc_id``, ``digest`` of the text, ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (ascending as
-    texts) and ``contaminated``: some word is hit, and at least one in twenty.
+    texts) and ``contaminated``: some word is hit, and at least one in twenty.  Items without an id are
+    one item together: it counts in ``n_items``, but has no name to stand in ``item_ids``.
     """
     documents = index.select("run", F.posexplode(F.arrays_zip("doc_ids", "digests", "n_words")).alias("ordinal", "doc")).select(
         "run",
@@ -264,6 +265,7 @@ def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
         .agg(
             F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"),
             F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"),
+            F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"),
         )
         .withColumn(
             "n_hit",
@@ -286,7 +288,7 @@ def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
         "digest",
         "n_words",
         hit.alias("n_hit"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce(F.size("item_ids") + F.col("unnamed"), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
     )

@@ -17,16 +17,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm.labels import SAMPLE_CHARS, drawn, held_out, learnable
+from staylens.llm.rows import columns_of
 
 BITS = 16
 WIDTH = 1 << BITS
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 1_500  # documents of a language that weights are fitted on, about
-LANGUAGES = 256  # the most frequent ones are learnt
+SAMPLE = 60_000  # documents of all languages together, about; with more than 40 languages each has fewer
 UNKNOWN = "und"
 CERTAIN = 0.5  # documents whose best language is less likely are rejected
 LETTER = regex.compile(r"\p{L}")
@@ -163,13 +164,18 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, chars: int = SAMPLE
     """Learn from the text and language of documents that are not held out.
 
     Document frequencies come from all of them; weights from about ``per_language`` documents
-    of a language, of at most ``chars`` characters.  NULL texts and languages teach nothing.
+    of a language and ``SAMPLE`` in all, of at most ``chars`` characters.  NULL texts and languages teach nothing.
+    Every value of ``lang`` is learnt; each takes about a megabyte of the driver while weights are fitted.
     """
     known = docs.where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     idf = inverse_frequencies(known)
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     short = known.where(F.char_length("text") <= chars)
-    drawn_rows = short.join(F.broadcast(sizes), "lang").where(drawn("doc_id", F.lit(float(per_language)) / F.col("count")))
+    one = F.min_by("doc_id", F.xxhash64("doc_id")).alias("one")  # a rare language is not left to the draw
+    sizes = short.groupBy("lang").agg(F.count("*").alias("count"), one)
+    share = F.least(F.lit(float(per_language)), F.lit(float(SAMPLE)) / F.count("*").over(Window.partitionBy())) / F.col("count")
+    sizes = sizes.select("lang", "one", share.alias("share"))  # a row a language, far less than the weights that it gets
+    taken = drawn("doc_id", F.col("share")) | (F.col("doc_id") == F.col("one"))
+    drawn_rows = short.join(F.broadcast(sizes), "lang").where(taken)
     sample = drawn_rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row"))
     sample = sample.orderBy("doc_id").select("row.text", "row.lang").toPandas()
     return fit(sample["text"].tolist(), sample["lang"].tolist(), idf)
@@ -197,7 +203,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, least: float = CERTAIN) -> DataFrame:
     """The documents in a learnt language, with a score of ``least`` or more, all columns as they were."""
-    rows = identified(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    rows = identified(docs.select(F.struct(*columns_of(docs)).alias("row"), "text"), model)
     return rows.where((F.col("language.lang_pred") != UNKNOWN) & (F.col("language.score") >= least)).select("row.*")
 
 

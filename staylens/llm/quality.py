@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm.labels import SAMPLE_CHARS, SAMPLE_ROWS, held_out, labelled_sample
+from staylens.llm.rows import columns_of
 from staylens.llm.words import shingle_hashes, text_buffer, word_hashes
 
 ACCEPTED = 0.3
@@ -186,7 +187,7 @@ def scored(docs: DataFrame, model: Trees) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Trees, least: float = ACCEPTED) -> DataFrame:
     """The documents that score ``least`` or more, all columns as they were."""
-    rows = scored(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    rows = scored(docs.select(F.struct(*columns_of(docs)).alias("row"), "text"), model)
     return rows.where(F.col("quality_score") >= least).select("row.*")
 
 

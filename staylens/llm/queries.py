@@ -83,7 +83,7 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, folder = warc.write_archives(_table(spark, sf_dir, "pages"))
-    return warc.read_archives(manifest, folder).select(
+    return warc.read_archives(manifest, folder, mode="FAILFAST").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

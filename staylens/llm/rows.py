@@ -17,3 +17,8 @@ def unused(table: DataFrame, name: str) -> str:
 def text_digest(text: str = "text") -> Column:
     """Digest that equal texts share; NULL counts as empty."""
     return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+
+
+def columns_of(table: DataFrame) -> list[Column]:
+    """All columns by name, also names with dots."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in table.columns]

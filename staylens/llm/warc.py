@@ -7,6 +7,10 @@ its range and reads the last of them to its end beyond it; a member's end shows
 starts, so that only the first has to be searched for.
 
 Archives are opened through ``pyarrow.fs`` by the URI of the shared folder.
+
+Archives of other writers are read too: records that hold no page (``warcinfo``, ``request``,
+``metadata`` and the like) are passed over, digests and lengths that a record does not state are
+taken from its payload, and what cannot be read becomes a row with the reason in ``error``.
 """
 
 from __future__ import annotations
@@ -35,6 +39,15 @@ DATE = "2024-01-01T00:00:00Z"
 ANSWER = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
+HELD = ("response", "resource", "revisit")  # types of records that stand for a page
+
+
+def opened(folder: str) -> tuple[FileSystem, str]:
+    """File system and path of a folder.  Hadoop's names of the S3 scheme mean the same here."""
+    scheme, colon, rest = folder.partition("://")
+    return FileSystem.from_uri(f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else folder)
+
+
 def marked(pages: DataFrame) -> DataFrame:
     """Add ``payload``, ``payload_digest``, ``payload_bytes`` and ``refers_to`` (NULL for responses).
 
@@ -92,7 +105,7 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to: int
 
 def _written(folder: str, file_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = FileSystem.from_uri(folder)
+        store, root = opened(folder)
         out, path, size, records = None, "", 0, 0
 
         def manifest() -> pa.RecordBatch:
@@ -131,7 +144,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, file_bytes: int
     folder = (folder or scratch_dir(spark, "warc")).rstrip("/")
     if folder.startswith("/"):
         folder = f"file://{folder}"
-    store, root = FileSystem.from_uri(folder)
+    store, root = opened(folder)
     store.create_dir(root, recursive=True)
     rows = marked(pages).select("page_id", "url", "payload", "payload_digest", "refers_to")
     made = rows.mapInArrow(_written(folder, file_bytes), "file string, bytes bigint, records bigint")
@@ -142,7 +155,7 @@ class _Window:
     """A file seen through a buffer that grows forward and is cut behind."""
 
     def __init__(self, source, start: int, size: int):
-        self.source, self.base, self.size, self.data = source, start, size, b""
+        self.source, self.base, self.size, self.data = source, start, size, bytearray()
         source.seek(start)
 
     def upto(self, place: int) -> bool:
@@ -156,7 +169,8 @@ class _Window:
 
     def forget(self, place: int) -> None:
         if place - self.base > 4 * BLOCK:
-            self.data, self.base = self.data[place - self.base :], place
+            del self.data[: place - self.base]
+            self.base = place
 
 
 def _starts_record(window: _Window, place: int) -> bool:
@@ -194,36 +208,60 @@ def _number(name: str | None) -> int | None:
     return int(digits) if digits.lstrip("-").isdigit() else None
 
 
-def parse(data: bytes) -> dict:
-    """Fields of a decoded record; a response's payload is checked against its digest."""
-    head, _, rest = data.partition(b"\r\n\r\n")
+def parse(data: bytes) -> dict | None:
+    """Fields of a decoded record, None if it stands for no page; a payload is checked against its SHA-1, if stated.
+
+    Raises ValueError for a record that does not hold what its header says.
+    """
+    head, blank, rest = data.partition(b"\r\n\r\n")
     fields = _fields(head)
-    block = rest[: int(fields["content-length"])]
-    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    payload = None
-    if fields["warc-type"] == "response":
-        payload = block.partition(b"\r\n\r\n")[2]
-        if hashlib.sha1(payload).hexdigest() != digest:
-            raise ValueError(f"payload of {fields['warc-record-id']} does not have its digest")
+    kind, length = fields.get("warc-type"), fields.get("content-length", "")
+    if not blank or kind is None or not length.isdecimal() or int(length) > len(rest):
+        raise ValueError(f"record {fields.get('warc-record-id')} has no type, or fewer bytes than it says")
+    if kind not in HELD:
+        return None
+    block = rest[: int(length)]
+    method, _, stated = fields.get("warc-payload-digest", "").partition(":")
+    digest = payload = size = None
+    if method.lower() == "sha1":
+        digest = stated.lower() if len(stated) == 40 else base64.b32decode(stated.upper()).hex()
+    if kind == "revisit":
+        size = int(fields["payload-length"]) if fields.get("payload-length", "").isdecimal() else None
+    else:
+        # a response over HTTP has that protocol's header first
+        http = kind == "response" and block.startswith(b"HTTP/")
+        payload = block.partition(b"\r\n\r\n")[2] if http else block
+        made, size = hashlib.sha1(payload).hexdigest(), len(payload)
+        if digest not in (None, made):
+            raise ValueError(f"payload of {fields.get('warc-record-id')} does not have its digest")
+        digest = made
     return {
-        "page_id": _number(fields["warc-record-id"]),
+        "page_id": _number(fields.get("warc-record-id")),
         "url": fields.get("warc-target-uri"),
-        "record_type": fields["warc-type"],
+        "record_type": kind,
         "refers_to": _number(fields.get("warc-refers-to")),
         "payload_digest": digest,
-        "payload_bytes": len(payload) if payload is not None else int(fields["payload-length"]),
+        "payload_bytes": size,
         "payload": payload,
+        "error": None,
     }
 
 
-def records_in_range(source, size: int, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
-    """Place and decoded bytes of the records that start at ``start`` or later and before ``stop``."""
+def records_in_range(source, size: int, start: int, stop: int) -> Iterator[tuple[int, bytes | Exception]]:
+    """Place and decoded bytes of the records that start at ``start`` or later and before ``stop``.
+
+    A member that begins as a record but cannot be decoded to its end gives the error, and the
+    search goes on behind its first byte.
+    """
     window, place = _Window(source, start, size), start
     while place < stop:
         if not window.upto(place + len(MAGIC)):
             return
-        if window.data[place - window.base :][: len(MAGIC)] == MAGIC and _starts_record(window, place):
-            data, end = _member(window, place)
+        if window.data.startswith(MAGIC, place - window.base) and _starts_record(window, place):
+            try:
+                data, end = _member(window, place)
+            except (ValueError, zlib.error) as broken:
+                data, end = broken, place + 1
             yield place, data
             place = end
         else:  # search on, inside what is held
@@ -237,19 +275,31 @@ RECORD = pa.schema(
     [
         ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
         ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary()),
+        ("error", pa.string()),
     ]
 )
 
 
-def _read(folder: str):
+def _read(folder: str, fail: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = FileSystem.from_uri(folder)
+        store, root = opened(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 held, size = [], 0
                 with store.open_input_file(f"{root}/{row['file']}") as source:
-                    for _, data in records_in_range(source, row["bytes"], row["start"], row["stop"]):
-                        held.append(parse(data))
+                    for place, data in records_in_range(source, row["bytes"], row["start"], row["stop"]):
+                        try:
+                            if isinstance(data, Exception):
+                                raise data
+                            made = parse(data)
+                        except (ValueError, zlib.error) as broken:
+                            reason = f"{row['file']}, byte {place}: {broken}"
+                            if fail:
+                                raise ValueError(reason) from broken
+                            made, data = {"error": reason}, b""
+                        if made is None:
+                            continue
+                        held.append(made)
                         size += len(data)
                         if size >= 8 * BLOCK:
                             yield pa.RecordBatch.from_pylist(held, RECORD)
@@ -260,18 +310,23 @@ def _read(folder: str):
     return run
 
 
-def read_archives(manifest: DataFrame, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_archives(manifest: DataFrame, folder: str, range_bytes: int = RANGE_BYTES, mode: str = "PERMISSIVE") -> DataFrame:
     """All records of the archives that ``manifest`` (``file``, ``bytes``) names, read by byte ranges.
 
     Columns: ``page_id``, ``url``, ``record_type``, ``refers_to``, ``payload_digest`` (hex),
-    ``payload_bytes`` (of the full payload, for revisits too) and ``payload`` (NULL for revisits).
+    ``payload_bytes`` (of the full payload; for revisits as the writer of this module states it, else
+    NULL), ``payload`` (NULL for revisits) and ``error``.  A member that cannot be read is a row with ``error`` alone;
+    with ``mode`` FAILFAST it fails the job.  Records of other archives have no ``page_id``.
     """
+    if mode not in ("PERMISSIVE", "FAILFAST"):
+        raise ValueError(f"mode is PERMISSIVE or FAILFAST, not {mode}")
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))
     ranges = manifest.select("file", "bytes", F.explode(starts).alias("start"))
     ranges = ranges.withColumn("stop", F.least(F.col("start") + range_bytes, F.col("bytes")))
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = ranges.repartition(tasks, "file", "start")
     return ranges.mapInArrow(
-        _read(folder),
-        "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, payload binary",
+        _read(folder, mode == "FAILFAST"),
+        "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, "
+        "payload binary, error string",
     )

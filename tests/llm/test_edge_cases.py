@@ -85,6 +85,17 @@ def test_language(spark, docs, none):
     assert kept.columns == docs.columns and kept.where("doc_id = 3").count() == 0
 
 
+def test_all_languages_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 900)
+    letters = [chr(0x4E00 + 7 * k) for k in range(300)]
+    rows = [(i, f"l{i % 300}", letters[i % 300] * 9) for i in range(6_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").withColumn("a.b", F.lit(1))
+    model = language.train(docs)
+    assert len(model.languages) == 300  # of about three documents each
+    kept = language.accepted(docs, model, 0.0)
+    assert kept.columns == docs.columns and kept.count() == 6_000
+
+
 def test_near_duplicates(spark, docs, none):
     classes, links = near_dedup.near_duplicates(docs)
     out = classes.collect()
@@ -103,6 +114,7 @@ def test_decontamination(spark, docs, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "same same"), (3, "same same"), (4, "東京"), (None, "one")], "item_id bigint, text string")
     out = decontamination.contamination(decontamination.build_index(docs), items).collect()
     assert len(out) == 14
+    assert {r.doc_id: r.n_items for r in out if r.n_hit} == {7: 1, 8: 1, 9: 1, 4: 1}  # items without an id count
     hit = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in out if r.n_hit}
     assert hit == {7: (3, 3, ["3"]), 8: (3, 3, ["3"]), 9: (4, 1, ["4"]), 4: (1, 1, [])}
     assert {r.n_words for r in out if r.doc_id in (0, 2, 3)} == {0} and not any(r.contaminated for r in out if not r.n_hit)

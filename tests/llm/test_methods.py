@@ -425,6 +425,82 @@ def test_hidden_text_stays_and_inline_parts_go():
     assert extraction.Page(page).text(None) == "one two\nthree\nfour"
 
 
+def test_formulas_fallbacks_and_headlines_stay():
+    page = "<body><article><h1 class='post-share'>Headline</h1><p>x<math><mi>a</mi>+b</math>y</p><noscript><p>kept</p></noscript></article></body>"
+    assert extraction.Page(page).text(None) == "Headline\nxa+by\nkept"
+
+
+@pytest.mark.parametrize("tag", ["div", "div class='ad'", "fieldset", "span", "li"])
+def test_deep_pages_take_linear_memory(tag):
+    import tracemalloc
+
+    peaks = []
+    for n in (2_000, 20_000):
+        page = f"<html><body><{tag}>x " * n
+        tracemalloc.start()
+        read = extraction.Page(page)
+        assert read.text(read.best()[0]).split()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 15 * peaks[0]
+
+
+def test_votes_against_brute_force(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        story, side = rng.choice(["story1", "story2", "text"]), "<p>side words</p>" * rng.randrange(3)
+        rows.append((i, f"https://h{i % 4}.example/{i}", f"<body><div class='{story}'>{'<p>running text</p>' * 5}</div>{side}</body>"))
+    votes = {}
+    for _, url, html in rows:
+        path, score = extraction.Page(html).best()
+        host = votes.setdefault(url.split("/")[2], Counter())
+        host[path] += round(score * 1000)
+    want = {h: max(v, key=lambda p: (v[p], -len(p), p)) for h, v in votes.items()}
+    out = extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(out) == 60
+    for r in out:
+        assert r.path == want[r.url.split("/")[2]] and r.text == extraction.Page(rows[r.page_id][2]).text(r.path)
+
+
+def _archive(records):
+    import gzip
+
+    return [gzip.compress(("\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n") for head, block in records]
+
+
+def test_foreign_archives(spark, tmp_path):
+    def head(kind, block, *more):
+        return [["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", f"Content-Length: {len(block)}", *more], block]
+
+    answer = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>one</p>"
+    members = _archive(
+        [
+            head("warcinfo", b"software: other"),
+            head("request", b"GET / HTTP/1.1\r\n\r\n"),
+            head("response", answer, "WARC-Target-URI: https://x.example/"),
+            head("resource", b"plain", "WARC-Payload-Digest: sha256:00"),
+            head("response", answer, "WARC-Payload-Digest: sha1:" + "A" * 32),
+            [["WARC/1.0", "WARC-Type: response", "Content-Length: many"], b""],
+            head("revisit", b"", "WARC-Payload-Digest: sha1:" + "0" * 40),
+        ]
+    )
+    broken = bytearray(_archive([head("response", b"noise " + bytes(random.Random(1).randbytes(5_000)))])[0])
+    broken[2_000:2_040] = b"\xff" * 40
+    data = b"".join([*members[:3], bytes(broken), *members[3:]])
+    (tmp_path / "other.warc.gz").write_bytes(data)
+    manifest = spark.createDataFrame([("other.warc.gz", len(data))], "file string, bytes bigint")
+    for size in (1 << 20, 97):
+        rows = warc.read_archives(manifest, f"file://{tmp_path}", range_bytes=size).collect()
+        good = sorted((r.record_type, r.payload and bytes(r.payload), r.payload_bytes) for r in rows if r.error is None)
+        assert good == [("resource", b"plain", 5), ("response", b"<p>one</p>", 10), ("revisit", None, None)]
+        errors = [r.error for r in rows if r.error is not None]
+        assert len(errors) == 3 and all(e.startswith("other.warc.gz, byte ") for e in errors)
+    with pytest.raises(Exception, match="other.warc.gz, byte"):
+        warc.read_archives(manifest, f"file://{tmp_path}", mode="FAILFAST").collect()
+    assert warc.opened("/tmp/x")[1] == "/tmp/x"
+
+
 def test_archives_read_by_any_ranges(spark):
     given = spark.read.parquet(f"{SF}/pages.parquet")
     manifest, folder = warc.write_archives(given, file_bytes=40_000)
