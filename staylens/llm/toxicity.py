@@ -26,6 +26,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,13 +48,15 @@ REMEMBERED = 300_000  # words whose weight a task keeps at hand
 def stretches(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """Start, end and words of each sentence that has a word, and of each stretch of a long one."""
     for found in SENTENCE.finditer(text):
-        start, stop, words = found.start(), found.end(), []
-        for word in WORD.finditer(text, start, stop):
-            if len(words) == STRETCH:
-                yield start, word.start(), words
-                start, words = word.start(), []
-            words.append(word.group())
-        if words:
+        start, stop = found.span()
+        words = WORD.findall(text, start, stop)
+        if len(words) > STRETCH:
+            firsts = [m.start() for m in islice(WORD.finditer(text, start, stop), STRETCH, None, STRETCH)]
+            yield from (
+                (a, b, words[k * STRETCH : (k + 1) * STRETCH])
+                for k, (a, b) in enumerate(zip([start, *firsts], [*firsts, stop], strict=True))
+            )
+        elif words:
             yield start, stop, words
 
 
