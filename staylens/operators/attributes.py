@@ -27,6 +27,7 @@ from staylens.operators.prices import (
     tier_price,
     tiered_range,
 )
+from staylens.operators.selection import with_elements
 
 
 def category(text: Column) -> Column:
@@ -89,19 +90,22 @@ def review_gate(properties: DataFrame, has_reviews: Column, columns: tuple[str,
     return properties.withColumns({c: F.when(has_reviews, F.col(c)) for c in columns})
 
 
-def page_attributes(pages: DataFrame) -> DataFrame:
+def page_attributes(pages: DataFrame, built_in: bool = False) -> DataFrame:
     """Stored property pages -> one attribute row per page; ``html`` is dropped.
 
+    ``built_in`` selects elements by ``selection.with_elements``, without a Python worker but with a
+    shuffle of tags; the results are the same.
     ``has_reviews`` tells whether the page shows both a link to reviews and a
     review card; apply ``review_gate`` with it for the review pipeline.
     """
-    kept = [c for c in pages.columns if c != "html"]
+    kept = [f"`{c}`" for c in pages.columns if c != "html"]
     scanned = pages.select(
-        *kept,
-        coordinates(F.col("html")).alias("point"),
-        currency_amounts(F.col("html")).alias("scanned"),
-        select_elements(F.col("html"), R.PROPERTY_RULES).alias("elements"),
+        *kept, "html", coordinates(F.col("html")).alias("point"), currency_amounts(F.col("html")).alias("scanned")
     )
+    if built_in:
+        scanned = with_elements(scanned, R.PROPERTY_RULES)
+    else:
+        scanned = scanned.withColumn("elements", select_elements(F.col("html"), R.PROPERTY_RULES)).drop("html")
     e = F.col("elements")
     generic = [r.name for r in R.PRICE_GENERIC_RULES]
     # The arrays are searched once here; the next step only reads the results.

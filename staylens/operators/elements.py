@@ -30,6 +30,7 @@ VALUE = r"""(?is)(?<![\w-]){}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 # --- fixed values: elements without an end tag
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 PAGE_END = (1 << 31) - 1
+TEXT = "#text"  # the tag of texts, where they are rows too
 RULES = "rule_no int, step int, tag string, attr string, op string, value string, wanted boolean, n_tests int, direct boolean, n_steps int"
 
 
@@ -45,9 +46,9 @@ def elements(tags: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Start tags with ``end``, the place where the element ends, and ``parent``, the place of its parent (NULL at the top).
 
     An element ends at its end tag; one that is left open ends where the next of its name at
-    that level starts or at the end of the page; elements that have no end tag end where they start.
+    that level starts or at the end of the page; elements that have no end tag, and texts, end where they start.
     """
-    void = F.col("tag").isin(*VOID)
+    void = F.col("tag").isin(*VOID, TEXT)
     kept = tags.where(~(void & F.col("closing")))
     step = F.when(void, 0).when(F.col("closing"), -1).otherwise(1)
     count = F.sum(step).over(W.partitionBy(*keys, "tag").orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
@@ -58,15 +59,15 @@ def elements(tags: DataFrame, keys: Sequence[str]) -> DataFrame:
     opened = matched.where(~F.col("closing")).drop("level", "closing")
     # depth: elements begun before and not ended yet; at one place ends come before starts
     starts = opened.select(*keys, F.col("pos").alias("at"), F.when(void, 0).otherwise(1).alias("change"), "tag", "markup", "end")
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("tag", "string"), ("markup", "string"), ("end", "int"))]
+    none = [F.lit(None).cast(opened.schema[c].dataType).alias(c) for c in ("tag", "markup", "end")]
     ends = opened.where(~void & (F.col("end") < PAGE_END)).select(*keys, F.col("end").alias("at"), F.lit(-1).alias("change"), *none)
     order = W.partitionBy(*keys).orderBy("at", "change").rowsBetween(W.unboundedPreceding, -1)
     depth = F.coalesce(F.sum("change").over(order), F.lit(0))
     nested = starts.unionByName(ends).withColumn("depth", depth).where("markup is not null").withColumnRenamed("at", "pos").drop("change")
-    # every element twice: at its own depth, looking for a parent, and one deeper, as a parent
-    placed = nested.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("deeper")).withColumn("at_depth", F.col("depth") + F.col("deeper"))
+    # an element at its own depth, looking for a parent, and one deeper, as a parent if it can be one
+    placed = nested.select("*", F.explode(F.when(void, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("deeper")).withColumn("at_depth", F.col("depth") + F.col("deeper"))
     before = W.partitionBy(*keys, "at_depth").orderBy("pos", "deeper").rowsBetween(W.unboundedPreceding, -1)
-    parent = F.max(F.when((F.col("deeper") == 1) & ~void, F.col("pos"))).over(before)
+    parent = F.max(F.when(F.col("deeper") == 1, F.col("pos"))).over(before)
     return placed.withColumn("parent", parent).where("deeper = 0").drop("deeper", "at_depth")
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from staylens.functions import rules as R
-from staylens.functions.markup import of_rule, select_elements
+from staylens.functions.markup import of_rule
 from staylens.functions.stats import exact_sums, total
 from staylens.functions.text import blank_to_null, field_name, mapped, part, safe_double, strip, year_of
+from staylens.operators.selection import with_elements
 from staylens.schemas import count_column, mean_column
 
 KEY = "property_id"
@@ -23,10 +24,8 @@ KEY = "property_id"
 def cards_from_pages(review_pages: DataFrame) -> DataFrame:
     """Stored review pages ``(property_id, list_kind, page_no, html)`` -> review cards."""
     rules = (R.REVIEW_CARD_RULE, *R.CARD_RULES)
-    kept = [c for c in review_pages.columns if c != "html"]
-    read = review_pages.select(
-        *kept, select_elements(F.col("html"), rules, scope=R.REVIEW_CARD_RULE.css).alias("elements")
-    )
+    kept = [f"`{c}`" for c in review_pages.columns if c != "html"]
+    read = with_elements(review_pages, rules, scope=R.REVIEW_CARD_RULE.css)
     e = F.col("elements")
 
     def inside(card: Column, rule: str) -> Column:

@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from staylens import schemas
 from staylens.functions import rules as R
 from staylens.functions import text as X
-from staylens.functions.markup import select_elements
 from staylens.functions.workspace import scratch_dir, stored
 from staylens.operators import attributes as A
 from staylens.operators import crawl, elements, errors, links, location, prices, record, requests, runs, seen
 from staylens.operators import reviews as V
+from staylens.operators.selection import with_elements
 from staylens.plans import records
 from staylens.plans.reviews import raw_type_stats, traveler_means, traveler_means_all_types
 from staylens.sinks.exports import export_run, page_heads
@@ -91,7 +91,7 @@ def link_explode(spark, sf):
 
 @query
 def page_elements(spark, sf):
-    found = _t(spark, sf, "pages").select("page_id", F.inline(select_elements(F.col("html"), PAGE_RULES)))
+    found = with_elements(_t(spark, sf, "pages").select("page_id", "html"), PAGE_RULES).select("page_id", F.inline("elements"))
     return found.select("page_id", F.col("rule").alias("selector"), "ordinal", "text", "attr")
 
 
@@ -704,15 +704,19 @@ def traveler_means_incremental(spark, sf):
 
 @query
 def stream_records(spark, sf):
-    part, orders, lineitem, embeddings = _t(spark, sf, "part", "orders", "lineitem", "embeddings")
-    arriving = tables.stream(spark, sf, schemas.PAGES, files_per_batch=5, glob="pages.parquet")
+    """Property pages arrive in four files; the records of each are flushed before the next is read."""
     out = scratch_dir(spark, "records")
+    pages = stored(D.property_snapshots(*_t(spark, sf, "pages", "part", "orders", "lineitem", "embeddings")), "snapshots")
+    for part in range(BATCHES):
+        pages.where(F.col("page_id") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
+    arriving = tables.stream(spark, f"{out}/arrivals/*", pages.schema, files_per_batch=1)
     _finish(
         incremental.run_incremental(
             arriving,
-            lambda pages: A.page_attributes(D.property_snapshots(pages, part, orders, lineitem, embeddings)),
+            lambda batch: A.page_attributes(batch, built_in=True),
             f"{out}/rows",
             f"{out}/checkpoint",
+            per_batch=True,
         )
     )
     return spark.read.parquet(f"{out}/rows").drop("batch_id", "url", "readable")

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from staylens.functions import rules as R
 from staylens.operators.links import explode_anchors
-from staylens.operators.prices import price
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -250,13 +249,10 @@ def property_snapshots(
         )
         return F.coalesce(markup, F.lit(""))
 
-    # the cheapest and the dearest line of an order, and one without a number
-    lines = lineitem.select(F.col("l_orderkey").alias("page_id"), price_text().alias("text"))
-    priced = lines.withColumn("amount", price(F.col("text")))
-    unpriced = F.when(F.col("amount").isNull(), F.col("text"))
-    cells = priced.groupBy("page_id").agg(
-        F.concat(cell(F.min_by("text", "amount")), cell(F.max_by("text", "amount")), cell(F.max(unpriced))).alias("cells")
-    )
+    # every line of an order is a cell, in the order of its lines
+    lines = lineitem.select(F.col("l_orderkey").alias("page_id"), "l_linenumber", cell(price_text()).alias("cell"))
+    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "cell")))
+    cells = lines.groupBy("page_id").agg(F.array_join(F.transform(ordered, lambda x: x["cell"]), "").alias("cells"))
     crumbs = part.select(
         F.col("p_partkey").alias("page_id"),
         F.concat(

@@ -15,11 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from staylens.operators.links import SEEN_ORDER, canonical_url
 
 
-def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
+def _write_batch(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         # A batch that is run again after a failure replaces its own files.
         (
-            batch.withColumn("batch_id", F.lit(batch_id))
+            (transform(batch) if transform else batch).withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
@@ -30,16 +30,22 @@ def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def write_batches(
-    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", every: str | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "append",
+    every: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch to a Parquet table, once even when it is retried.
 
-    Without ``every`` the query takes all available input and stops.
+    Without ``every`` the query takes all available input and stops.  ``transform`` is
+    applied to each batch as a table, for plans that a stream cannot hold.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(_write_batch(path))
+        .foreachBatch(_write_batch(path, transform))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -71,12 +77,16 @@ def run_incremental(
     path: str,
     checkpoint: str,
     every: str | None = None,
+    per_batch: bool = False,
 ) -> StreamingQuery:
     """Snapshots -> records, flushed per micro-batch.
 
     ``transform`` may be any row-wise plan, or a stream-static join such as the
-    location lookup.  The flush size is the source's ``files_per_batch``.
+    location lookup; with ``per_batch`` any plan at all, since it then gets each batch as a
+    table (its windows and aggregates see that batch alone).  The flush size is the source's ``files_per_batch``.
     """
+    if per_batch:
+        return write_batches(stream, path, checkpoint, every=every, transform=transform)
     return write_batches(transform(stream), path, checkpoint, every=every)
 
 
