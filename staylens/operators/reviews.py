@@ -12,6 +12,7 @@ from staylens.functions import rules as R
 from staylens.functions.markup import of_rule
 from staylens.functions.stats import exact_sums, total
 from staylens.functions.text import blank_to_null, field_name, mapped, part, safe_double, strip, year_of
+from staylens.functions.workspace import stored
 from staylens.operators.selection import with_elements
 from staylens.schemas import count_column, mean_column
 
@@ -125,18 +126,26 @@ def newest_k(
     """Newest ``pages * page_size`` cards per property and list, with ``seq`` from 1; all cards if ``pages`` is 0 or None.
 
     For cards that carry no page number; with one, ``first_pages`` needs no
-    shuffle.  One plan for lists of every size: a list is split into the days of
-    its cards, the cards of each day are counted, and a card's place is the
-    number of cards on later days plus its place in its own day.  No task has to
-    hold a list, and days beyond the last wanted card are not ranked.  Cards
-    without a property or list are in no list.
+    shuffle.  A list is split into lanes, the cards of each lane are counted, and a
+    card's place is the number of cards in lanes before plus its place in its own.
+    All cards: lanes are ranges of the order itself, dealt by samples and stored, so that
+    a list without dates, or of one day, is split like any other and no task holds it.
+    With a limit: lanes are days; those beyond the last wanted card are not ranked, and of each
+    day no task keeps more cards than the limit.  Cards without a property or list are in no list.
     """
-    keys, undated = (KEY, "list_kind"), F.to_date(F.lit("0001-01-01"))
-    laned = cards.withColumn("lane", F.coalesce(F.to_date("review_ts"), undated))
-    later = W.partitionBy(*keys).orderBy(F.desc("lane")).rowsBetween(W.unboundedPreceding, -1)
+    keys = (KEY, "list_kind")
+    order = (F.desc("review_ts"), F.col("review_id"))
+    if pages:
+        laned = cards.withColumn("lane", F.coalesce(F.to_date("review_ts"), F.to_date(F.lit("0001-01-01"))))
+        sequence = F.desc("lane")
+    else:
+        listed = cards.where(F.col(KEY).isNotNull() & F.col("list_kind").isNotNull())
+        laned = stored(listed.repartitionByRange(*keys, *order).withColumn("lane", F.spark_partition_id()), "newest")
+        sequence = F.col("lane")
+    before = W.partitionBy(*keys).orderBy(sequence).rowsBetween(W.unboundedPreceding, -1)
     days = laned.groupBy(*keys, "lane").agg(F.count("*").alias("n"))
-    days = days.select(*keys, "lane", F.coalesce(F.sum("n").over(later), F.lit(0)).alias("later"))
-    inside = W.partitionBy(*keys, "lane").orderBy(F.desc("review_ts"), F.col("review_id"))
+    days = days.select(*keys, "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("later"))
+    inside = W.partitionBy(*keys, "lane").orderBy(*order)
     if pages:
         k = pages * page_size
         days = days.where(F.col("later") < k)

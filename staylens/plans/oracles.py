@@ -344,6 +344,7 @@ SELECT page_id, sha256(split_part(url, '?', 1)) AS property_id, url AS property_
   strftime(TIMESTAMP '2025-09-10 15:31:07', '%Y-%m-%d %H:%M:%S') AS scrape_timestamp FROM pages""",
     "link_explode": f"WITH {_ANCHORS} SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM anchors",
     "page_elements": f"WITH {_ELEMENTS} SELECT page_id, selector, ordinal, text, attr FROM elements",
+    "selected_elements": f"WITH {_ELEMENTS} SELECT page_id, selector, ordinal, text, attr FROM elements",
     "link_fallback": _fallback_tags(),
     "link_fallback_rows": f"""
 WITH {_ELEMENTS},
@@ -427,6 +428,7 @@ SELECT o_orderkey AS property_id, CASE WHEN l_orderkey IS NOT NULL THEN o_totalp
   CASE WHEN l_orderkey IS NOT NULL THEN o_custkey END AS general_review_count
 FROM orders LEFT JOIN carded ON l_orderkey = o_orderkey""",
     "html_attributes": _HTML_ATTRIBUTES,
+    "selected_attributes": _HTML_ATTRIBUTES,
     "geo_lookup_join": f"""
 WITH {_PLACES},
 properties AS (

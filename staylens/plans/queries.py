@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from staylens import schemas
 from staylens.functions import rules as R
 from staylens.functions import text as X
+from staylens.functions.markup import select_elements
 from staylens.functions.workspace import scratch_dir, stored
 from staylens.operators import attributes as A
 from staylens.operators import crawl, elements, errors, links, location, prices, record, requests, runs, seen
@@ -91,6 +92,13 @@ def link_explode(spark, sf):
 
 @query
 def page_elements(spark, sf):
+    found = _t(spark, sf, "pages").select("page_id", F.inline(select_elements(F.col("html"), PAGE_RULES)))
+    return found.select("page_id", F.col("rule").alias("selector"), "ordinal", "text", "attr")
+
+
+@query
+def selected_elements(spark, sf):
+    """The same elements from stored rows of tags and texts, without a Python worker."""
     found = with_elements(_t(spark, sf, "pages").select("page_id", "html"), PAGE_RULES).select("page_id", F.inline("elements"))
     return found.select("page_id", F.col("rule").alias("selector"), "ordinal", "text", "attr")
 
@@ -103,7 +111,7 @@ def link_fallback(spark, sf):
 
 @query
 def link_fallback_rows(spark, sf):
-    rows = stored(page_elements(spark, sf), "elements")
+    rows = stored(selected_elements(spark, sf), "elements")
     rule = F.when(F.col("selector") == "absent", 1).when(F.col("selector") == "heading", 2).otherwise(3)
     low = F.when(F.col("page_id") % 2 == 0, rule).otherwise(4 - rule)
     kept = links.fallback_elements(rows.withColumn("rule_no", low), ["page_id"])
@@ -286,6 +294,13 @@ def html_attributes(spark, sf):
     return A.page_attributes(snapshots).drop("url", "readable")
 
 
+@query
+def selected_attributes(spark, sf):
+    """The same attributes from stored rows of tags and texts, without a Python worker."""
+    snapshots = D.property_snapshots(*_t(spark, sf, "pages", "part", "orders", "lineitem", "embeddings"))
+    return A.page_attributes(snapshots, built_in=True).drop("url", "readable")
+
+
 # --- location ------------------------------------------------------------------------------
 
 

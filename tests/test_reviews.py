@@ -171,6 +171,29 @@ def test_newest_k_over_days_and_undated_cards(spark):
     assert [r.review_id for r in V.newest_k(df, 1, 7).orderBy("seq").collect()] == want[:7]
 
 
+def test_a_list_without_dates_is_split(spark):
+    """Undated cards, and cards of one day, are ranked in ranges of their order, not in one task."""
+    small = "spark.sql.adaptive.coalescePartitions.enabled"  # small ranges are put together otherwise
+    spark.conf.set(small, "false")
+    try:
+        _list_without_dates(spark)
+    finally:
+        spark.conf.unset(small)
+
+
+def _list_without_dates(spark):
+    for times in ([None] * 3000, [T0 + dt.timedelta(seconds=n % 50) for n in range(3000)]):
+        rows = [("p", "ALL", t, n, None, None, "Scored 5", None, None) for n, t in enumerate(times)]
+        rows += [(None, "ALL", T0, 1, None, None, None, None, None), ("p", None, T0, 2, None, None, None, None, None)]
+        df = cards_df(spark, rows).repartition(5)
+        want = sorted(range(3000), key=lambda n: ((T0 - times[n]).total_seconds() if times[n] else 0, n))
+        found = V.newest_k(df)
+        assert [r.review_id for r in found.orderBy("seq").collect()] == want
+        assert [r.seq for r in found.orderBy("seq").collect()] == list(range(1, 3001))
+        stored_at = found.inputFiles()[0].rsplit("/", 1)[0]
+        assert spark.read.parquet(stored_at).groupBy("lane").count().agg(F.max("count")).first()[0] < 2000
+
+
 def test_nothing_is_capped_by_default(spark):
     """All 500 cards of each list enter the means; a cap has to be asked for."""
     rows = [card("p", k, n, f"Scored {n % 10}", "2025", "Couple") for k in ("ALL", "BUSINESS_TRAVELLERS") for n in range(500)]

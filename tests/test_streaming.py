@@ -78,8 +78,6 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
 
 
 def test_records_of_four_files_batch_by_batch(spark, tmp_path):
-    from staylens.operators.attributes import page_attributes
-
     page = '<span data-testid="breadcrumb-current"><span>Fes (Hotel {0})</span></span><div>Free • {0} Mbps</div>'
     rows = [(i, f"/hotel/{i}", page.format(i) if i % 5 else None) for i in range(20)]
     given = spark.createDataFrame(rows, schemas.PAGES)
@@ -87,7 +85,7 @@ def test_records_of_four_files_batch_by_batch(spark, tmp_path):
         given.where(F.col("page_id") % 4 == part).coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
     arriving = tables.stream(spark, f"{tmp_path}/in/*", given.schema, files_per_batch=1)
     out = f"{tmp_path}/out"
-    incremental.run_incremental(
+    I.run_incremental(
         arriving, lambda batch: page_attributes(batch, built_in=True), out, f"{tmp_path}/checkpoint", per_batch=True
     ).awaitTermination()
     found = spark.read.parquet(out)
