@@ -11,10 +11,13 @@ reaches the threshold.  Linked texts form classes.
 Document frequencies are counted over all documents into a table of fixed width.
 
 Work stays linear in the size of a group.  Equal texts are one node.  In a bucket every node
-is compared with a few hubs, not with every other, and in a second round with other hubs if
+is compared with one hub, not with every other, and in a second round with a few other hubs if
 they are not yet in one class.  Only where a bucket's nodes are then still in different
 classes, nodes of different classes are compared, by many more draws first, so that no link
 between different classes is lost.
+
+Rows that are dealt out are narrow: nodes are numbered, buckets hold numbers alone, a draw is
+kept as one byte, a further draw as one bit, and a text goes to the hub it is compared with.
 """
 
 from __future__ import annotations
@@ -23,7 +26,6 @@ import math
 import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +42,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at similarity 0.8 shares no band with probability 0.0002
 AGREEMENT = 20 / 36  # share of equal draws below which no text is compared; 0.8 is 3.7 deviations above
-FINE = 512  # further draws of the texts that are still apart after the rounds with hubs
-FINE_AGREEMENT = 0.8 - 3.5 * (0.8 * 0.2 / FINE) ** 0.5  # a pair at the threshold is below with probability 0.0002
+FINE = 512  # further draws, a bit of each, of the texts that are still apart after the rounds with hubs
 SPREAD = 0.25  # how much more than the most frequent shingle the rarest weighs
-STARS = 2  # rounds in which a bucket's nodes are compared with hubs
-HUB_HASHES = 3  # each gives a bucket two hubs
+HUB_HASHES = 3  # masks that order numbers anew; each gives a bucket two hubs
 WIDTH_BITS = 20  # of the document frequency table
 CHUNK = 4096  # bins of the table in one row while it is added up
 DRAW_BITS = 14  # of the tables of random variables
@@ -195,6 +195,11 @@ def draws(
     return owner[heads], picked
 
 
+def _folded(picked: np.ndarray, bits: int) -> np.ndarray:
+    """So many bits of each draw: equal for equal draws, and by chance for others."""
+    return (picked * np.uint32(2654435761)) >> np.uint32(32 - bits)
+
+
 def _signatures(idf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, n_draws = idf.value, BANDS * ROWS
@@ -217,7 +222,7 @@ def _signatures(idf):
                         part.column("doc_id"),
                         part.column("node"),
                         pa.array(mass, pa.float64()),
-                        pa.ListArray.from_arrays(ends * n_draws, pa.array(picked.ravel().view(np.int32))),
+                        pa.ListArray.from_arrays(ends * n_draws, pa.array(_folded(picked, 8).astype(np.uint8).ravel().view(np.int8))),
                         pa.ListArray.from_arrays(ends * BANDS, pa.array(keys.ravel().view(np.int64))),
                     ],
                     names=["doc_id", "node", "mass", "draws", "keys"],
@@ -232,10 +237,10 @@ def _fine_draws(idf):
             for first, last, owner, shingles in _groups(batch.column("text")):
                 owner, shingles, counts = _counted(owner, shingles)
                 having, picked = draws(owner, shingles, _weights(shingles, counts, idf.value), FINE, BANDS * ROWS)
-                nodes = batch.column("node").slice(first, last - first).take(pa.array(having))
-                ends = pa.array(np.arange(len(having) + 1, dtype=np.int32) * FINE)
-                fine = pa.ListArray.from_arrays(ends, pa.array(picked.ravel().view(np.int32)))
-                yield pa.RecordBatch.from_arrays([nodes, fine], names=["node", "fine"])
+                ids = batch.column("id").slice(first, last - first).take(pa.array(having))
+                ends = pa.array(np.arange(len(having) + 1, dtype=np.int32) * (FINE // 64))
+                fine = np.packbits(_folded(picked, 1).astype(np.uint8), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(ends, pa.array(fine.ravel()))], names=["id", "fine"])
 
     return run
 
@@ -268,7 +273,7 @@ class _Sets:
     def __init__(self, idf: np.ndarray):
         self.idf, self.held, self.size = idf, OrderedDict(), 0
 
-    def of(self, node: str, text: pa.Scalar) -> tuple:
+    def of(self, node: int, text: pa.Scalar) -> tuple:
         if node not in self.held:
             made = self.held[node] = weighted_set(text.as_py(), self.idf)
             self.size += len(made[0])
@@ -283,15 +288,15 @@ def _verified(idf, threshold: float):
         sets = _Sets(idf.value)
         for batch in batches:
             u, v, similar = [], [], []
-            nodes = (batch.column(c).to_pylist() for c in ("a", "b"))
-            for a, b, text, hub_text in zip(*nodes, batch.column("text"), batch.column("hub_text"), strict=True):
+            ids = (batch.column(c).to_pylist() for c in ("a", "b"))
+            for a, b, text, hub_text in zip(*ids, batch.column("text"), batch.column("hub_text"), strict=True):
                 similarity = weighted_jaccard(sets.of(a, text), sets.of(b, hub_text))
                 if similarity >= threshold:
                     u.append(a)
                     v.append(b)
                     similar.append(similarity)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(u, pa.string()), pa.array(v, pa.string()), pa.array(similar, pa.float64())], names=["u", "v", "similarity"]
+                [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(similar, pa.float64())], names=["u", "v", "similarity"]
             )
 
     return run
@@ -301,41 +306,62 @@ def _equal(one: str, other: str) -> Column:
     return F.size(F.filter(F.zip_with(F.col(one), F.col(other), lambda x, y: x == y), lambda same: same))
 
 
-def _promising(one: str, other: str, threshold: float) -> Column:
-    """Weights and draws allow the pair to reach the threshold."""
-    equal = _equal(f"{one}draws", f"{other}draws")
-    ma, mb = F.col(f"{one}mass"), F.col(f"{other}mass")
-    return (F.least(ma, mb) >= threshold * 0.999 * F.greatest(ma, mb)) & (equal >= round(AGREEMENT * BANDS * ROWS))
+def _promising(threshold: float) -> Column:
+    """Weights and draws of ``a_`` and ``b_`` allow the pair to reach the threshold."""
+    ma, mb = F.col("a_mass"), F.col("b_mass")
+    return (F.least(ma, mb) >= threshold * 0.999 * F.greatest(ma, mb)) & (_equal("a_draws", "b_draws") >= round(AGREEMENT * BANDS * ROWS))
+
+
+def _still_promising(threshold: float) -> Column:
+    """The bits of further draws allow it too; a pair at the threshold fails with probability 0.0002."""
+    same = (1 + threshold) / 2  # unlike draws have equal bits half the time
+    least = same - 3.5 * (same * (1 - same) / FINE) ** 0.5
+    differ = F.aggregate(F.zip_with("a_fine", "b_fine", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return differ <= int((1 - least) * FINE)
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and ``text`` of the wanted nodes, stored; texts that nobody wants are dropped at the scan, not shuffled."""
+    """``wanted``, with ``text``, stored; it has ``node`` and ``doc_id`` of the node's row to be read.
+
+    Other rows are dropped at the scan, copies of the text as well.
+    """
     wanted = stored(wanted, "wanted")
-    some = marked_rows(texts, "mark", wanted.select(F.xxhash64("node").alias("mark")))
-    chosen = some.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    return stored(chosen, "candidate-texts")
-
-
-def _links(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole texts are similar enough."""
-    pairs = stored(pairs.distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = _texts_of(texts, wanted)
-    joined = pairs.join(chosen.withColumnRenamed("node", "a"), "a").join(
-        chosen.select(F.col("node").alias("b"), F.col("text").alias("hub_text")), "b"
+    mark = F.xxhash64("node", "doc_id")
+    some = marked_rows(texts.withColumn("mark", mark), "mark", wanted.select(mark.alias("mark")))
+    some = some.groupBy("node").agg(F.first("text").alias("text"))
+    return stored(some.join(wanted.drop("doc_id"), "node").drop("node"), "candidate-texts")
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """The pairs of nodes (``a``, ``b``; no pair twice) whose whole texts are similar enough: ``u``, ``v``, ``similarity``.
+
+    A text is dealt to each ``b`` it is compared with; that one's text is there once.
+    """
+    sides = pairs.select(F.col("a").alias("id"), F.col("b").alias("with")).unionByName(
+        pairs.select(F.col("b").alias("id"), F.lit(None).cast("bigint").alias("with"))
     )
-    found = joined.select("a", "b", "text", "hub_text").mapInArrow(_verified(idf, threshold), "u string, v string, similarity double")
+    sides = sides.groupBy("id").agg(F.collect_list("with").alias("hubs"), F.max(F.col("with").isNull()).alias("is_hub"))
+    chosen = _texts_of(texts, nodes.select("id", "node", "doc_id").join(sides, "id"))
+    some = chosen.select(F.col("id").alias("a"), "text", F.explode("hubs").alias("b"))
+    hubs = chosen.where("is_hub").select(F.col("id").alias("b"), F.col("text").alias("hub_text"))
+    joined = some.join(hubs, "b").select("a", "b", "text", "hub_text")
+    found = joined.mapInArrow(_verified(idf, threshold), "u bigint, v bigint, similarity double")
     return stored(found, "links")
 
 
-def _open_members(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Members, with their classes, of the buckets that hold more than one class."""
-    if found is None:
-        return members.withColumn("root", F.col("node"))
-    told = members.join(found, "node", "left").select(*members.columns, F.coalesce("root", "node").alias("root"))
-    mark = F.xxhash64("root")
-    apart = told.groupBy("band", "key").agg(F.min(mark).alias("x"), F.max(mark).alias("y")).where("x <> y")
-    return told.join(apart.select("band", "key"), ["band", "key"])
+def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (``key``, ``id``), with their classes, of the buckets that hold more than one class."""
+    told = members.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
+    told = told.select("key", "id", F.coalesce("root", "id").alias("root"))
+    apart = told.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return stored(told.join(apart.select("key"), "key"), "open-buckets")
+
+
+def _drawn_pairs(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (``a``, ``b``, no pair twice) that weights and draws allow, with ``equal``, the number of equal draws."""
+    light = nodes.select("id", "mass", "draws")
+    joined = pairs.join(light.toDF("a", "a_mass", "a_draws"), "a").join(light.toDF("b", "b_mass", "b_draws"), "b")
+    return joined.where(_promising(threshold)).select("a", "b", _equal("a_draws", "b_draws").alias("equal"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -354,67 +380,57 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    base = base.withColumn("node", text_digest()).withColumn("mark", F.xxhash64("node"))
+    base = base.withColumn("node", text_digest())
     idf = spark.sparkContext.broadcast(document_frequencies(base))
-    kind = "doc_id bigint, node string, mass double, draws array<int>, keys array<bigint>"
+    kind = "doc_id bigint, node string, mass double, draws array<tinyint>, keys array<bigint>"
     rows = stored(base.select("doc_id", "node", "text").mapInArrow(_signatures(idf), kind), "signatures")
-    nodes = stored(
-        rows.groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("mass").alias("mass"), F.first("draws").alias("draws"), F.first("keys").alias("keys")
-        ),
-        "nodes",
-    )
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("mass", "draws", "keys")))
+    nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
 
-    members = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    light = nodes.select("node", "mass", "draws")
-    members = members.join(shared.select("band", "key"), ["band", "key"]).join(light, "node")
-    members = stored(members.select("band", "key", "node", "mass", "draws"), "buckets")
-    links, found = None, None
-    for turn in range(STARS):
-        told = _open_members(members, found)
-        hashes = {f"h{i}": F.xxhash64("node", F.lit(turn), F.lit(i)) for i in range(HUB_HASHES)}
-        told = told.withColumns(hashes)
-        ends = told.groupBy("band", "key").agg(*(f(h).alias(f"{n}_{h}") for h in hashes for n, f in (("lo", F.min), ("hi", F.max))))
-        is_hub = [F.col(h) == F.col(f"{n}_{h}") for h in hashes for n in ("lo", "hi")]
-        hubs = told.join(ends, ["band", "key"]).where(reduce(lambda x, y: x | y, is_hub))
-        hubs = hubs.select("band", "key", "node", "root", "mass", "draws").toDF("hub_band", "hub_key", "hub", "hub_root", "b_mass", "b_draws")
-        some = told.select("band", "key", "node", "root", "mass", "draws").toDF("band", "key", "node", "root", "a_mass", "a_draws")
-        here = (F.col("band") == F.col("hub_band")) & (F.col("key") == F.col("hub_key"))
-        pairs = some.join(hubs, here & (F.col("root") != F.col("hub_root")) & _promising("a_", "b_", threshold))
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        more = _links(pairs, base, idf, threshold)
-        links = more if links is None else links.unionByName(more)
-        found = stored(components(links), "components")
+    members = nodes.select("id", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top")
+    members = stored(members.join(shared.select("key", "hub"), "key"), "buckets")
 
-    # what is still apart in a bucket is compared across classes, each pair in its first common band
-    rest = _open_members(members, found).join(nodes.select("node", "keys"), "node")
-    rest = stored(rest.select("band", "key", "node", "root", "mass", "draws", "keys"), "open-buckets")
-    texts = _texts_of(base, rest.select("node").distinct())
-    fine = stored(texts.mapInArrow(_fine_draws(idf), "node string, fine array<int>"), "fine-draws")
-    rest = rest.join(fine, "node").select("band", "key", "node", "root", "mass", "draws", "keys", "fine")
-    one = rest.toDF("band", "key", "a", "a_root", "a_mass", "a_draws", "a_keys", "a_fine")
-    other = rest.toDF("other_band", "other_key", "b", "b_root", "b_mass", "b_draws", "b_keys", "b_fine")
-    met = F.exists(
-        F.zip_with(F.slice("a_keys", F.lit(1), F.col("band")), F.slice("b_keys", F.lit(1), F.col("band")), lambda x, y: x == y),
-        lambda same: same,
-    )
-    across = one.join(
-        other,
-        (F.col("band") == F.col("other_band"))
-        & (F.col("key") == F.col("other_key"))
-        & (F.col("a_root") < F.col("b_root"))
-        & _promising("a_", "b_", threshold)
-        & (_equal("a_fine", "b_fine") >= int((FINE_AGREEMENT + threshold - THRESHOLD) * FINE))
-        & ~met,
-    )
-    links = links.unionByName(_links(across.select("a", "b"), base, idf, threshold))
+    # every node with the likeliest of the least nodes of its buckets
+    pairs = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    best = _drawn_pairs(pairs, nodes, threshold).groupBy("a").agg(F.max(F.struct("equal", "b")).alias("best"))
+    links = _links(stored(best.select("a", "best.b"), "first-pairs"), nodes, base, idf, threshold)
     found = stored(components(links), "components")
 
-    classes = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("class_node"))
-    least = classes.groupBy("class_node").agg(F.min("doc_id").alias("class_id"))
-    classes = stored(classes.select("node", "class_node").join(least, "class_node"), "classes")
-    return rows.select("doc_id", "node").join(classes, "node"), links
+    # where a bucket's nodes are still apart, with a few other hubs
+    told = _open_members(members, found)
+    masks = [0x2545F4914F6CDD1D * (i + 1) % (1 << 63) for i in range(HUB_HASHES)]
+    hubs = [f(F.col("id").bitwiseXOR(F.lit(mask))).bitwiseXOR(F.lit(mask)) for mask in masks for f in (F.min, F.max)]
+    ends = told.groupBy("key").agg(F.array_distinct(F.array(*hubs)).alias("hubs"))
+    pairs = told.join(ends, "key").select(F.col("id").alias("a"), "root", F.explode("hubs").alias("b")).where("a <> b").distinct()
+    of_hub = pairs.join(found.toDF("b", "b_root"), "b", "left").where(F.col("root") != F.coalesce("b_root", "b"))
+    pairs = of_hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = stored(_drawn_pairs(pairs, nodes, threshold).select("a", "b"), "further-pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(_links(pairs, nodes, base, idf, threshold))
+        found = stored(components(links), "components")
+        told = _open_members(told, found)
+
+    # what is still apart in a bucket is compared across classes
+    texts = _texts_of(base, nodes.select("id", "node", "doc_id").join(told.select("id").distinct(), "id"))
+    fine = stored(texts.mapInArrow(_fine_draws(idf), "id bigint, fine array<bigint>"), "fine-draws")
+    rest = told.join(nodes.select("id", "mass", "draws").join(fine, "id"), "id").select("key", "id", "root", "mass", "draws", "fine")
+    one = rest.toDF("key", "a", "a_root", "a_mass", "a_draws", "a_fine")
+    other = rest.toDF("other_key", "b", "b_root", "b_mass", "b_draws", "b_fine")
+    here = (F.col("key") == F.col("other_key")) & (F.col("a_root") < F.col("b_root"))
+    across = one.join(other, here & _still_promising(threshold) & _promising(threshold)).select("a", "b").distinct()
+    across = stored(across, "pairs-across")
+    if not across.isEmpty():
+        links = links.unionByName(_links(across, nodes, base, idf, threshold))
+        found = stored(components(links), "components")
+
+    classes = nodes.join(found.toDF("id", "root"), "id", "left").select("node", "doc_id", "id", F.coalesce("root", "id").alias("root"))
+    least = classes.groupBy("root").agg(F.min("node").alias("class_node"), F.min("doc_id").alias("class_id"))
+    classes = stored(classes.join(least, "root").select("id", "node", "class_node", "class_id"), "classes")
+    names = classes.select("id", "node")
+    links = links.join(names.toDF("u", "one"), "u").join(names.toDF("v", "other"), "v")
+    links = links.select(F.least("one", "other").alias("u"), F.greatest("one", "other").alias("v"), "similarity")
+    return rows.select("doc_id", "node").join(classes.drop("id"), "node"), links
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -422,8 +438,7 @@ def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> Da
     classes, _ = near_duplicates(docs, threshold)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_node").agg(F.min("node").alias("node"))
     ids = classes.join(kept, ["class_node", "node"], "left_semi").where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    ids = ids.select(F.col("node").alias(unused(docs, "kept_node")), F.col("doc_id").alias(unused(docs, "kept_id"))).distinct()
-    key = unused(docs, "text_key")
-    rows = docs.withColumn(key, text_digest())
-    same = (F.col(key) == F.col(ids.columns[0])) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(ids.columns[1]))
-    return rows.join(ids, same, "left_semi").dropDuplicates([key]).drop(key)
+    key, kept_id = unused(docs, "text_key"), unused(docs, "kept_id")
+    ids = stored(ids.select(F.col("node").alias(key), F.col("doc_id").alias(kept_id)).distinct(), "kept")  # a row per class
+    rows = docs.withColumn(key, text_digest()).join(ids, key).where(F.col("doc_id").cast("bigint").eqNullSafe(F.col(kept_id)))
+    return rows.dropDuplicates([key]).drop(key, kept_id)

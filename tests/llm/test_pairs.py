@@ -15,7 +15,7 @@ from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from staylens.llm import alignment, fetch, hard_negatives, parity_join
+from staylens.llm import alignment, fetch, hard_negatives, near_dedup, parity_join
 from staylens.llm.oracles import ORACLES
 from staylens.llm.queries import QUERIES
 
@@ -343,3 +343,37 @@ def test_hard_negatives_of_odd_tables(spark):
     got = [tuple(r)[:6] for r in hard_negatives.hard_negatives(spark.createDataFrame(rows, kind)).collect()]
     # 0 is divisible by 7: its label becomes 2, so that 5 is its positive
     assert sorted(got) == [(0, 5, 1, 6, 58880, 32768), (0, 5, 2, 8, 58880, 26112)]
+
+
+def stored_tables(spark, name):
+    """Paths of the intermediate tables of a name."""
+    return {str(p) for p in Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob(f"{name}-*")}
+
+
+def test_rows_that_meet_in_buckets_are_narrow(spark):
+    """Near copies and exact copies in several tasks: buckets hold numbers, and one text of each node is fetched."""
+    texts = [" ".join(f"w{i}" for i in range(80)) + f" end{k % 3}" for k in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    before = {n: stored_tables(spark, n) for n in ("buckets", "candidate-texts")}
+    classes, links = near_dedup.near_duplicates(docs)
+    assert {r.class_id for r in classes.collect()} == {0}
+    digests = {hashlib.md5(t.encode()).hexdigest() for t in texts}
+    assert {x for r in links.collect() for x in (r.u, r.v)} == digests
+    buckets, *fetched = (stored_tables(spark, n) - old for n, old in before.items())
+    assert {f.dataType.simpleString() for p in buckets for f in spark.read.parquet(p).schema} == {"bigint"}
+    assert all(spark.read.parquet(p).count() <= 3 for p in fetched[0])
+    assert fetched[0]
+
+
+def test_bits_of_draws_keep_pairs_at_the_threshold(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(200):
+        one = rng.integers(0, 1 << 32, near_dedup.FINE, np.uint64).astype(np.uint32)
+        unlike = rng.integers(0, 1 << 32, near_dedup.FINE, np.uint64).astype(np.uint32)
+        other = np.where(rng.random(near_dedup.FINE) < (0.8 if k < 100 else 0.5), one, unlike)
+        packed = [np.packbits(near_dedup._folded(x[None], 1).astype(np.uint8), axis=1).view(np.int64)[0].tolist() for x in (one, other)]
+        rows.append((k, *packed))
+    told = spark.createDataFrame(rows, "k int, a_fine array<bigint>, b_fine array<bigint>")
+    kept = {r.k for r in told.where(near_dedup._still_promising(0.8)).collect()}
+    assert len(kept & set(range(100))) >= 98 and len(kept & set(range(100, 200))) <= 2
