@@ -18,7 +18,8 @@ lost, and unlike sets meet only by sharing the whole content of a word.
 Work stays linear in a group of like sets.  Equal sets are one node.  In a bucket all nodes are
 compared with the least; only where nodes of a bucket are then still in different classes, they
 are compared across classes.  Pairs pass the single-bit sketches first and are verified on the
-whole sets, which are made again from the texts of the nodes that are wanted.  A key that holds
+whole sets, which are made again where a pair is verified: a text, which is shorter than its set, is
+dealt to the hub it is compared with.  Nodes are numbered for pairs and classes.  A key that holds
 more than its share of all rows, seen in a sample, is split over many buckets whose least nodes
 are compared in turn.
 
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -243,11 +245,11 @@ def _like(percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (differ * (100 + percent) <= (a + b) * (100 - percent))
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: set[str] = set()
     for batch in batches:
-        nodes, sets = [], []
-        for _, shingles in shingle_sets(batch.column("text")):
+        nodes, places = [], []
+        for k, shingles in shingle_sets(batch.column("text")):
             node = _digest(shingles)
             if node in known:
                 continue
@@ -255,16 +257,29 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known.clear()
             known.add(node)
             nodes.append(node)
-            sets.append(shingles.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(sets, pa.binary())], names=["node", "set"])
+            places.append(k)
+        texts = batch.column("text").take(pa.array(places, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), texts.cast(pa.string())], names=["node", "text"])
+
+
+HELD_SHINGLES = 3_000_000  # of the sets that a task keeps at hand
 
 
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: OrderedDict[int, np.ndarray] = OrderedDict()
+        size = 0
         for batch in batches:
             u, v, both, either = [], [], [], []
-            for a, b, one, other in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_set", "b_set")), strict=True):
-                one, other = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+            pairs, hub_texts = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True), batch.column("hub_text")
+            for (k, one), (a, b) in zip(shingle_sets(batch.column("text")), pairs, strict=True):
+                if a not in held:
+                    held[a] = next(shingle_sets(hub_texts.slice(k, 1)))[1]
+                    size += len(held[a])
+                    while size > HELD_SHINGLES and len(held) > 1:
+                        size -= len(held.popitem(last=False)[1])
+                held.move_to_end(a)
+                other = held[a]
                 common = len(np.intersect1d(one, other, assume_unique=True))
                 union = len(one) + len(other) - common
                 if 100 * common >= percent * union:
@@ -272,29 +287,30 @@ def _verified(percent: int):
                     v.append(b)
                     both.append(common)
                     either.append(union)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(u, pa.string()), pa.array(v, pa.string()), pa.array(both, pa.int64()), pa.array(either, pa.int64())],
-                names=["u", "v", "common", "total"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (u, v, both, either)], names=["u", "v", "common", "total"])
 
     return run
 
 
 def _verify(pairs: DataFrame, base: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Of pairs of nodes (``a``, ``b``), those whose whole sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(nodes.join(wanted, "node", "left_semi").select("node", "text_hash"), "wanted")
-    sets = marked_rows(base, "text_hash", wanted).select("text").mapInArrow(_sets, "node string, set binary")
-    sets = sets.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
-    sets = stored(sets, "shingle-sets")
-    joined = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
-    found = joined.select("a", "b", "a_set", "b_set").mapInArrow(_verified(percent), "u string, v string, common bigint, total bigint")
-    return stored(found, "links")
+    """Of pairs of a hub ``a`` and a node ``b`` (no pair twice), those whose whole sets are similar enough."""
+    sides = pairs.select(F.col("b").alias("id"), F.col("a").alias("with")).unionByName(
+        pairs.select(F.col("a").alias("id"), F.lit(None).cast("bigint").alias("with"))
+    )
+    sides = sides.groupBy("id").agg(F.collect_list("with").alias("hubs"), F.max(F.col("with").isNull()).alias("is_hub"))
+    wanted = stored(nodes.select("id", "node", "text_hash").join(sides, "id"), "wanted")
+    texts = marked_rows(base, "text_hash", wanted).select("text").mapInArrow(_texts, "node string, text string")
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+    texts = stored(texts.join(wanted.drop("text_hash"), "node").drop("node"), "candidate-texts")
+    some = texts.select(F.col("id").alias("b"), "text", F.explode("hubs").alias("a"))
+    hubs = texts.where("is_hub").select(F.col("id").alias("a"), F.col("text").alias("hub_text"))
+    joined = some.join(hubs, "a").select("a", "b", "text", "hub_text")
+    return stored(joined.mapInArrow(_verified(percent), "u bigint, v bigint, common bigint, total bigint"), "links")
 
 
 def _named(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of marks (``a_mark``, ``b_mark``) as pairs of nodes whose whole sketches allow a link."""
-    side = nodes.select("mark", "node", "n", "sketch")
+    side = nodes.select("mark", "id", "n", "sketch")
     pairs = pairs.join(side.toDF("a_mark", "a", "a_n", "a_sketch"), "a_mark").join(side.toDF("b_mark", "b", "b_n", "b_sketch"), "b_mark")
     return pairs.where(_like(percent)).drop("a_mark", "b_mark", "a_n", "b_n", "a_sketch", "b_sketch")
 
@@ -318,13 +334,14 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
         F.min("text_hash").alias("text_hash"),
         F.min("doc_id").alias("doc_id"),
     )
-    nodes = stored(nodes, "nodes")
+    nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
 
     hot = spark.sparkContext.broadcast(_hot_keys(base, percent))
     bucket = Window.partitionBy("key", "part")
     dealt = base.select("text").mapInArrow(_bucketed(percent, hot), ROWS)
     dealt = dealt.withColumns({"hub": F.min("mark").over(bucket), "top": F.max("mark").over(bucket)})
-    members = stored(dealt.where("hub < top or part > 0").select("key", "part", "mark", "hub"), "buckets")
+    members = dealt.where("hub < top or part > 0").dropDuplicates(["key", "part", "mark"])  # copies met in other tasks
+    members = stored(members.select("key", "part", "mark", "hub"), "buckets")
 
     # every node with the least of its buckets, and the least of split buckets with the least of all
     hubs = members.where("part > 0").select("key", "hub").distinct()
@@ -350,12 +367,11 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
         found = stored(components(links), "components")
 
     # nodes of one key that are still in different classes are compared across classes
-    classes = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = stored(classes.select("node", "mark", "root", F.xxhash64("root").alias("class"), "n", "coarse", "doc_id"), "classes")
+    classes = nodes.join(found.toDF("id", "root"), "id", "left").withColumn("class", F.coalesce("root", "id"))
+    classes = stored(classes.select("mark", "class", "n", "coarse"), "classes")
     told = stored(members.select("key", "mark").join(classes.select("mark", "class"), "mark"), "bucket-classes")
     apart = told.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("key")
-    rest = told.join(apart, "key").join(classes.select("mark", "n", "coarse"), "mark").select("key", "mark", "class", "n", "coarse")
-    rest = rest.dropDuplicates(["key", "mark", "class"])
+    rest = told.join(apart, "key").join(classes, ["mark", "class"]).select("key", "mark", "class", "n", "coarse")
     one = rest.toDF("key", "a_mark", "a_class", "a_n", "a_sketch")
     other = rest.toDF("other_key", "b_mark", "b_class", "b_n", "b_sketch")
     across = one.join(other, (F.col("key") == F.col("other_key")) & (F.col("a_class") < F.col("b_class")) & _like(percent))
@@ -367,9 +383,13 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
         links = links.unionByName(_verify(across, base, nodes, percent))
         found = stored(components(links), "components")
 
-    told = nodes.select("node", "doc_id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    told = nodes.select("id", "node", "doc_id").join(found.toDF("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = told.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    told = stored(told.select("node", "root").join(least, "root").select("node", "component_id"), "class-ids")
+    told = stored(told.select("id", "node", "root").join(least, "root").select("id", "node", "component_id"), "class-ids")
+    links = links.join(told.select(F.col("id").alias("u"), F.col("node").alias("one")), "u")
+    links = links.join(told.select(F.col("id").alias("v"), F.col("node").alias("other")), "v")
+    links = links.select(F.col("one").alias("u"), F.col("other").alias("v"), "common", "total")
+    told = told.drop("id")
     ids = rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
     empty = ids.where("node is null").withColumn("component_id", F.col("doc_id"))
     return ids.join(told, "node").select(*empty.columns).unionByName(empty), links

@@ -377,3 +377,16 @@ def test_bits_of_draws_keep_pairs_at_the_threshold(spark):
     told = spark.createDataFrame(rows, "k int, a_fine array<bigint>, b_fine array<bigint>")
     kept = {r.k for r in told.where(near_dedup._still_promising(0.8)).collect()}
     assert len(kept & set(range(100))) >= 98 and len(kept & set(range(100, 200))) <= 2
+
+
+def test_copies_are_put_into_buckets_once(spark):
+    """Copies that different tasks read make no further rows, and texts are fetched in place of sets."""
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, text + (" end" if i % 5 == 0 else "")) for i in range(40)], "doc_id bigint, text string").repartition(4)
+    before = {n: stored_tables(spark, n) for n in ("buckets", "shingle-sets")}
+    out, _ = parity_join.jaccard_links(docs)
+    assert {r.component_id for r in out.collect()} == {0}
+    buckets, sets = (stored_tables(spark, n) - old for n, old in before.items())
+    assert not sets and len(buckets) == 1
+    told = spark.read.parquet(*buckets)
+    assert 0 < told.count() == told.distinct().count()
