@@ -659,35 +659,39 @@ def error_rows(spark, sf):
 # --- incremental ----------------------------------------------------------------------------------------
 
 
-def _finish(query):
-    query.awaitTermination()
+def _in_parts(rows, key, out, run):
+    """Rows arrive in four parts, one after the other; all tasks write a part, and ``run`` takes it as one batch."""
+    for part in range(BATCHES):
+        rows.where(F.col(key) % BATCHES == part).write.parquet(f"{out}/arrivals/part={part}")
+        run().awaitTermination()
 
 
 @query
 def stream_first_seen(spark, sf):
-    """Pages arrive in four files, one after the other, each a batch of its own."""
+    """Pages arrive in four parts, one after the other, each a batch of its own."""
     out = scratch_dir(spark, "first-seen")
-    pages = _t(spark, sf, "pages")
-    for part in range(BATCHES):
-        pages.where(F.col("page_id") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
-    arriving = D.links(tables.stream(spark, f"{out}/arrivals/*", schemas.PAGES, files_per_batch=1))
-    _finish(
-        incremental.write_batches(
+
+    def run():
+        arriving = D.links(tables.stream(spark, f"{out}/arrivals/*", schemas.PAGES))
+        return incremental.write_batches(
             incremental.first_seen_stream(arriving), f"{out}/rows", f"{out}/checkpoint", mode="update"
         )
-    )
+
+    _in_parts(_t(spark, sf, "pages"), "page_id", out, run)
     return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
 @query
 def batch_metrics(spark, sf):
-    """Orders arrive in four files; done and total are counted while each batch is written."""
+    """Orders arrive in four parts; done and total are counted while each batch is written."""
     out = scratch_dir(spark, "metrics")
     orders = _t(spark, sf, "orders")
-    for part in range(BATCHES):
-        orders.where(F.col("o_orderkey") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
-    arriving = tables.stream(spark, f"{out}/arrivals/*", orders.schema, files_per_batch=1)
-    _finish(incremental.metered_batches(arriving, f"{out}/rows", f"{out}/metrics", f"{out}/checkpoint", F.col("o_orderstatus") == "F"))
+
+    def run():
+        arriving = tables.stream(spark, f"{out}/arrivals/*", orders.schema)
+        return incremental.metered_batches(arriving, f"{out}/rows", f"{out}/metrics", f"{out}/checkpoint", F.col("o_orderstatus") == "F")
+
+    _in_parts(orders, "o_orderkey", out, run)
     return spark.read.parquet(f"{out}/metrics")
 
 
@@ -707,31 +711,32 @@ def seen_across_runs(spark, sf):
 
 @query
 def traveler_means_incremental(spark, sf):
-    """Events arrive in four files; partial sums of each are merged, the first two into a base."""
+    """Events arrive in four parts; partial sums of each are merged, the first two into a base."""
     out = scratch_dir(spark, "means")
     events = _t(spark, sf, "events")
-    for part in range(BATCHES):
-        events.where(F.col("event_id") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
-    arriving = D.review_cards(tables.stream(spark, f"{out}/arrivals/*", events.schema, files_per_batch=1))
-    _finish(means.means_stream(arriving, f"{out}/state", f"{out}/checkpoint", YEAR, compact_every=2))
+
+    def run():
+        arriving = D.review_cards(tables.stream(spark, f"{out}/arrivals/*", events.schema))
+        return means.means_stream(arriving, f"{out}/state", f"{out}/checkpoint", YEAR, compact_every=2)
+
+    _in_parts(events, "event_id", out, run)
     return V.traveler_record(means.state(spark, f"{out}/state"))
 
 
 @query
 def stream_records(spark, sf):
-    """Property pages arrive in four files; the records of each are flushed before the next is read."""
+    """Property pages arrive in four parts; the records of each are flushed before the next is read."""
     out = scratch_dir(spark, "records")
     pages = stored(D.property_snapshots(*_t(spark, sf, "pages", "part", "orders", "lineitem", "embeddings")), "snapshots")
-    for part in range(BATCHES):
-        pages.where(F.col("page_id") % BATCHES == part).coalesce(1).write.parquet(f"{out}/arrivals/part={part}")
-    arriving = tables.stream(spark, f"{out}/arrivals/*", pages.schema, files_per_batch=1)
-    _finish(
-        incremental.run_incremental(
-            arriving,
+
+    def run():
+        return incremental.run_incremental(
+            tables.stream(spark, f"{out}/arrivals/*", pages.schema),
             lambda batch: A.page_attributes(batch, built_in=True),
             f"{out}/rows",
             f"{out}/checkpoint",
             per_batch=True,
         )
-    )
+
+    _in_parts(pages, "page_id", out, run)
     return spark.read.parquet(f"{out}/rows").drop("batch_id", "url", "readable")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from staylens import schemas
 from staylens.operators.attributes import page_attributes
 from staylens.operators.links import first_seen
+from staylens.plans import queries
 from staylens.sources import tables
 from staylens.streaming import incremental as I
 
@@ -91,3 +92,19 @@ def test_records_of_four_files_batch_by_batch(spark, tmp_path):
     found = spark.read.parquet(out)
     assert sorted(r[0] for r in found.select("batch_id").distinct().collect()) == [0, 1, 2, 3]
     assert sorted(map(tuple, found.drop("batch_id").collect()), key=str) == sorted(map(tuple, page_attributes(given).collect()), key=str)
+
+
+def test_all_tasks_write_an_arriving_part(spark, tmp_path):
+    """A part is no single file that one task writes, and yet one batch."""
+    rows = spark.range(0, 800, 1, 8).withColumnRenamed("id", "page_id")
+    out = str(tmp_path)
+
+    def run():
+        arriving = tables.stream(spark, f"{out}/arrivals/*", rows.schema)
+        return I.write_batches(arriving, f"{out}/rows", f"{out}/checkpoint")
+
+    queries._in_parts(rows, "page_id", out, run)
+    assert len(list((tmp_path / "arrivals" / "part=0").glob("*.parquet"))) == 8
+    told = spark.read.parquet(f"{out}/rows").groupBy("batch_id").count().orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["count"]) for r in told] == [(k, 200) for k in range(queries.BATCHES)]
+    assert {r.page_id % 4 for r in spark.read.parquet(f"{out}/rows").where("batch_id = 1").collect()} == {1}
