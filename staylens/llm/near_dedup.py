@@ -14,10 +14,11 @@ Work stays linear in the size of a group.  Equal texts are one node.  In a bucke
 is compared with one hub, not with every other, and in a second round with a few other hubs if
 they are not yet in one class.  Only where a bucket's nodes are then still in different
 classes, nodes of different classes are compared, by many more draws first, so that no link
-between different classes is lost.
+between different classes is lost.  Two nodes are compared in one of the buckets they share, and a
+large bucket is cut into lanes, so that no task compares more than a lane with a bucket.
 
 Rows that are dealt out are narrow: nodes are numbered, buckets hold numbers alone, a draw is
-kept as one byte, a further draw as one bit, and a text goes to the hub it is compared with.
+kept as one byte, a further draw as four bits, and a text goes to the hub it is compared with.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import math
 import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at similarity 0.8 shares no band with probability 0.0002
 AGREEMENT = 20 / 36  # share of equal draws below which no text is compared; 0.8 is 3.7 deviations above
-FINE = 512  # further draws, a bit of each, of the texts that are still apart after the rounds with hubs
+FINE = 512  # further draws of the texts that are still apart after the rounds with hubs
+PLANES = 4  # bits of each further draw
+LANE = 512  # nodes of a bucket that one task compares with the whole bucket, about
 SPREAD = 0.25  # how much more than the most frequent shingle the rarest weighs
 HUB_HASHES = 3  # masks that order numbers anew; each gives a bucket two hubs
 WIDTH_BITS = 20  # of the document frequency table
@@ -231,6 +236,11 @@ def _signatures(idf):
     return run
 
 
+def _planes(side: str = "") -> list[str]:
+    """Columns of the bits of further draws, the first one first."""
+    return [f"{side}fine", *(f"{side}fine_{p}" for p in range(1, PLANES))]
+
+
 def _fine_draws(idf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,8 +249,10 @@ def _fine_draws(idf):
                 having, picked = draws(owner, shingles, _weights(shingles, counts, idf.value), FINE, BANDS * ROWS)
                 ids = batch.column("id").slice(first, last - first).take(pa.array(having))
                 ends = pa.array(np.arange(len(having) + 1, dtype=np.int32) * (FINE // 64))
-                fine = np.packbits(_folded(picked, 1).astype(np.uint8), axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(ends, pa.array(fine.ravel()))], names=["id", "fine"])
+                bits = _folded(picked, PLANES)
+                planes = [(bits >> np.uint32(PLANES - 1 - p) & np.uint32(1)).astype(np.uint8) for p in range(PLANES)]
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.packbits(p, axis=1).view(np.int64).ravel())) for p in planes]
+                yield pa.RecordBatch.from_arrays([ids, *lists], names=["id", *_planes()])
 
     return run
 
@@ -320,6 +332,44 @@ def _still_promising(threshold: float) -> Column:
     return differ <= int((1 - least) * FINE)
 
 
+def _finely_promising(threshold: float) -> Column:
+    """All bits of further draws allow it too, which tells more sharply; a pair at the threshold fails with probability 0.0001."""
+    same = threshold + (1 - threshold) / 2**PLANES
+    least = same - 3.7 * (same * (1 - same) / FINE) ** 0.5
+
+    def differ(i: int) -> Column:
+        planes = zip(_planes("a_"), _planes("b_"), strict=True)
+        return F.bit_count(reduce(Column.bitwiseOR, (F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i))) for x, y in planes)))
+
+    return reduce(add, map(differ, range(FINE // 64))) <= int((1 - least) * FINE)
+
+
+def _first_shared() -> Column:
+    """``key`` is the least of the buckets that ``a`` and ``b`` share."""
+    return F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")
+
+
+def _pairs_across(told: DataFrame, nodes: DataFrame, fine: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (``a``, ``b``, no pair twice) of nodes of different classes that share an open bucket and may be similar enough.
+
+    A pair that shares many buckets is taken from one of them: nodes of different classes leave all their
+    buckets open.  A node stands in one lane of its bucket on one side, and in all lanes on the other.
+    """
+    rest = told.join(nodes.select("id", "mass", "draws", "keys").join(fine, "id"), "id")
+    names = ("root", "mass", "draws", "keys", *_planes())
+    lanes = F.ceil(F.col("n") / LANE)
+
+    def side(name: str, lane: Column) -> list[Column]:
+        return ["key", lane.alias("lane"), F.col("id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in names)]
+
+    one = rest.select(*side("a", F.pmod(F.xxhash64("id"), lanes)))
+    other = rest.select(*side("b", F.explode(F.sequence(F.lit(0).cast("bigint"), lanes - 1))))
+    other = other.withColumnsRenamed({"key": "other_key", "lane": "other_lane"})
+    here = (F.col("key") == F.col("other_key")) & (F.col("lane") == F.col("other_lane")) & (F.col("a_root") < F.col("b_root"))
+    likely = _still_promising(threshold) & _finely_promising(threshold) & _promising(threshold)
+    return one.join(other, here & likely & _first_shared()).select("a", "b")
+
+
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted``, with ``text``, stored; it has ``node`` and ``doc_id`` of the node's row to be read.
 
@@ -350,11 +400,11 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshold:
 
 
 def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members (``key``, ``id``), with their classes, of the buckets that hold more than one class."""
+    """Members (``key``, ``id``), with their classes, of the buckets that hold more than one class; ``n`` is a bucket's size."""
     told = members.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
     told = told.select("key", "id", F.coalesce("root", "id").alias("root"))
-    apart = told.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    return stored(told.join(apart.select("key"), "key"), "open-buckets")
+    apart = told.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y")
+    return stored(told.join(apart.select("key", "n"), "key"), "open-buckets")
 
 
 def _drawn_pairs(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -387,7 +437,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("mass", "draws", "keys")))
     nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
 
-    members = nodes.select("id", F.explode("keys").alias("key"))
+    members = nodes.select("id", F.explode(F.array_distinct("keys")).alias("key"))
     shared = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top")
     members = stored(members.join(shared.select("key", "hub"), "key"), "buckets")
 
@@ -413,13 +463,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
 
     # what is still apart in a bucket is compared across classes
     texts = _texts_of(base, nodes.select("id", "node", "doc_id").join(told.select("id").distinct(), "id"))
-    fine = stored(texts.mapInArrow(_fine_draws(idf), "id bigint, fine array<bigint>"), "fine-draws")
-    rest = told.join(nodes.select("id", "mass", "draws").join(fine, "id"), "id").select("key", "id", "root", "mass", "draws", "fine")
-    one = rest.toDF("key", "a", "a_root", "a_mass", "a_draws", "a_fine")
-    other = rest.toDF("other_key", "b", "b_root", "b_mass", "b_draws", "b_fine")
-    here = (F.col("key") == F.col("other_key")) & (F.col("a_root") < F.col("b_root"))
-    across = one.join(other, here & _still_promising(threshold) & _promising(threshold)).select("a", "b").distinct()
-    across = stored(across, "pairs-across")
+    kind = ", ".join(["id bigint", *(f"{c} array<bigint>" for c in _planes())])
+    fine = stored(texts.mapInArrow(_fine_draws(idf), kind), "fine-draws")
+    across = stored(_pairs_across(told, nodes, fine, threshold), "pairs-across")
     if not across.isEmpty():
         links = links.unionByName(_links(across, nodes, base, idf, threshold))
         found = stored(components(links), "components")

@@ -390,3 +390,38 @@ def test_copies_are_put_into_buckets_once(spark):
     assert not sets and len(buckets) == 1
     told = spark.read.parquet(*buckets)
     assert 0 < told.count() == told.distinct().count()
+
+
+def test_nodes_of_different_classes_meet_once(spark, monkeypatch):
+    """Nodes that share all their buckets are compared in one of them, by lanes."""
+    monkeypatch.setattr(near_dedup, "LANE", 3)
+    n, planes = 20, [f"{c} array<bigint>" for c in near_dedup._planes()]
+    rng = np.random.default_rng(8)
+    bits = rng.integers(-(1 << 62), 1 << 62, (near_dedup.PLANES, near_dedup.FINE // 64))
+    nodes = spark.createDataFrame(
+        [(i, 1.0, [1] * 36, list(range(12))) for i in range(n)], "id bigint, mass double, draws array<tinyint>, keys array<bigint>"
+    )
+    told = spark.createDataFrame([(k, i, i % 10, n) for k in range(12) for i in range(n)], "key bigint, id bigint, root bigint, n bigint")
+    rows = [(i, *bits.tolist()) for i in range(n)]
+    fine = spark.createDataFrame(rows, ", ".join(["id bigint", *planes]))
+    got = [tuple(r) for r in near_dedup._pairs_across(told, nodes, fine, 0.8).collect()]
+    assert len(got) == len(set(got))
+    assert {tuple(sorted(p)) for p in got} == {(b, a) for a in range(n) for b in range(a) if a % 10 != b % 10}
+
+
+def test_all_bits_of_draws_keep_pairs_at_the_threshold(spark):
+    rng = np.random.default_rng(4)
+
+    def planes(x):
+        bits = near_dedup._folded(x[None], near_dedup.PLANES)
+        return [np.packbits((bits >> (near_dedup.PLANES - 1 - p) & 1).astype(np.uint8), axis=1).view(np.int64)[0].tolist() for p in range(near_dedup.PLANES)]
+
+    rows = []
+    for k in range(200):
+        one, unlike = rng.integers(0, 1 << 32, (2, near_dedup.FINE), np.uint64).astype(np.uint32)
+        other = np.where(rng.random(near_dedup.FINE) < (0.8 if k < 100 else 0.66), one, unlike)
+        rows.append((k, *planes(one), *planes(other)))
+    names = [*near_dedup._planes("a_"), *near_dedup._planes("b_")]
+    told = spark.createDataFrame(rows, ", ".join(["k int", *(f"{c} array<bigint>" for c in names)]))
+    kept = {r.k for r in told.where(near_dedup._finely_promising(0.8)).collect()}
+    assert len(kept & set(range(100))) >= 99 and len(kept & set(range(100, 200))) <= 3
