@@ -25,10 +25,8 @@ def drawn(key: str, share: Column | float) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) < F.lit(1_000_000) * share
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
-) -> tuple[list[str], list[int]]:
-    """Texts and labels of about ``rows`` labelled documents outside the held-out fold, in the order of their ids.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """``doc_id``, ``y``, ``text`` of about ``rows`` labelled documents outside the held-out fold.
 
     Labels that are NULL are left out; of several labels of an id the greatest counts, and of
     several texts of an id the least.  The draw is by a hash of the id, so that it does not
@@ -39,6 +37,12 @@ def labelled_sample(
     known = known.where(drawn("doc_id", rows / max(total, 1)))
     short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.char_length("text") <= chars)
     # about ``rows`` rows of two numbers, whatever the labels table holds
-    found = short.join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    found = found.orderBy("doc_id").select("text", "y").toPandas()
+    return short.join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
+) -> tuple[list[str], list[int]]:
+    """Texts and labels of ``labelled_rows``, in the order of their ids."""
+    found = labelled_rows(docs, labels, label, rows, chars).orderBy("doc_id").select("text", "y").toPandas()
     return found["text"].tolist(), found["y"].astype(int).tolist()

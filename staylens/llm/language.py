@@ -90,14 +90,26 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return np.log((1 + total) / (1 + table)).astype(np.float32) + np.float32(0.1)
 
 
-def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bins of a text and their weights, of unit length."""
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of a text and how often they occur, in numbers as short as they may be: many texts are held while weights are fitted."""
     counts = ngrams(text)
     bins = np.flatnonzero(counts)
-    values = (1 + np.log(counts[bins])) * idf[bins]
+    most = int(counts.max(initial=0))
+    return bins.astype(np.min_scalar_type(WIDTH - 1)), counts[bins].astype(np.min_scalar_type(most))
+
+
+def weighted(bins: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bins and their weights, of unit length."""
+    bins = bins.astype(np.int64)
+    values = (1 + np.log(counts.astype(float))) * idf[bins]
     return bins, values / max(np.sqrt((values**2).sum()), 1e-12)
 
 
+def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of a text and their weights, of unit length."""
+    return weighted(*counted(text), idf)
+
+
 def _softmax(margins: np.ndarray) -> np.ndarray:
     e = np.exp(margins - margins.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -133,7 +145,7 @@ def fit(
     model = Model(names, idf, np.zeros((WIDTH + 1, len(names)), np.float32))
     if not names:
         return model
-    vectors = [vector(t, idf) for t in texts]
+    held = [counted(t) for t in texts]
     target = np.array([names.index(x) for x in languages])
     order = np.random.default_rng(seed).permutation(len(texts))
     apart = order[: len(order) // 10]
@@ -141,7 +153,8 @@ def fit(
     n = np.zeros_like(z)
     for _ in range(epochs):
         for i in order[len(apart) :]:
-            bins, values = np.append(vectors[i][0], WIDTH), np.append(vectors[i][1], 1.0)
+            bins, values = weighted(*held[i], idf)
+            bins, values = np.append(bins, WIDTH), np.append(values, 1.0)
             zi, ni = z[bins], n[bins]
             w = np.where(np.abs(zi) > l1, (np.sign(zi) * l1 - zi) / ((smooth + np.sqrt(ni)) / rate + l2), 0.0)
             p = _softmax(values @ w)
@@ -153,7 +166,7 @@ def fit(
     weights = np.where(np.abs(z) > l1, (np.sign(z) * l1 - z) / ((smooth + np.sqrt(n)) / rate + l2), 0.0)
     model.weights = weights.astype(np.float32)
     if len(apart):
-        margins = np.stack([model.margins(*vectors[i]) for i in apart])
+        margins = np.stack([model.margins(*weighted(*held[i], idf)) for i in apart])
         grid = np.exp(np.linspace(np.log(0.05), np.log(5), 60))
         losses = [-np.log(_softmax(margins / t)[np.arange(len(apart)), target[apart]] + 1e-12).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(losses))])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.labels import SAMPLE_CHARS, SAMPLE_ROWS, held_out, labelled_sample
+from staylens.llm.labels import SAMPLE_CHARS, SAMPLE_ROWS, held_out, labelled_rows
 from staylens.llm.rows import columns_of
 from staylens.llm.words import shingle_hashes, text_buffer, word_hashes
 
@@ -164,9 +164,20 @@ def fit(
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Trees:
-    """Fit on about ``rows`` labelled documents of at most ``chars`` characters, never on held-out ones."""
-    texts, y = labelled_sample(docs, labels, "quality", rows, chars)
-    return fit(statistics(pa.array(texts, pa.large_string())), np.array(y))
+    """Fit on about ``rows`` labelled documents of at most ``chars`` characters, never on held-out ones.
+
+    Tasks compute the statistics, so that the driver gets numbers and no texts.
+    """
+
+    @F.arrow_udf("array<double>")
+    def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in batches:
+            ends = pa.array(np.arange(len(text) + 1, dtype=np.int32) * len(STATISTICS))
+            yield pa.ListArray.from_arrays(ends, pa.array(statistics(text).ravel(), pa.float64()))
+
+    found = labelled_rows(docs, labels, "quality", rows, chars)
+    found = found.select("doc_id", described("text").alias("x"), "y").orderBy("doc_id").select("x", "y").toPandas()
+    return fit(np.array(found["x"].tolist(), float).reshape(len(found), len(STATISTICS)), found["y"].to_numpy(int))
 
 
 def scored(docs: DataFrame, model: Trees) -> DataFrame:

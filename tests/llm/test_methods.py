@@ -28,6 +28,7 @@ from staylens.llm import (
     warc,
     words,
 )
+from staylens.llm.labels import labelled_sample
 from staylens.llm.oracles import ORACLES
 from staylens.llm.queries import QUERIES
 
@@ -521,3 +522,24 @@ def test_gzip_magic_inside_a_payload_starts_no_record():
     for cut in (1, 100, len(made[0]), len(data) // 2):
         parts = [p for a, b in ((0, cut), (cut, len(data))) for p, _ in warc.records_in_range(io.BytesIO(data), len(data), a, b)]
         assert parts == starts
+
+
+def test_classifiers_hold_no_whole_texts_on_the_driver(spark, monkeypatch):
+    """Quality: the driver gets statistics, the same as of the texts.  Language: counts of a text in short numbers."""
+    docs = spark.createDataFrame([(i, f"Word {i}. " * (i % 7) or None) for i in range(60)], "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    seen, given = [], []
+    whole = type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: seen.append(df.columns) or whole(df))
+    monkeypatch.setattr(quality, "fit", lambda x, y: given.append((x, y)))
+    quality.train(docs, labels)
+    assert seen and all("text" not in columns for columns in seen)
+    texts, y = labelled_sample(docs, labels, "quality")
+    assert (given[0][0] == quality.statistics(pa.array(texts, pa.large_string()))).all() and given[0][1].tolist() == y
+
+    text, idf = "some words of a text " * 9, np.linspace(0.5, 2, language.WIDTH).astype(np.float32)
+    bins, counts = language.counted(text)
+    assert bins.nbytes + counts.nbytes <= 4 * len(bins)
+    of_text = language.ngrams(text)
+    values = (1 + np.log(of_text[bins])) * idf[bins]
+    assert (language.vector(text, idf)[1] == values / np.sqrt((values**2).sum())).all()
