@@ -30,10 +30,17 @@ VALUE = r"""(?is)(?<![\w-]){}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 # --- fixed values: elements without an end tag
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 PAGE_END = (1 << 31) - 1
+TASK_CHARS = 8_000_000  # of pages whose tags one task holds in order, about
 TEXT = "#text"  # the tag of texts, where they are rows too
 RULES = "rule_no int, step int, tag string, attr string, op string, value string, wanted boolean, n_tests int, direct boolean, n_steps int"
 
 
+def dealt(rows: DataFrame, keys: Sequence[str], total: int | None, most: int) -> DataFrame:
+    """Rows dealt out by ``keys`` to tasks of about ``most`` of a ``total``, so that none grows with the input."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-(total or 0) // most))
+    return rows.repartition(tasks, *keys)
+
+
 def page_tags(views: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """``keys``, ``pos``, ``tag``, ``closing``, ``markup``: the tags of each page in order; comments and code hold none."""
     found = views.select(*keys, F.posexplode(F.regexp_extract_all(without_code(F.col(html)), F.lit(TAG), 0)).alias("pos", "markup"))
@@ -58,12 +65,13 @@ def elements(tags: DataFrame, keys: Sequence[str]) -> DataFrame:
     matched = kept.withColumn("level", level).withColumn("end", F.when(void, F.col("pos")).otherwise(F.coalesce(mate, F.lit(PAGE_END))))
     opened = matched.where(~F.col("closing")).drop("level", "closing")
     # depth: elements begun before and not ended yet; at one place ends come before starts
-    starts = opened.select(*keys, F.col("pos").alias("at"), F.when(void, 0).otherwise(1).alias("change"), "tag", "markup", "end")
+    start = F.struct(F.col("pos").alias("at"), F.when(void, 0).otherwise(1).alias("change"), "tag", "markup", "end")
     none = [F.lit(None).cast(opened.schema[c].dataType).alias(c) for c in ("tag", "markup", "end")]
-    ends = opened.where(~void & (F.col("end") < PAGE_END)).select(*keys, F.col("end").alias("at"), F.lit(-1).alias("change"), *none)
+    end = F.struct(F.col("end").alias("at"), F.lit(-1).alias("change"), *none)
+    events = F.when(~void & (F.col("end") < PAGE_END), F.array(start, end)).otherwise(F.array(start))
     order = W.partitionBy(*keys).orderBy("at", "change").rowsBetween(W.unboundedPreceding, -1)
     depth = F.coalesce(F.sum("change").over(order), F.lit(0))
-    nested = starts.unionByName(ends).withColumn("depth", depth).where("markup is not null").withColumnRenamed("at", "pos").drop("change")
+    nested = opened.select(*keys, F.inline(events)).withColumn("depth", depth).where("markup is not null").withColumnRenamed("at", "pos").drop("change")
     # an element at its own depth, looking for a parent, and one deeper, as a parent if it can be one
     placed = nested.select("*", F.explode(F.when(void, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("deeper")).withColumn("at_depth", F.col("depth") + F.col("deeper"))
     before = W.partitionBy(*keys, "at_depth").orderBy("pos", "deeper").rowsBetween(W.unboundedPreceding, -1)
@@ -110,7 +118,7 @@ def rule_hits(found: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFr
     fitting = met.groupBy(*keys, "pos", "rule_no", "step").agg(
         F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("end", "parent", "n_tests", "n_steps")), F.max("direct").alias("direct")
     )
-    fitting = fitting.where("n = n_tests").drop("n", "n_tests")
+    fitting = stored(fitting.where("n = n_tests").drop("n", "n_tests"), "rule-parts")  # read by each kind of rule
     last = fitting.where("step = n_steps - 1")
     single = last.where("n_steps = 1").select(*keys, "rule_no", "pos")
     outer = fitting.where("step = 0 and n_steps = 2")
@@ -123,7 +131,9 @@ def rule_hits(found: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFr
     so_far = W.partitionBy(*keys, "rule_no").orderBy("pos").rangeBetween(W.unboundedPreceding, -1)
     inside = both.withColumn("covered", F.max("reach").over(so_far)).where("reach is null and covered > pos")
     hits = single.unionByName(child.select(*keys, "rule_no", "pos")).unionByName(inside.select(*keys, "rule_no", "pos"))
-    return hits.join(found.select(*keys, "pos", "markup"), [*keys, "pos"])
+    ends = {r["tag"] for r in rules.where("step = n_steps - 1").select("tag").distinct().collect()}
+    last_tags = F.lit(True) if None in ends else F.col("tag").isin(*ends)
+    return hits.join(found.where(last_tags).select(*keys, "pos", "markup"), [*keys, "pos"])
 
 
 def rule_links(views: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = LINK_RULES) -> DataFrame:
@@ -132,7 +142,8 @@ def rule_links(views: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = LI
     As ``links.harvest_links``, without leaving the JVM: all links of the winning rule are given,
     usable or not; a match without ``href`` has the href NULL.
     """
-    found = stored(elements(page_tags(views, keys), keys), "elements")
+    chars = views.agg(F.sum(F.char_length("html").cast("bigint"))).first()[0]
+    found = stored(elements(dealt(page_tags(views, keys), keys, chars, TASK_CHARS), keys), "elements")
     hits = stored(rule_hits(found, rule_table(views.sparkSession, rules), keys), "rule-hits")
     won = fallback_elements(hits, keys)
     place = F.row_number().over(W.partitionBy(*keys).orderBy("pos")) - 1

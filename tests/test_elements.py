@@ -86,3 +86,16 @@ def test_no_python_worker(spark):
 def test_empty_table(spark):
     none = views(spark, PAGES).where(F.lit(False))
     assert E.rule_links(none, KEYS).count() == 0
+
+
+def test_tasks_hold_a_bounded_part_and_tags_are_read_once(spark, monkeypatch):
+    """More pages are dealt to more tasks, and nesting reads the tags of a page once."""
+    pages = views(spark, PAGES)
+    tags = E.page_tags(pages, KEYS)
+    least = spark.sparkContext.defaultParallelism
+    assert [E.dealt(tags, KEYS, total, 100).rdd.getNumPartitions() for total in (None, 100, 10_050)] == [least, least, max(least, 101)]
+    plan = E.elements(tags, KEYS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("regexp_extract_all") == 1
+    whole = sorted(map(tuple, E.rule_links(pages, KEYS).collect()))
+    monkeypatch.setattr(E, "TASK_CHARS", 50)
+    assert sorted(map(tuple, E.rule_links(pages, KEYS).collect())) == whole
