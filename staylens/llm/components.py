@@ -19,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round links every node to the least neighbour it knows (large star, then small
     star), so that the number of rounds grows with the logarithm of the component's size.
     Rounds are written to the shared folder.  A node with very many neighbours is reduced by a
-    minimum with map-side combine, and the joins are ones whose large side Spark can split.
+    minimum with map-side combine, and the joins are ones whose large side Spark can split.  No side is
+    broadcast: that would take every round through the driver.
     """
     now = edges.where(F.col("u") != F.col("v"))
     now = stored(
@@ -29,10 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(least.hint("merge"), "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(
             small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         )

@@ -17,6 +17,7 @@ classes, nodes of different classes are compared, by many more draws first, so t
 between different classes is lost.  Two nodes are compared in one of the buckets they share, and a
 large bucket is cut into lanes, so that no task compares more than a lane with a bucket.
 
+Joins of the rounds are merge joins: broadcast, their sides would go through the driver, texts among them.
 Rows that are dealt out are narrow: nodes are numbered, buckets hold numbers alone, a draw is
 kept as one byte, a further draw as four bits, and a text goes to the hub it is compared with.
 """
@@ -379,7 +380,7 @@ def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     mark = F.xxhash64("node", "doc_id")
     some = marked_rows(texts.withColumn("mark", mark), "mark", wanted.select(mark.alias("mark")))
     some = some.groupBy("node").agg(F.first("text").alias("text"))
-    return stored(some.join(wanted.drop("doc_id"), "node").drop("node"), "candidate-texts")
+    return stored(some.join(wanted.drop("doc_id").hint("merge"), "node").drop("node"), "candidate-texts")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -394,23 +395,23 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshold:
     chosen = _texts_of(texts, nodes.select("id", "node", "doc_id").join(sides, "id"))
     some = chosen.select(F.col("id").alias("a"), "text", F.explode("hubs").alias("b"))
     hubs = chosen.where("is_hub").select(F.col("id").alias("b"), F.col("text").alias("hub_text"))
-    joined = some.join(hubs, "b").select("a", "b", "text", "hub_text")
+    joined = some.join(hubs.hint("merge"), "b").select("a", "b", "text", "hub_text")
     found = joined.mapInArrow(_verified(idf, threshold), "u bigint, v bigint, similarity double")
     return stored(found, "links")
 
 
 def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members (``key``, ``id``), with their classes, of the buckets that hold more than one class; ``n`` is a bucket's size."""
-    told = members.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
+    told = members.select("key", "id").join(found.withColumnRenamed("node", "id").hint("merge"), "id", "left")
     told = told.select("key", "id", F.coalesce("root", "id").alias("root"))
     apart = told.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y")
-    return stored(told.join(apart.select("key", "n"), "key"), "open-buckets")
+    return stored(told.join(apart.select("key", "n").hint("merge"), "key"), "open-buckets")
 
 
 def _drawn_pairs(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs (``a``, ``b``, no pair twice) that weights and draws allow, with ``equal``, the number of equal draws."""
     light = nodes.select("id", "mass", "draws")
-    joined = pairs.join(light.toDF("a", "a_mass", "a_draws"), "a").join(light.toDF("b", "b_mass", "b_draws"), "b")
+    joined = pairs.join(light.toDF("a", "a_mass", "a_draws").hint("merge"), "a").join(light.toDF("b", "b_mass", "b_draws").hint("merge"), "b")
     return joined.where(_promising(threshold)).select("a", "b", _equal("a_draws", "b_draws").alias("equal"))
 
 
@@ -452,8 +453,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     masks = [0x2545F4914F6CDD1D * (i + 1) % (1 << 63) for i in range(HUB_HASHES)]
     hubs = [f(F.col("id").bitwiseXOR(F.lit(mask))).bitwiseXOR(F.lit(mask)) for mask in masks for f in (F.min, F.max)]
     ends = told.groupBy("key").agg(F.array_distinct(F.array(*hubs)).alias("hubs"))
-    pairs = told.join(ends, "key").select(F.col("id").alias("a"), "root", F.explode("hubs").alias("b")).where("a <> b").distinct()
-    of_hub = pairs.join(found.toDF("b", "b_root"), "b", "left").where(F.col("root") != F.coalesce("b_root", "b"))
+    pairs = told.join(ends.hint("merge"), "key").select(F.col("id").alias("a"), "root", F.explode("hubs").alias("b")).where("a <> b").distinct()
+    of_hub = pairs.join(found.toDF("b", "b_root").hint("merge"), "b", "left").where(F.col("root") != F.coalesce("b_root", "b"))
     pairs = of_hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = stored(_drawn_pairs(pairs, nodes, threshold).select("a", "b"), "further-pairs")
     if not pairs.isEmpty():

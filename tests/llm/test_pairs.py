@@ -15,7 +15,7 @@ from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from staylens.llm import alignment, fetch, hard_negatives, near_dedup, parity_join
+from staylens.llm import alignment, components, fetch, hard_negatives, near_dedup, parity_join
 from staylens.llm.oracles import ORACLES
 from staylens.llm.queries import QUERIES
 
@@ -425,3 +425,26 @@ def test_all_bits_of_draws_keep_pairs_at_the_threshold(spark):
     told = spark.createDataFrame(rows, ", ".join(["k int", *(f"{c} array<bigint>" for c in names)]))
     kept = {r.k for r in told.where(near_dedup._finely_promising(0.8)).collect()}
     assert len(kept & set(range(100))) >= 99 and len(kept & set(range(100, 200))) <= 3
+
+
+def test_rounds_broadcast_nothing(spark, monkeypatch):
+    """No side of a round of near-dedup or of components goes through the driver, however small; marks and results apart."""
+    plans = []
+
+    def keep(module):
+        write = module.stored
+
+        def stored(df, name):
+            plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+            return write(df, name)
+
+        monkeypatch.setattr(module, "stored", stored)
+
+    keep(near_dedup)
+    keep(components)
+    texts = [" ".join(f"w{i}" for i in range(80)) + f" end{k % 3}" for k in range(12)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    assert {r.class_id for r in near_dedup.near_duplicates(docs)[0].collect()} == {0}
+    rounds = {"edges", "links", "open-buckets", "first-pairs", "further-pairs"}
+    assert rounds <= {name for name, _ in plans}
+    assert not [name for name, plan in plans if name in rounds and "Broadcast" in plan]
