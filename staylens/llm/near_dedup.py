@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
-from staylens.llm.components import components
+from staylens.llm.components import flattened, merged
 from staylens.llm.fetch import marked_rows
 from staylens.llm.rows import text_digest, unused
 from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
@@ -403,7 +403,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshold:
 def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members (``key``, ``id``), with their classes, of the buckets that hold more than one class; ``n`` is a bucket's size."""
     told = members.select("key", "id").join(found.withColumnRenamed("node", "id").hint("merge"), "id", "left")
-    told = told.select("key", "id", F.coalesce("root", "id").alias("root"))
+    told = stored(told.select("key", "id", F.coalesce("root", "id").alias("root")), "bucket-classes")
     apart = told.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y")
     return stored(told.join(apart.select("key", "n").hint("merge"), "key"), "open-buckets")
 
@@ -443,23 +443,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     members = stored(members.join(shared.select("key", "hub"), "key"), "buckets")
 
     # every node with the likeliest of the least nodes of its buckets
-    pairs = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    hubs = members.where("id <> hub").groupBy(F.col("id").alias("a")).agg(F.collect_set("hub").alias("hubs"))  # a bucket of each band at most
+    pairs = hubs.select("a", F.explode("hubs").alias("b"))
     best = _drawn_pairs(pairs, nodes, threshold).groupBy("a").agg(F.max(F.struct("equal", "b")).alias("best"))
     links = _links(stored(best.select("a", "best.b"), "first-pairs"), nodes, base, idf, threshold)
-    found = stored(components(links), "components")
+    found = flattened(links.select(F.col("u").alias("node"), F.col("v").alias("root")))  # a node has one hub, which is less
 
     # where a bucket's nodes are still apart, with a few other hubs
     told = _open_members(members, found)
     masks = [0x2545F4914F6CDD1D * (i + 1) % (1 << 63) for i in range(HUB_HASHES)]
-    hubs = [f(F.col("id").bitwiseXOR(F.lit(mask))).bitwiseXOR(F.lit(mask)) for mask in masks for f in (F.min, F.max)]
-    ends = told.groupBy("key").agg(F.array_distinct(F.array(*hubs)).alias("hubs"))
-    pairs = told.join(ends.hint("merge"), "key").select(F.col("id").alias("a"), "root", F.explode("hubs").alias("b")).where("a <> b").distinct()
-    of_hub = pairs.join(found.toDF("b", "b_root").hint("merge"), "b", "left").where(F.col("root") != F.coalesce("b_root", "b"))
-    pairs = of_hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    hubs = [f(F.struct(F.col("id").bitwiseXOR(F.lit(mask)), "id", "root")) for mask in masks for f in (F.min, F.max)]
+    ends = told.groupBy("key").agg(F.array_distinct(F.array(*(F.struct(h["id"].alias("id"), h["root"].alias("root")) for h in hubs))).alias("hubs"))
+    pairs = told.join(ends.hint("merge"), "key").select("id", "root", F.explode("hubs").alias("hub")).where("root <> hub.root")
+    pairs = pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
     pairs = stored(_drawn_pairs(pairs, nodes, threshold).select("a", "b"), "further-pairs")
     if not pairs.isEmpty():
-        links = links.unionByName(_links(pairs, nodes, base, idf, threshold))
-        found = stored(components(links), "components")
+        further = _links(pairs, nodes, base, idf, threshold)
+        links, found = links.unionByName(further), merged(further, found)
         told = _open_members(told, found)
 
     # what is still apart in a bucket is compared across classes
@@ -468,8 +468,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     fine = stored(texts.mapInArrow(_fine_draws(idf), kind), "fine-draws")
     across = stored(_pairs_across(told, nodes, fine, threshold), "pairs-across")
     if not across.isEmpty():
-        links = links.unionByName(_links(across, nodes, base, idf, threshold))
-        found = stored(components(links), "components")
+        further = _links(across, nodes, base, idf, threshold)
+        links, found = links.unionByName(further), merged(further, found)
 
     classes = nodes.join(found.toDF("id", "root"), "id", "left").select("node", "doc_id", "id", F.coalesce("root", "id").alias("root"))
     least = classes.groupBy("root").agg(F.min("node").alias("class_node"), F.min("doc_id").alias("class_id"))

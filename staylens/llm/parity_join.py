@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
-from staylens.llm.components import components
+from staylens.llm.components import merged
 from staylens.llm.fetch import marked_rows
 from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
 
@@ -358,13 +358,13 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     # first the hub that a node meets most often, then what hubs are left in other classes
     best = pairs.groupBy("b").agg(F.max(F.struct("met", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
     links = _verify(stored(best, "first-pairs"), base, nodes, percent)
-    found = stored(components(links), "components")
+    found = merged(links)
     left = pairs.join(found.toDF("a", "a_root"), "a", "left").join(found.toDF("b", "b_root"), "b", "left")
     left = left.where(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b")
     left = stored(left.join(best, ["a", "b"], "left_anti"), "further-pairs")
     if not left.isEmpty():
-        links = links.unionByName(_verify(left, base, nodes, percent))
-        found = stored(components(links), "components")
+        further = _verify(left, base, nodes, percent)
+        links, found = links.unionByName(further), merged(further, found)
 
     # nodes of one key that are still in different classes are compared across classes
     classes = nodes.join(found.toDF("id", "root"), "id", "left").withColumn("class", F.coalesce("root", "id"))
@@ -380,8 +380,8 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     compared = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     across = stored(across.join(compared, ["a", "b"], "left_anti"), "pairs-across")
     if not across.isEmpty():
-        links = links.unionByName(_verify(across, base, nodes, percent))
-        found = stored(components(links), "components")
+        further = _verify(across, base, nodes, percent)
+        links, found = links.unionByName(further), merged(further, found)
 
     told = nodes.select("id", "node", "doc_id").join(found.toDF("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = told.groupBy("root").agg(F.min("doc_id").alias("component_id"))

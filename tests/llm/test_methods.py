@@ -85,6 +85,42 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "u string, v string")).count() == 0
 
 
+def test_components_of_two_edge_tables(spark):
+    """Classes that are found already, and further edges among their roots, members and new nodes."""
+    rng, kind = random.Random(6), "u bigint, v bigint"
+    first, more = ([(rng.randrange(300), rng.randrange(300)) for _ in range(n)] for n in (150, 60))
+    root = list(range(300))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    found = None
+    for edges in (first, more, more[:5]):
+        for u, v in edges:
+            root[max(top(u), top(v))] = min(top(u), top(v))
+        found = components.merged(spark.createDataFrame(edges, kind).repartition(5), found)
+        assert sorted((r.node, r.root) for r in found.collect()) == [(x, top(x)) for x in range(300) if top(x) != x]
+    chain = spark.createDataFrame([(x + 1, x) for x in range(100)] + [(200, 150)], "node bigint, root bigint")
+    got = {r.node: r.root for r in components.flattened(chain.repartition(3)).collect()}
+    assert got == {**{x + 1: 0 for x in range(100)}, 200: 150}
+
+
+def test_components_take_few_shuffles(spark, monkeypatch):
+    """Each shuffle is a stage of as many tasks as there are shuffle partitions, of which the driver keeps books, however few edges."""
+    plans, write = [], components.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(components, "stored", stored)
+    star = spark.createDataFrame([(x, 0) for x in range(1, 200)], "u bigint, v bigint").repartition(4)
+    assert components.components(star).count() == 200
+    assert sum(p.count("Exchange hashpartitioning") for p in plans) <= 8
+
+
 def test_draws_agree_as_often_as_weights_overlap():
     rng = np.random.default_rng(1)
     shingles = np.sort(rng.integers(1, 1 << 48, 80, dtype=np.uint64))
