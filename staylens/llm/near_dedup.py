@@ -483,9 +483,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class: the one with the least id, all columns as they were."""
     classes, _ = near_duplicates(docs, threshold)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_node").agg(F.min("node").alias("node"))
-    ids = classes.join(kept, ["class_node", "node"], "left_semi").where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     key, kept_id = unused(docs, "text_key"), unused(docs, "kept_id")
-    ids = stored(ids.select(F.col("node").alias(key), F.col("doc_id").alias(kept_id)).distinct(), "kept")  # a row per class
+    least = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_node")
+    ids = stored(least.agg(F.min("node").alias(key), F.first("class_id").alias(kept_id)).drop("class_node"), "kept")  # a row per class
     rows = docs.withColumn(key, text_digest()).join(ids, key).where(F.col("doc_id").cast("bigint").eqNullSafe(F.col(kept_id)))
     return rows.dropDuplicates([key]).drop(key, kept_id)

@@ -121,6 +121,22 @@ def test_components_take_few_shuffles(spark, monkeypatch):
     assert sum(p.count("Exchange hashpartitioning") for p in plans) <= 8
 
 
+def test_kept_documents_take_one_pass_over_classes(spark, monkeypatch):
+    """Ids that repeat or are NULL, in classes of several texts: one row a class is kept, by one join of rows with classes."""
+    plans, write = {}, near_dedup.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(near_dedup, "stored", stored)
+    long = " ".join(f"w{i}" for i in range(90))
+    rows = [(7, long), (3, f"{long} end"), (3, f"{long} close"), (None, long), (None, "alone here"), (None, "alone here"), (5, None), (4, "")]
+    kept = near_dedup.without_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in kept) == [(0, "alone"), (3, "w0 w1"), (4, "")]
+    assert plans["kept"].count("Join") == 1
+
+
 def test_draws_agree_as_often_as_weights_overlap():
     rng = np.random.default_rng(1)
     shingles = np.sort(rng.integers(1, 1 << 48, 80, dtype=np.uint64))
