@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
-from staylens.llm.rows import text_digest, unused
+from staylens.llm.fetch import with_marks
+from staylens.llm.rows import columns_of, small_batches, text_digest, unused
 from staylens.llm.words import text_buffer, word_hashes
 
 WINDOW = 13
@@ -80,6 +81,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     NULL texts have no words.  Rows that repeat and NULL ids are kept: a document is known by
     its ``run`` and its ordinal there.  An empty table gives an empty index.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest().alias("digest")
     )
@@ -295,12 +297,21 @@ def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The documents that are not contaminated, all columns as they were."""
+    """The documents that are not contaminated, all columns as they were.
+
+    Only rows that marks of the contaminated ones let pass are joined with them, so that most texts
+    stay where they are read and are neither shuffled nor sorted.
+    """
     found = contamination(build_index(docs), items, size).where("contaminated")
     found = found.select(
         F.col("digest").alias(unused(docs, "bad_text")), F.col("doc_id").alias(unused(docs, "bad_id"))
     ).distinct()
-    key = unused(docs, "text_key")
+    found = stored(found, "contaminated")
+    key, mark = unused(docs, "text_key"), unused(docs, "mark")
     bad_text, bad_id = found.columns
+    keyed = docs.withColumn(key, text_digest()).withColumn(mark, F.xxhash64(key, F.col("doc_id").cast("bigint")))
+    told = unused(keyed, "marked")
+    keyed = with_marks(keyed, mark, found.select(F.xxhash64(bad_text, bad_id).alias(mark)), told)
     same = (F.col(key) == F.col(bad_text)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(bad_id))
-    return docs.withColumn(key, text_digest()).join(found, same, "left_anti").drop(key)
+    clear, suspect = keyed.where(~F.col(told)), keyed.where(told).join(found, same, "left_anti")
+    return clear.unionByName(suspect).select(*columns_of(docs))

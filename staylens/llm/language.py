@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm.labels import SAMPLE_CHARS, drawn, held_out, learnable
-from staylens.llm.rows import columns_of
+from staylens.llm.rows import columns_of, small_batches, unused
 
 BITS = 16
 WIDTH = 1 << BITS
@@ -180,6 +180,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, chars: int = SAMPLE
     of a language and ``SAMPLE`` in all, of at most ``chars`` characters.  NULL texts and languages teach nothing.
     Every value of ``lang`` is learnt; each takes about a megabyte of the driver while weights are fitted.
     """
+    small_batches(docs.sparkSession)
     known = docs.where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     idf = inverse_frequencies(known)
     short = known.where(F.char_length("text") <= chars)
@@ -194,12 +195,13 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, chars: int = SAMPLE
     return fit(sample["text"].tolist(), sample["lang"].tolist(), idf)
 
 
-def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """Add ``language``: ``lang_pred`` and ``score`` of the whole text, in place and without a shuffle.
+def identified(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
+    """Add the column ``name``: ``lang_pred`` and ``score`` of the whole text, in place and without a shuffle.
 
     Only ``text`` is read.  NULL texts and texts without a letter are ``und`` with score 0.  A
-    column ``language`` of the input is replaced; other columns are kept.
+    column of that name in the input is replaced; other columns are kept.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
@@ -211,13 +213,15 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
                 names=["lang_pred", "score"],
             )
 
-    return docs.withColumn("language", predict(F.col("text").cast("string")))
+    return docs.withColumn(name, predict(F.col("text").cast("string")))
 
 
 def accepted(docs: DataFrame, model: Model, least: float = CERTAIN) -> DataFrame:
     """The documents in a learnt language, with a score of ``least`` or more, all columns as they were."""
-    rows = identified(docs.select(F.struct(*columns_of(docs)).alias("row"), "text"), model)
-    return rows.where((F.col("language.lang_pred") != UNKNOWN) & (F.col("language.score") >= least)).select("row.*")
+    name = unused(docs, "language")  # beside the columns, so that a row that waits for its result has its text once
+    found = F.col(name)
+    rows = identified(docs, model, name)
+    return rows.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least)).select(*columns_of(docs))
 
 
 def predictions(docs: DataFrame) -> DataFrame:

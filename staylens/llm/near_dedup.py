@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from staylens.functions.workspace import stored
 from staylens.llm.components import flattened, merged
 from staylens.llm.fetch import marked_rows
-from staylens.llm.rows import text_digest, unused
+from staylens.llm.rows import small_batches, text_digest, unused
 from staylens.llm.words import mix, shingle_hashes, text_buffer, word_hashes
 
 SHINGLE = 5
@@ -428,6 +428,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     if threshold < THRESHOLD:
         raise ValueError(f"bands and filters are laid out for similarities of {THRESHOLD} and more")
     spark = docs.sparkSession
+    small_batches(spark)
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.workspace import stored
-from staylens.llm.rows import text_digest
+from staylens.llm.rows import small_batches, text_digest
 
 CAPACITY = 2048
 END = 1  # id after each document
@@ -406,6 +406,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, rounds: int = ROU
     gaps: those of remainders first, then the full ones.  A text of any length is tokenized whole in
     one task, which then holds its ids; its full sequences are placed like all others.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("text_key", text_digest())

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm.labels import SAMPLE_CHARS, SAMPLE_ROWS, held_out, labelled_rows
-from staylens.llm.rows import columns_of
+from staylens.llm.rows import columns_of, small_batches, unused
 from staylens.llm.words import shingle_hashes, text_buffer, word_hashes
 
 ACCEPTED = 0.3
@@ -59,8 +59,7 @@ def _distinct(owner: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray
 def statistics(column: pa.Array) -> np.ndarray:
     """One row of ``STATISTICS`` per text, computed over the whole text; NULL counts as empty."""
     data, offsets = text_buffer(column)
-    texts = column.to_pylist()
-    n, first = len(texts), 0
+    n, first = len(column), 0
     out = np.zeros((n, len(STATISTICS)))
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + GROUP_BYTES, "right")) - 1
@@ -77,7 +76,7 @@ def statistics(column: pa.Array) -> np.ndarray:
         kinds, top = _distinct(np.repeat(np.arange(m), n_words), words, m)
         shingles, s_ends = shingle_hashes(words, starts)
         s_kinds, _ = _distinct(np.repeat(np.arange(m), np.diff(s_ends)), shingles, m)
-        lines = np.array([_line_statistics(t or "") for t in texts[first:last]]).reshape(m, 3)
+        lines = np.array([_line_statistics(t or "") for t in column.slice(first, m).to_pylist()]).reshape(m, 3)
         total, some = np.maximum(size, 1), np.maximum(n_words, 1)
         alphabet = np.maximum(count["upper"] + count["lower"], 1)
         out[first:last] = np.stack(
@@ -175,17 +174,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: in
             ends = pa.array(np.arange(len(text) + 1, dtype=np.int32) * len(STATISTICS))
             yield pa.ListArray.from_arrays(ends, pa.array(statistics(text).ravel(), pa.float64()))
 
+    small_batches(docs.sparkSession)
     found = labelled_rows(docs, labels, "quality", rows, chars)
     found = found.select("doc_id", described("text").alias("x"), "y").orderBy("doc_id").select("x", "y").toPandas()
     return fit(np.array(found["x"].tolist(), float).reshape(len(found), len(STATISTICS)), found["y"].to_numpy(int))
 
 
-def scored(docs: DataFrame, model: Trees) -> DataFrame:
-    """Add ``quality_score`` (0 to 1) to every row of ``docs``, in place and without a shuffle.
+def scored(docs: DataFrame, model: Trees, name: str = "quality_score") -> DataFrame:
+    """Add the column ``name`` (0 to 1) to every row of ``docs``, in place and without a shuffle.
 
     Only ``text`` is read; NULL counts as empty, and empty texts are scored like any.  A
-    column ``quality_score`` of the input is replaced; other columns are kept.
+    column of that name in the input is replaced; other columns are kept.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
@@ -193,13 +194,13 @@ def scored(docs: DataFrame, model: Trees) -> DataFrame:
         for text in batches:
             yield pa.array(shared.value.score(statistics(text)))
 
-    return docs.withColumn("quality_score", score(F.col("text").cast("string")))
+    return docs.withColumn(name, score(F.col("text").cast("string")))
 
 
 def accepted(docs: DataFrame, model: Trees, least: float = ACCEPTED) -> DataFrame:
     """The documents that score ``least`` or more, all columns as they were."""
-    rows = scored(docs.select(F.struct(*columns_of(docs)).alias("row"), "text"), model)
-    return rows.where(F.col("quality_score") >= least).select("row.*")
+    name = unused(docs, "quality_score")  # beside the columns, so that a row that waits for its score has its text once
+    return scored(docs, model, name).where(F.col(name) >= least).select(*columns_of(docs))
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:

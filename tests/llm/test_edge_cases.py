@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from staylens.llm import (
     toxicity,
     warc,
 )
+from staylens.llm.rows import small_batches
 
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
 TEXTS = [None, "", "   \n", "!!! ???", "one", "two words", LONG, "same same same", "same same same", "é ü ß 東京", "<p>a & b</p>\x00"]
@@ -125,6 +128,42 @@ def test_decontamination(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == 10
 
 
+def test_clean_texts_are_not_shuffled_to_drop_contaminated_ones(spark):
+    passage = "a passage of the benchmark that stands word for word in some of the training texts"
+    rows = [(i, f"clean text number {i}", i) for i in range(200)]
+    rows += [(7, passage, 1), (7, passage, 2), (None, passage, 3), (None, "clean", 4), (8, None, 5), (7, "clean text number 7", 6)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, `a.marked` int")
+    kept = decontamination.without_contaminated(docs, spark.createDataFrame([(1, passage)], "item_id bigint, text string"))
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r[1] != passage), key=str)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.index("Union") < plan.index("LeftAnti")  # clean rows take a way without the join
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    session, name = spark.newSession(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    docs = session.range(8000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 100).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    nothing = language.Model([], np.zeros(0), np.zeros((0, 0)))
+    for step in (
+        lambda: language.accepted(docs, nothing),
+        lambda: quality.accepted(docs, quality.fit(np.zeros((0, 0)), [])),
+        lambda: decontamination.build_index(docs),
+    ):
+        session.conf.set(name, "64m")
+        step()
+        assert max(r.n for r in docs.mapInArrow(sizes, "n bigint").collect()) < 4 << 20
+    for lower in ("1m", "2097152b"):
+        session.conf.set(name, lower)
+        small_batches(session)
+        assert session.conf.get(name) == lower
+
+
 def test_packing(spark, docs, none):
     out = packing.pack(docs, VOCABULARY).collect()
     total = sum(r.length for r in out)
